@@ -225,7 +225,8 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
     groups = written(groups.select(F.col("node").alias("entry"), F.col("class_id").alias("candidate")), "candidates")
     sizes = groups.join(entries.select("entry", "n"), "entry").groupBy("candidate", F.shiftright("candidate", 1).alias("__again"))
     sizes = sizes.agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")).drop("__again")
-    texts = docs.select(F.col(doc_id).cast("long").alias("entry"), whole_text(text).alias("text")).join(groups, "entry").dropDuplicates(["entry"])
+    # Both sides grow with the input, so neither is ever broadcast.
+    texts = docs.select(F.col(doc_id).cast("long").alias("entry"), whole_text(text).alias("text")).hint("merge").join(groups, "entry").dropDuplicates(["entry"])
     found = written(verified(into_cells(texts.join(sizes, "candidate"), "candidate", "blocks"), similarity, size), "verified")
     classes = components(found.select(F.col("entry").alias("a"), F.col("top").alias("b"))).withColumnRenamed("node", "entry")
     links = found.groupBy("entry").agg(F.sum("n_links").alias("n_links"))
