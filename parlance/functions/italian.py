@@ -14,7 +14,7 @@ SMALL = ["zero", "uno", "due", "tre", "quattro", "cinque", "sei", "sette", "otto
 TENS = ["", "dieci", "venti", "trenta", "quaranta", "cinquanta", "sessanta", "settanta", "ottanta", "novanta"]
 LARGE = [("miliardo", "miliardi"), ("milione", "milioni")]
 #: Vowels that fall away before uno and otto.
-CONTRACTIONS = [("oo", "o"), ("ao", "o"), ("io", "o"), ("au", "u"), ("iu", "u"), ("eu", "u")]
+CONTRACTIONS = [("ao", "o"), ("io", "o"), ("au", "u"), ("iu", "u")]
 MOST = 10**12 - 1
 
 
@@ -36,7 +36,7 @@ def below_hundred(n: Column) -> Column:
 def below_thousand(n: Column) -> Column:
     """Empty for 0."""
     many = lambda rest: F.concat(F.when(n < 200, "").otherwise(word(SMALL, F.floor(n / 100) % 10)), F.lit("cento"), rest)
-    return let(below_hundred(n % 100), lambda rest: F.when(n < 100, rest).otherwise(contracted(many(rest))))
+    return let(below_hundred(n % 100), lambda rest: F.when(n < 100, rest).otherwise(F.replace(many(rest), F.lit("oo"), F.lit("o"))))
 
 
 def preceded(n: Column, words: Column, one: str, many: str) -> Callable[[Column], Column]:

@@ -1,7 +1,6 @@
 """Registered queries over the driver's tables, and their SQL."""
 
-from __future__ import annotations
+from parlance.plans import rules, speech, tables  # noqa: F401
+from parlance.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
 FLAGSHIP = "token_counts"
