@@ -21,7 +21,7 @@ def process(raw: DataFrame, config: dict | None = None, ignore: DataFrame | None
     ready = units.prepare(routed.where("target = 'unit'").drop("target"), config["normalization"]).withColumn("duration", F.col("end") - F.col("start")).persist()
     split = tokens.tokenize(ready, markers=tuple(config["variation_markers"])).persist()
     events = split.groupBy(*KEYS).agg(F.bool_and(F.col("type") == "nonverbalbehavior").alias("all_nvb"), F.bool_or(F.col("type") == "nonverbalbehavior").alias("any_nvb"))
-    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(events, KEYS)
+    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(events, KEYS).persist()
     found = overlaps.resolve(timed, config["duration_threshold"], config["nvb_participates"], ignore, width)
     # a nudged boundary is what the token table shows
     times = found["units"].select(*KEYS, F.col("start").alias("__s"), F.col("end").alias("__e"))
