@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.sources.work import written
+
 T = "transcript_id"
 
 
@@ -155,14 +157,14 @@ def durations(verdicts: DataFrame, members: DataFrame, key: str = T) -> DataFram
 def resolve(units: DataFrame, threshold: float = 0.1, nvb_participates: bool = False, ignore: DataFrame | None = None, width: float | None = None, key: str = T) -> dict[str, DataFrame]:
     """The whole chain: units (nudged), members of events, verdicts, matches, durations. Units have start, end, n_spans, all_nvb, any_nvb."""
     edges = overlap_join(units, width, key)
-    # What several results need is persisted: a grouped function's output isn't reused by the planner.
     if not nvb_participates:
         edges = without_units(edges, units.where("all_nvb"), key)
     if ignore is not None:
         edges = without_pairs(edges, ignore, key)
-    edges = edges.persist()
+    # What several results need is written: a grouped function's output isn't reused by the planner.
+    edges = written(edges, "edges")
     short = short_edges(edges, units, threshold, key)
-    moved = nudged(units, short, key).persist()
-    members = events(cliques(without_pairs(edges, short, key), key), moved, key).persist()
+    moved = written(nudged(units, short, key), "nudged")
+    members = written(events(cliques(without_pairs(edges, short, key), key), moved, key), "events")
     verdicts = judged(moved, members, threshold, nvb_participates, key)
     return {"units": moved, "members": members, "verdicts": verdicts, "matches": matched(verdicts, members, threshold, nvb_participates, key), "durations": durations(verdicts, members, key)}

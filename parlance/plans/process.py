@@ -8,21 +8,22 @@ from pyspark.sql import functions as F
 from parlance.operators import formats, overlaps, tokens, units
 from parlance.operators.units import KEYS
 from parlance.sources.config import load
+from parlance.sources.work import written
 
 
 def process(raw: DataFrame, config: dict | None = None, ignore: DataFrame | None = None, width: float | None = None) -> dict[str, DataFrame]:
     """Units, tokens, vert, summary, linear and translations of utterances (transcript_id, tu_id, speaker, start, end, text).
 
     `ignore`: pairs (transcript_id, u, v) of overlaps to leave out. Prepared units and split tokens feed
-    every result and are persisted, on disk where they don't fit; both are among what is returned.
+    every result, so they are written to the work folder when this is called; the results are lazy.
     """
     config = load() if config is None else config
     routed = units.route(raw, config["ignored_tiers"], config["extracted_tiers"], config["translation_suffix"]) if "target" not in raw.columns else raw
-    ready = units.prepare(routed.where("target = 'unit'").drop("target"), config["normalization"]).withColumn("duration", F.col("end") - F.col("start")).persist()
-    split = tokens.tokenize(ready, markers=tuple(config["variation_markers"])).persist()
+    ready = written(units.prepare(routed.where("target = 'unit'").drop("target"), config["normalization"]).withColumn("duration", F.col("end") - F.col("start")), "units")
+    split = written(tokens.tokenize(ready, markers=tuple(config["variation_markers"])), "tokens")
     events = split.groupBy(*KEYS).agg(F.bool_and(F.col("type") == "nonverbalbehavior").alias("all_nvb"), F.bool_or(F.col("type") == "nonverbalbehavior").alias("any_nvb"))
-    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(events, KEYS).persist()
-    found = overlaps.resolve(timed, config["duration_threshold"], config["nvb_participates"], ignore, width)
+    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(events, KEYS)
+    found = overlaps.resolve(written(timed, "timed"), config["duration_threshold"], config["nvb_participates"], ignore, width)
     # a nudged boundary is what the token table shows
     times = found["units"].select(*KEYS, F.col("start").alias("__s"), F.col("end").alias("__e"))
     split = split.join(times, KEYS, "left").withColumns({"start": F.coalesce("__s", "start"), "end": F.coalesce("__e", "end")}).drop("__s", "__e")
@@ -30,6 +31,6 @@ def process(raw: DataFrame, config: dict | None = None, ignore: DataFrame | None
     final = tokens.unit_variation(split)
     said = ready.join(final.withColumnRenamed("variation", "__v"), KEYS, "left").withColumn("variation", F.coalesce("__v", "variation")).drop("__v")
     return {
-        "ready": ready, "split": split, "units": said, "tokens": full, "vert": formats.vert(full, final), "overlaps": found["members"], "verdicts": found["verdicts"],
+        "units": said, "tokens": full, "vert": formats.vert(full, final), "overlaps": found["members"], "verdicts": found["verdicts"],
         "summary": formats.json_summary(said, full, found["members"]), "linear": formats.linear_units(said, full), "translations": routed.where("target = 'translation' and trim(coalesce(text, '')) <> ''").drop("target"),
     }
