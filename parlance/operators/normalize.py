@@ -35,11 +35,15 @@ CORRECTIONS = [
 
 @dataclass(frozen=True)
 class Sub:
-    """A substitution; `needs` is a pattern without which it can't match, cheaper to look for."""
+    """A substitution; `needs` is a pattern without which it can't match, cheaper to look for.
+
+    Matches are counted only where the text has changed, unless `same` says that a match may leave it as it was.
+    """
 
     pattern: str
     replacement: str
     needs: str | None = None
+    same: bool = False
 
     def count(self, text: Column) -> Column:
         found = count(text, self.pattern)
@@ -127,7 +131,7 @@ def acute(word: str) -> Sub:
     """Anything but space, = and ' may stand before each letter, other letters too."""
     letters = list(word)
     pattern = r"(?U)\b" + "".join(f"([^ =']*){c}" for c in letters) + r"\b"
-    return Sub(pattern, "".join(f"${k}{c}" for k, c in enumerate(letters[:-1], 1)) + f"${len(letters)}é", "è")
+    return Sub(pattern, "".join(f"${k}{c}" for k, c in enumerate(letters[:-1], 1)) + f"${len(letters)}é", rf"(?U){letters[-2]}[^ =']*è\b")
 
 
 def apostrophe(word: str, last: str) -> Sub:
@@ -171,7 +175,7 @@ WARNINGS = [
     Rule("NUMBERS", [Mapped(r"(?U)\b[0-9]+\b", cardinal, "[0-9]")], trim=False),
     Rule("UNEVEN_SPACES", [Mapped("°[^°]+°", lambda m: inside(m)[0], "°", lambda m: inside(m)[1])]),
     Rule("UNEVEN_SPACES", [Mapped(PACE, lambda m: inside(m)[0], "[<>]", lambda m: inside(m)[1])]),
-    Rule("SWITCHES", [Sub("([.,?])([:-~])", "$2$1", "[.,?][:-~]")]),
+    Rule("SWITCHES", [Sub("([.,?])([:-~])", "$2$1", "[.,?][:-~]", same=True)]),
     Rule("SWITCHES", [
         Sub(rf"(\[)({EVENT})", "$2 $1", r"\[\(\("), Sub(rf"([(<>°])({EITHER})", "$2 $1", r"[(<>°]\("),
         Sub(rf"({EVENT})(\])", "$2 $1", r"\)\)\]"), Sub(rf"({EITHER})([)><°])", "$2 $1", r"\)[)><°]"),
@@ -201,6 +205,9 @@ def enabled(rule: Rule | Check, config: dict[str, bool] | None) -> bool:
 
 
 def stepped(step: Sub | Mapped | Emptied) -> Callable[[Column], Column]:
+    if isinstance(step, Sub) and not step.same:
+        counted = lambda x: lambda new: F.struct(new.alias("text"), F.when(new == x["text"], x["n"]).otherwise(x["n"] + count(x["text"], step.pattern)).alias("n"))
+        return lambda x: let(step.apply(x["text"]), counted(x))
     return lambda x: F.struct(step.apply(x["text"]).alias("text"), (x["n"] + step.count(x["text"])).alias("n"))
 
 
@@ -224,7 +231,7 @@ def ruled(rule: Rule) -> Callable[[Column], Column]:
 
 
 #: Bindings of one expression: the analyzer resolves one more in every round, and its rounds are limited.
-DEPTH = 28
+DEPTH = 20
 
 
 def stages(rules: list[Rule]) -> list[list[Rule]]:
