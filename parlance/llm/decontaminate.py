@@ -188,7 +188,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of `docs`, with all their columns, that hold no benchmark item. Rows without an id stay."""
-    found = contaminated(docs, benchmark, doc_id, text, **how).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, docs[doc_id] == found["__found"], "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, size: int = SIZE, most_items: int = BLOCK_ITEMS, most_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no benchmark item. Nothing is moved; ids may be null or repeat."""
+    schema, place = docs.schema, docs.columns.index(text)
+    for items in item_blocks(benchmark, item_id, item_text, most_items, most_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
+        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            bench, known = Benchmark(sent.value, similarity, radius, size), WordHashes()
+            for batch in batches:
+                yield batch.filter(pa.array([not bench.matches(word_hashes(value.as_py() or "", known)) for value in batch.column(place)], pa.bool_()))
+
+        docs = docs.mapInArrow(search, schema)
+    return docs

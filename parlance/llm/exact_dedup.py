@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import whole_text, written
 
 MIN_CHARS, MAX_CHARS = 1024, 8192
 MAX_COLLISIONS = 10_000
@@ -67,10 +67,24 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     return rows.join(groups, "recipe").select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Ids are taken to be unique."""
-    kept = exact_dedup(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs[doc_id] == kept["__kept"], "left_semi")
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: one row of each text.
+
+    Of equal texts the row with the largest id stays, of repeated rows one. Rows without an id stay
+    where no row with an id has their text, again one of each text. Ids may repeat with other texts.
+    """
+    found = written(exact_dedup(docs, doc_id, text, **how).select("doc_id", "keep_id", "kept", "text_sha256"), "exact")
+    own = F.sha2(whole_text(text), 256)
+    kept = found.where("kept").select(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__sha"))
+    out = docs.join(kept.distinct(), (docs[doc_id] == F.col("__kept")) & (own == F.col("__sha")), "left_semi")
+    # the two rare cases cost a count of ids each, and a shuffle of texts only where they occur
+    if not kept.groupBy("__kept", "__sha").count().where("count > 1").isEmpty():
+        out = out.withColumn("__own", own).dropDuplicates([doc_id, "__own"]).drop("__own")
+    if not found.where("doc_id is null").isEmpty():
+        taken = found.where("keep_id is not null").select(F.col("text_sha256").alias("__sha"))
+        loose = docs.where(F.col(doc_id).isNull()).withColumn("__own", own).dropDuplicates(["__own"])
+        out = out.unionByName(loose.join(taken, F.col("__own") == F.col("__sha"), "left_anti").drop("__own"))
+    return out
 
 
 ORACLE_SQL = """

@@ -240,6 +240,13 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of each class, that with the least id."""
-    kept = ngram_join(docs, doc_id, text, **how).where("doc_id = class_id").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs[doc_id] == kept["__kept"], "left_semi")
+    """The rows of `docs` that stay, with all their columns: of each class, that with the least id.
+
+    Of repeated rows one stays. Rows without an id can't be told apart and stay.
+    """
+    found = written(ngram_join(docs, doc_id, text, **how).select(F.col("doc_id").alias("__gone"), "class_id"), "classes")
+    out = docs.join(found.where("__gone <> class_id").select("__gone").distinct(), docs[doc_id] == F.col("__gone"), "left_anti")
+    # a shuffle of texts only where ids do repeat
+    if not found.where("__gone is not null").groupBy("__gone").count().where("count > 1").isEmpty():
+        out = out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(out.where(F.col(doc_id).isNull()))
+    return out
