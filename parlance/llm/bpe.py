@@ -1,12 +1,12 @@
 """BPE encoding and decoding: long unsplit text by tree concatenation.
 
-A text is cut into units before every single space between two other characters: no pre-token of
-the byte-level pattern spans such a place, so units are encoded one by one. A unit is encoded once
-per task while it is remembered. A pre-token too long for that (a run without a split: letters,
-digits, symbols, spaces) is a tree: its leaves are encoded by themselves, all of them in one parallel batch,
-and two neighbours are joined by encoding again a window around the join, growing it until its first
-and its last token are tokens that the two sides had there. Then every two tokens that stand side by
-side did so in some encoding, which makes the whole sequence the encoding of the whole pre-token.
+Text whose pre-tokens are all short is one leaf. Other text is cut into units before every single
+space between two other characters: no pre-token of the byte-level pattern spans such a place. A
+long pre-token (a run without a split: letters, digits, symbols, spaces) is a tree: its leaves are
+encoded by themselves, in parallel threads, and two neighbours are joined by encoding again a window
+around the join, growing it until its first and its last token are tokens that the two sides had
+there. Then every two tokens that stand side by side did so in some encoding, which makes the whole
+sequence the encoding of the whole pre-token.
 
 Special strings in a text become their own ids, as the tokenizers library does by default. Decoding
 puts the bytes of the tokens together, special strings included; bytes that aren't UTF-8 become
@@ -41,8 +41,8 @@ from .common import whole_text
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Bytes of a leaf, and tokens of the first window on each side of a join.
-LEAF, WINDOW = 2048, 8
+#: Characters of a leaf, tokens of the first window on each side of a join, and threads that encode leaves.
+LEAF, WINDOW, THREADS = 2048, 8, 2
 #: Where a unit may end: before a single space between two characters that aren't white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNEVEN = re.compile(r"\s | \s")
@@ -91,11 +91,11 @@ class Codec:
     def whole(self, piece: bytes) -> list[int]:
         return self.engine._encode_single_piece(piece)
 
-    def tree(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token, as a tree of its halves."""
+    def tree(self, piece: str) -> list[int]:
+        """The ids of one pre-token, as a tree of its halves. A stretch of a pre-token is one pre-token, so leaves are encoded as texts, in threads."""
         if len(piece) <= self.leaf:
-            return self.whole(piece)
-        level = [self.whole(piece[at : at + self.leaf]) for at in range(0, len(piece), self.leaf)]
+            return self.whole(piece.encode())
+        level = self.engine.encode_ordinary_batch([piece[at : at + self.leaf] for at in range(0, len(piece), self.leaf)], num_threads=THREADS)
         while len(level) > 1:
             level = [self.join(*level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
         return level[0]
@@ -123,7 +123,7 @@ class Codec:
                 ids += self.engine.encode_ordinary("".join(short))
                 short = []
             for piece in self.vocabulary.pattern.findall(unit):
-                ids += self.tree(piece.encode())
+                ids += self.tree(piece)
         return ids
 
     def encode(self, text: str) -> list[int]:
