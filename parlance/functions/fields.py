@@ -176,3 +176,18 @@ def latex(text: Column) -> Column:
     """Characters that mean something to LaTeX, escaped one by one."""
     special = {"\\": r"\textbackslash{}", "~": r"\textasciitilde{}", "^": r"\textasciicircum{}"} | {c: f"\\{c}" for c in "&%$#_{}"}
     return F.array_join(F.transform(F.split(text, ""), lambda c: mapped(c, special)), "")
+
+
+#: Modules of a collection by the first letters of a code.
+MODULES = {"KIP": ["BOA", "BOC", "BOD", "TOA", "TOC", "TOD"], "KIPasti": ["KPC", "KPN", "KPS"], "ParlaBO": ["PBA", "PBB", "PBC"], "ParlaTO": ["PTA", "PTB", "PTD"]}
+
+
+def module_of(code: Column, otherwise: str) -> Column:
+    """The module that a code's first letters name."""
+    words = {start: module for module, starts in MODULES.items() for start in starts}
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in words.items() for x in p]), F.substring(code, 1, 3)), F.lit(otherwise))
+
+
+def split_words(text: Column) -> Column:
+    """The words of a line, each cut after an apostrophe or `=` in its middle."""
+    return F.filter(F.split(F.trim(text), r"\s+|(?<=[^\s'=]['=])(?=[^\s'=])"), lambda w: w != "")

@@ -82,6 +82,18 @@ def updated_feats(feats: Column, span: Column, changed: Column, lang: Column) ->
     return X.format_feats(F.concat(own, kept, more))
 
 
+def added_rows(edited: DataFrame, tokens: DataFrame, file: str = "transcript_id", order: str = "line") -> DataFrame:
+    """Rows of an edited table whose token isn't in the token table, with the columns of the latter: ids, span and form as edited, unit and speaker from the table or the neighbours, features from the span, all else `_`."""
+    known = tokens.select(file, "token_id").withColumn("__known", F.lit(True))
+    of = lambda c: F.coalesce(F.col(c), F.lit("_")) if c in edited.columns else F.lit("_")
+    df = edited.select(file, order, "token_id", "span", "form", of("tu_id").alias("tu_id"), of("speaker").alias("speaker"), of("jefferson_feats").alias("__feats")).join(known, [file, "token_id"], "left")
+    df = neighbour_filled(df, file, order, "tu_id").drop("tu_id").withColumnRenamed("filled", "tu_id")
+    df = neighbour_filled(df, file, order, "speaker", "tu_id").drop("speaker").withColumnRenamed("filled", "speaker").where(F.col("__known").isNull())
+    made = {"jefferson_feats": updated_feats(F.lit("_"), F.col("span"), F.lit(True), X.feat(F.col("__feats"), "Lang")), "type": X.infer_type(F.col("span"))}
+    own = {file, order, "token_id", "span", "form", "tu_id", "speaker"}
+    return df.select(file, order, *[F.coalesce(made.get(c, F.col(c) if c in own else F.lit("_")).cast("string"), F.lit("_")).alias(c) for c in tokens.columns if c not in (file, order)])
+
+
 def form_notes(rows: DataFrame) -> DataFrame:
     """Rows whose span is as before while the form isn't what follows from it: adds derived."""
     return rows.withColumn("derived", X.form_from_span(F.col("span"))).where("derived is not null and derived <> form")

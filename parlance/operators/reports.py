@@ -54,3 +54,8 @@ def page(rows: DataFrame, order: list[Column], limit: int = PAGE_ROWS) -> DataFr
 def upserted(old: DataFrame, new: DataFrame, key: str = "transcript") -> DataFrame:
     """Summaries with those of `new` in place of old ones of the same transcript."""
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+
+
+def widened(rows: DataFrame, column: str, width: int) -> DataFrame:
+    """An array column as `column::0`, `column::1` and so on; 0 where a row's array is shorter."""
+    return rows.select(*[c for c in rows.columns if c != column], *[F.coalesce(F.get(column, F.lit(k)), F.lit(0)).alias(f"{column}::{k}") for k in range(width)])
