@@ -100,24 +100,34 @@ def norm_word_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 11)
 
 
-@query("""
+#: Italian cardinals below a million, of the numbers in `keys`.
+SMALL_SQL = """
 WITH small(n, w) AS (SELECT CAST(n AS BIGINT), w FROM (SELECT unnest(range(0, 20)) AS n, unnest(['zero','uno','due','tre','quattro','cinque','sei','sette','otto','nove','dieci','undici','dodici','tredici','quattordici','quindici','sedici','diciassette','diciotto','diciannove']) AS w)),
      tens(n, w) AS (SELECT CAST(n AS BIGINT), w FROM (SELECT unnest(range(2, 10)) AS n, unnest(['vent','trent','quarant','cinquant','sessant','settant','ottant','novant']) AS w)),
      hundred(n, w) AS (SELECT n, w FROM small UNION ALL
         SELECT t.n * 10 + u.n, CASE WHEN u.n IN (1, 8) THEN t.w || u.w ELSE t.w || CASE WHEN t.n = 2 THEN 'i' ELSE 'a' END || CASE WHEN u.n = 0 THEN '' ELSE u.w END END FROM tens t, small u WHERE u.n < 10),
      thousand(n, w) AS (SELECT n, w FROM hundred UNION ALL
         SELECT h.n * 100 + r.n, replace(replace(CASE WHEN h.n = 1 THEN '' ELSE h.w END || 'cento' || CASE WHEN r.n = 0 THEN '' ELSE r.w END, 'oo', 'o'), 'ao', 'o') FROM small h, hundred r WHERE h.n BETWEEN 1 AND 9),
-     keys AS (SELECT DISTINCT o_orderkey AS n FROM orders),
+"""
+WORDS_SQL = """,
      words AS (SELECT k.n, CASE WHEN k.n // 1000 = 0 THEN r.w WHEN k.n // 1000 = 1 THEN 'mille' || CASE WHEN r.n = 0 THEN '' ELSE r.w END ELSE q.w || 'mila' || CASE WHEN r.n = 0 THEN '' ELSE r.w END END AS w
                FROM keys k JOIN thousand q ON q.n = k.n // 1000 JOIN thousand r ON r.n = k.n % 1000)
-SELECT n, CASE WHEN w LIKE '%tre' AND length(w) > 3 THEN regexp_replace(w, 'tre$', 'tré') ELSE w END AS words FROM words
-""")
+"""
+ACCENTED_SQL = "SELECT n, CASE WHEN w LIKE '%tre' AND length(w) > 3 THEN regexp_replace(w, 'tre$', 'tré') ELSE w END AS words FROM words"
+
+
+@query(SMALL_SQL + "     keys AS (SELECT DISTINCT o_orderkey AS n FROM orders)" + WORDS_SQL + ACCENTED_SQL)
 def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Italian words of all order keys."""
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")).distinct().select("n", cardinal(F.col("n").cast("string")).alias("words"))
 
 
-@query()
+@query(SMALL_SQL + r"     keys AS (SELECT DISTINCT CAST(m AS BIGINT) AS n FROM (SELECT unnest(regexp_extract_all(text, '\b[0-9]+\b')) AS m FROM {units} k0) k1)" + WORDS_SQL + ", named AS (" + ACCENTED_SQL + r"""),
+     p AS (SELECT transcript_id, tu_id, regexp_extract_all(text, '\b[0-9]+\b') AS ms, string_split_regex(text, '\b[0-9]+\b') AS gaps FROM {units} u),
+     i AS (SELECT *, unnest(range(1, len(gaps) + 1)) AS j FROM p),
+     x AS (SELECT i.transcript_id, i.tu_id, i.j, len(ms) AS n, gaps[i.j] || coalesce(named.words, '') AS piece FROM i LEFT JOIN named ON named.n = CAST(ms[i.j] AS BIGINT))
+SELECT transcript_id, tu_id, string_agg(piece, '' ORDER BY j) AS new_text, CAST(max(n) AS BIGINT) AS changes FROM x GROUP BY 1, 2
+""")
 def norm_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 12)
 

@@ -344,8 +344,12 @@ def form_from_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toks(spark, sf_dir).select(*K, F.col("idx").cast("long").alias("idx"), F.coalesce(X.form_from_span(F.col("span")), F.lit("-")).alias("derived"))
 
 
-@query()
+@query(tok("""
+SELECT transcript_id, tu_id, token_id, CASE WHEN state IS NOT NULL AND state <> coalesce(before, 'normal') THEN state END AS loud_shift, CAST(NULL AS VARCHAR) AS tempo_shift, CAST(idx + 1 AS BIGINT) AS n
+FROM (SELECT *, last_value(state IGNORE NULLS) OVER (PARTITION BY transcript_id, tu_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM (SELECT transcript_id, tu_id, idx, tu_id || '-' || idx AS token_id, CASE WHEN type NOT IN ('shortpause', 'nonverbalbehavior', 'anonymized') THEN CASE volume WHEN 'low' THEN 'p' WHEN 'high' THEN 'f' ELSE 'normal' END END AS state FROM {tokens} k) a) b
+"""))
 def pause_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of state for a reader: where loudness and tempo change."""
     df = formats.in_runs(verts(spark, sf_dir), K)
-    return formats.shifts(df, K).select(*K, "token_id", "loud_shift", "tempo_shift", F.row_number().over(Window.partitionBy(*K).orderBy("line")).alias("n"))
+    return formats.shifts(df, K).select(*K, "token_id", "loud_shift", "tempo_shift", F.row_number().over(Window.partitionBy(*K).orderBy("line")).cast("long").alias("n"))
