@@ -334,7 +334,16 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formats.chat(verts(spark, sf_dir).withColumn("overlaps", F.when(F.col("line") % 7 == 3, "0-1(1)").otherwise("_")))
 
 
-@query()
+@query("""
+WITH r AS (SELECT transcript_id, tu_id, speaker, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS x, row_number() OVER (PARTITION BY transcript_id ORDER BY tu_id) AS n,
+                  CAST(trunc(start_ms / 1000 * 1000) AS BIGINT) AS b, CAST(trunc(end_ms / 1000 * 1000) AS BIGINT) AS e FROM {units} u),
+     s AS (SELECT transcript_id, string_agg('<TIME_SLOT TIME_SLOT_ID="ts' || (2 * n - 1) || '" TIME_VALUE="' || b || '"/>' || chr(10) || '<TIME_SLOT TIME_SLOT_ID="ts' || (2 * n) || '" TIME_VALUE="' || e || '"/>', chr(10) ORDER BY n) AS slots FROM r GROUP BY 1),
+     t AS (SELECT transcript_id, speaker, min(n) AS f, '<TIER LINGUISTIC_TYPE_REF="default-lt" TIER_ID="' || speaker || '">' || chr(10) || string_agg('<ANNOTATION><ALIGNABLE_ANNOTATION ANNOTATION_ID="a' || n || '" TIME_SLOT_REF1="ts' || (2 * n - 1) || '" TIME_SLOT_REF2="ts' || (2 * n) || '"><ANNOTATION_VALUE>' || x || '</ANNOTATION_VALUE></ALIGNABLE_ANNOTATION></ANNOTATION>', chr(10) ORDER BY n) || chr(10) || '</TIER>' AS tier FROM r GROUP BY 1, 2),
+     b AS (SELECT transcript_id, string_agg(tier, chr(10) ORDER BY f) AS tiers FROM t GROUP BY 1)
+SELECT b.transcript_id, concat_ws(chr(10), '<?xml version="1.0" encoding="UTF-8"?>', '<ANNOTATION_DOCUMENT FORMAT="3.0" VERSION="3.0">', '<HEADER MEDIA_FILE="" TIME_UNITS="milliseconds"/>', '<TIME_ORDER>', slots, '</TIME_ORDER>', tiers,
+       '<LINGUISTIC_TYPE LINGUISTIC_TYPE_ID="default-lt" TIME_ALIGNABLE="true"/>', '</ANNOTATION_DOCUMENT>') AS text
+FROM b JOIN s ON s.transcript_id = b.transcript_id
+""")
 def eaf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formats.eaf(timed(spark, sf_dir).withColumns({"start": F.col("start") / 1000, "end": F.col("end") / 1000}))
 
