@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import formats
+from parlance.operators import alignment, formats, pages, patches
 from parlance.plans.process import process
 from parlance.sources import config, files
 
@@ -38,6 +38,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         files.write_texts(formats.conllu(vert_rows(spark, args.input), KEYS), args.output, order=["tu_id"])
     elif args.verb == "vert2tei":
         files.write_texts(formats.tei(vert_rows(spark, args.input)), args.output)
+    elif args.verb == "vert2chat":
+        files.write_texts(formats.chat(vert_rows(spark, args.input)), args.output)
+    elif args.verb == "csv2html":
+        files.write_texts(pages.html_pages(files.read_units(spark, args.input)), args.output)
+    elif args.verb == "validate":
+        files.write_table(patches.checked(files.read_vert(spark, args.input), "transcript_id"), args.output, order=["token_id", "check"])
+    elif args.verb == "align":
+        tokens = files.read_vert(spark, args.input).groupBy("transcript_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("line", "form"))), lambda x: x["form"]).alias("tokens"))
+        rows = alignment.alignment_rows(alignment.file_pairs(tokens.withColumnRenamed("transcript_id", "path")), ["base", "first", "second"])
+        files.write_table(rows, f"{args.output}/tokens", by="base", order=["first", "second", "position"])
+        files.write_table(alignment.error_rate(rows, ["base", "first", "second"]), f"{args.output}/rates", by="base", order=["first", "second"])
     elif args.verb == "linear":
         got = formats.linear(vert_rows(spark, args.input), KEYS)
         for kind in ("jefferson", "orthographic"):
@@ -47,7 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "linear"])
+    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear"])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--config", help="a module's YAML settings")
