@@ -7,10 +7,10 @@ file), and reading parses them by Content-Length and checks every digest.
 
 Defined results: a null payload counts as empty; of equal payloads of at least MIN_REVISIT bytes the
 record with the least id is the response and the others revisit it, smaller ones are all responses;
-a null URL leaves its header line out; line ends in a URL are percent-encoded. Rows with a null id
-cannot be named by a record and raise an error; ids are taken to be unique, and repeated rows raise
-an error on reading. An empty table gives an archive without records. Other columns are ignored,
-whatever their names.
+a null URL leaves its header line out; line ends in a URL are percent-encoded. Every row is one
+record. Rows with a null id, and all rows of the least id of a payload, are responses; where an id is
+missing or repeats, the names of all records have the digest and a number besides the id. An empty
+table gives an archive without records. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import work_path
@@ -31,26 +31,28 @@ DATE = "2024-01-01T00:00:00Z"
 
 
 def store(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = MIN_REVISIT) -> None:
-    """Write `path`/payloads (digest, payload) and `path`/headers (page_id, digest, record_type, header)."""
+    """Write `path`/payloads (digest, payload), one row a digest, and `path`/headers (page_id, digest, record_type, header), one row a page."""
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("page_id", F.coalesce("page_id", F.raise_error(F.lit("a WARC record needs an id")).cast("long")))
     named = rows.select("page_id", "url", F.octet_length("payload").cast("long").alias("n"), F.sha2("payload", 256).alias("digest"), F.md5("payload").alias("second"))
     firsts = named.groupBy("digest", F.substring("digest", 1, 1).alias("again")).agg(F.min("page_id").alias("first"), F.min("second").alias("a"), F.max("second").alias("b"), F.min("n").alias("c"), F.max("n").alias("d"))
     firsts = firsts.withColumn("first", F.when((F.col("a") == F.col("b")) & (F.col("c") == F.col("d")), F.col("first")).otherwise(F.raise_error(F.lit("two payloads have one SHA-256")).cast("long"))).select("digest", "first")
     told = named.join(firsts, "digest").withColumn("record_type", F.when((F.col("n") >= least) & (F.col("page_id") != F.col("first")), "revisit").otherwise("response"))
     line = lambda name, value: F.concat(F.lit(f"\r\n{name}: "), value)
-    name = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
+    if rows.groupBy("page_id").count().where("page_id is null or count > 1").isEmpty():
+        told, name = told.withColumn("copy", F.lit(1)), lambda c, copy: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
+    else:
+        told = told.withColumn("copy", F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")))
+        name = lambda c, copy: F.concat(F.lit("<urn:page:"), F.concat_ws(":", F.coalesce(c.cast("string"), F.lit("")), "digest", copy.cast("string")), F.lit(">"))
     revisit = F.col("record_type") == "revisit"
     header = F.concat(
-        F.lit("WARC/1.1"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", name(F.col("page_id"))), line("WARC-Date", F.lit(DATE)),
+        F.lit("WARC/1.1"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", name(F.col("page_id"), F.col("copy"))), line("WARC-Date", F.lit(DATE)),
         F.coalesce(line("WARC-Target-URI", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, F.concat(line("WARC-Refers-To", name(F.col("first"))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(line("WARC-Refers-To", name(F.col("first"), F.lit(1))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")), line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("n").cast("string"))),
     )
-    told.select("page_id", "digest", "record_type", (F.col("page_id") == F.col("first")).alias("stored"), header.alias("header")).write.parquet(f"{path}/headers")
-    kept = pages.sparkSession.read.parquet(f"{path}/headers").where("stored").select("page_id", "digest")
-    rows.select("page_id", "payload").join(kept, "page_id").select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    told.select("page_id", "digest", "record_type", header.alias("header")).write.parquet(f"{path}/headers")
+    rows.select(F.sha2("payload", 256).alias("digest"), "payload").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +86,12 @@ def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (page_id, record_type, refers_to, digest, n) of the records in the files; digests are computed from the blocks, and checked."""
+    """Rows (page_id, copy, record_type, refers_to, digest, n) of the records in the files; digests are computed from the blocks, and checked. `copy` numbers the rows of one id and payload."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda name: int(name.removeprefix("<urn:page:").removesuffix(">"))
+        parts = lambda name: name.removeprefix("<urn:page:").removesuffix(">").split(":")
+        number = lambda name: int(parts(name)[0]) if parts(name)[0] else None
+        copy = lambda name: int(parts(name)[2]) if len(parts(name)) > 1 else 1
         for batch in batches:
             rows = []
             for content in batch.column(0):
@@ -95,11 +99,11 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
                     digest, response = headers["WARC-Payload-Digest"].removeprefix("sha256:"), headers["WARC-Type"] == "response"
                     if response and hashlib.sha256(block).hexdigest() != digest:
                         raise ValueError(f"{headers['WARC-Record-ID']}: the payload isn't what its digest says")
-                    rows.append((number(headers["WARC-Record-ID"]), headers["WARC-Type"], None if response else number(headers["WARC-Refers-To"]), digest, len(block) if response else None))
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 5, kinds, strict=True)], ["page_id", "record_type", "refers_to", "digest", "n"])
+                    rows.append((number(headers["WARC-Record-ID"]), copy(headers["WARC-Record-ID"]), headers["WARC-Type"], None if response else number(headers["WARC-Refers-To"]), digest, len(block) if response else None))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 6, kinds, strict=True)], ["page_id", "copy", "record_type", "refers_to", "digest", "n"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(work, "page_id long, record_type string, refers_to long, digest string, n long")
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(work, "page_id long, copy long, record_type string, refers_to long, digest string, n long")
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = MIN_REVISIT) -> DataFrame:
@@ -115,7 +119,7 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
     responses = read.where("record_type = 'response'")
     plain = responses.select("page_id", F.col("n").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     again = read.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.col("digest").alias("payload_digest"))
-    sources = responses.select(F.col("page_id").alias("refers_to"), F.col("digest").alias("payload_digest"), F.col("n").alias("payload_bytes"))
+    sources = responses.where("copy = 1").select(F.col("page_id").alias("refers_to"), F.col("digest").alias("payload_digest"), F.col("n").alias("payload_bytes"))
     return plain.unionByName(again.join(sources, ["refers_to", "payload_digest"]).select(*plain.columns))
 
 
