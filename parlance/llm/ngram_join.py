@@ -239,14 +239,29 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", without_id: bool = False, **how) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each class, that with the least id.
 
-    Of repeated rows one stays. Rows without an id can't be told apart and stay.
+    Rows of one id with different texts are told apart; of repeated rows one stays. Rows without an
+    id stay, whatever their text. With `without_id` they are members of the classes too, and go where
+    a row with an id stays, or another without one (that whose text has the least digest).
     """
+    # ids that repeat or are missing cost a copy of the rows with a key for each, which is written so that it can't change
+    if not docs.groupBy(docs[doc_id].alias("__id")).count().where("__id is null or count > 1").isEmpty():
+        return keep_one_keyed(docs, doc_id, text, without_id, **how)
     found = written(ngram_join(docs, doc_id, text, **how).select(F.col("doc_id").alias("__gone"), "class_id"), "classes")
-    out = docs.join(found.where("__gone <> class_id").select("__gone").distinct(), docs[doc_id] == F.col("__gone"), "left_anti")
-    # a shuffle of texts only where ids do repeat
-    if not found.where("__gone is not null").groupBy("__gone").count().where("count > 1").isEmpty():
-        out = out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(out.where(F.col(doc_id).isNull()))
-    return out
+    return docs.join(found.where("__gone <> class_id").select("__gone"), docs[doc_id] == F.col("__gone"), "left_anti")
+
+
+def keep_one_keyed(docs: DataFrame, doc_id: str, text: str, without_id: bool, **how) -> DataFrame:
+    """keep_one, joined and decided by a key of each row."""
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    asked = keyed if without_id else keyed.where(F.col(doc_id).isNotNull())
+    classes = ngram_join(asked, "__row", text, **how).select(F.col("doc_id").alias("__row"), F.col("class_id").alias("__class"))
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.sha2(whole_text(text), 256).alias("sha"), F.col("__row").alias("row"))
+    rows = written(asked.select("__row", order.alias("__order")).join(classes, "__row"), "classes")
+    first = rows.groupBy("__class", F.shiftright("__class", 1).alias("__again")).agg(F.min("__order").alias("__first")).select("__first.row")
+    # texts without words are in no class with others; of those only repeated rows go
+    left = rows.join(first, F.col("__row") == F.col("row"), "left_semi").groupBy("__order.none", "__order.id", "__order.sha").agg(F.min("__row").alias("__stays"))
+    gone = rows.select("__row").join(left, F.col("__row") == F.col("__stays"), "left_anti").withColumnRenamed("__row", "__gone")
+    return keyed.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
