@@ -45,8 +45,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.verb == "validate":
         files.write_table(patches.checked(files.read_vert(spark, args.input), "transcript_id"), args.output, order=["token_id", "check"])
     elif args.verb == "align":
-        tokens = files.read_vert(spark, args.input).groupBy("transcript_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("line", "form"))), lambda x: x["form"]).alias("tokens"))
-        rows = alignment.alignment_rows(alignment.file_pairs(tokens.withColumnRenamed("transcript_id", "path")), ["base", "first", "second"])
+        pairs = alignment.file_pairs(alignment.timed_tokens(files.read_vert(spark, args.input)))
+        # without times the longer side is still cut to as many tokens as the shorter has
+        size = F.when(F.col("timed"), F.greatest(F.size("a"), F.size("b"))).otherwise(F.least(F.size("a"), F.size("b")))
+        pairs = pairs.withColumns({c: F.slice(c, F.lit(1), size) for c in ("a", "b")})
+        rows = alignment.alignment_rows(pairs, ["base", "first", "second"])
         files.write_table(rows, f"{args.output}/tokens", by="base", order=["first", "second", "position"])
         files.write_table(alignment.error_rate(rows, ["base", "first", "second"]), f"{args.output}/rates", by="base", order=["first", "second"])
     elif args.verb == "linear":

@@ -58,13 +58,32 @@ def error_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(s.alias("substitutions"), d.alias("deletions"), i.alias("insertions"), n.alias("n"), F.when(n == 0, 0.0).otherwise((s + d + i) / n).alias("wer"), F.avg(F.when(F.col("match") == 0, 1.0).when(F.col("match") == 2, 0.5).otherwise(0.0)).alias("score"))
 
 
+def timed_tokens(vert: DataFrame) -> DataFrame:
+    """Rows (path, tokens, ends, length) of token tables, for file_pairs: a unit ends where its `align` says (`End=`), a file where the unit that starts last ends."""
+    time = lambda name: F.regexp_extract(F.col("align"), rf"(?:^|\|){name}=([0-9.]+)", 1).try_cast("double") if "align" in vert.columns else F.lit(None).cast("double")
+    unit = Window.partitionBy("transcript_id", "tu_id")
+    rows = vert.withColumns({"__begin": F.min(time("Begin")).over(unit), "__end": F.max(time("End")).over(unit)})
+    tokens = F.sort_array(F.collect_list(F.struct("line", "form", "__end")))
+    got = rows.groupBy(F.col("transcript_id").alias("path")).agg(tokens.alias("t"), F.max_by("__end", F.when(F.col("__end").isNotNull(), F.col("__begin"))).alias("length"))
+    return got.select("path", F.col("t.form").alias("tokens"), F.col("t.__end").alias("ends"), "length")
+
+
 def file_pairs(files: DataFrame) -> DataFrame:
-    """Pairs of transcriptions of one recording: rows (path, tokens) whose names are `N_base`, the lower number first; the longer is cut to the length of the shorter."""
-    named = files.select("path", "tokens", F.regexp_extract("path", r"(\d+)_([^/]*)$", 1).cast("int").alias("n"), F.regexp_extract("path", r"(\d+)_([^/]*)$", 2).alias("base")).where("base <> ''")
+    """Pairs of transcriptions of one recording: rows (path, tokens) whose names are `N_base`, the lower number first.
+
+    With a column `ends` (the end of each token's unit, in order of the tokens) and `length` (the end
+    of the last unit) both sides are cut where the shorter recording ends; a pair of which a side has
+    no times is aligned whole.
+    """
+    ends = F.col("ends") if "ends" in files.columns else F.lit(None).cast("array<double>").alias("ends")
+    length = F.col("length") if "length" in files.columns else F.lit(None).cast("double").alias("length")
+    named = files.select("path", "tokens", ends, length, F.regexp_extract("path", r"(\d+)_([^/]*)$", 1).cast("int").alias("n"), F.regexp_extract("path", r"(\d+)_([^/]*)$", 2).alias("base")).where("base <> ''")
     x, y = named.alias("x"), named.alias("y")
     got = x.join(y, (F.col("x.base") == F.col("y.base")) & (F.col("x.n") < F.col("y.n")))
-    size = F.least(F.size("x.tokens"), F.size("y.tokens"))
-    return got.select(F.col("x.base").alias("base"), F.col("x.n").alias("first"), F.col("y.n").alias("second"), F.slice("x.tokens", F.lit(1), size).alias("a"), F.slice("y.tokens", F.lit(1), size).alias("b"))
+    shared = F.when(F.col("x.length").isNotNull() & F.col("y.length").isNotNull(), F.least("x.length", "y.length"))
+    # a token whose unit has no end isn't past it
+    inside = lambda s: F.when(shared.isNull(), F.col(f"{s}.tokens")).otherwise(F.filter(f"{s}.tokens", lambda _, i: F.coalesce(F.get(f"{s}.ends", i) <= shared, F.lit(True))))
+    return got.select(F.col("x.base").alias("base"), F.col("x.n").alias("first"), F.col("y.n").alias("second"), shared.isNotNull().alias("timed"), inside("x").alias("a"), inside("y").alias("b"))
 
 
 def turns_to_units(turns: DataFrame, units: DataFrame, key: str = "transcript_id") -> DataFrame:

@@ -126,9 +126,10 @@ def word_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two transcriptions of each item, paired by their names and aligned."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", r"\s+").alias("w"))
-    files = b.select(F.concat(F.lit("dir/1_item"), "item_id").alias("path"), F.col("w").alias("tokens")).unionByName(b.select(F.concat(F.lit("dir/2_item"), "item_id").alias("path"), F.filter("w", lambda x, i: i % 6 != 2).alias("tokens")))
+    """Two transcriptions of each item, paired by their names and aligned; the k-th word of an item ends at k."""
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split("text", r"\s+"), lambda x, i: F.struct(x.alias("w"), (i + 1).cast("double").alias("end"))).alias("w"))
+    files = b.select(F.concat(F.lit("dir/1_item"), "item_id").alias("path"), F.col("w").alias("t")).unionByName(b.select(F.concat(F.lit("dir/2_item"), "item_id").alias("path"), F.filter("w", lambda x, i: i % 6 != 2).alias("t")))
+    files = files.select("path", F.col("t.w").alias("tokens"), F.col("t.end").alias("ends"), F.array_max("t.end").alias("length"))
     return alignment.alignment_rows(alignment.file_pairs(files), ["base", "first", "second"])
 
 
