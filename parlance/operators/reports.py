@@ -56,6 +56,9 @@ def upserted(old: DataFrame, new: DataFrame, key: str = "transcript") -> DataFra
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
-def widened(rows: DataFrame, column: str, width: int) -> DataFrame:
-    """An array column as `column::0`, `column::1` and so on; 0 where a row's array is shorter."""
+def widened(rows: DataFrame, column: str, width: int | None = None) -> DataFrame:
+    """An array column as `column::0`, `column::1` and so on; 0 where a row's array is shorter. Without a width, as many columns as the longest array has values."""
+    if width is None:
+        width = rows.agg(F.coalesce(F.max(F.size(column)), F.lit(0))).first()[0]
+        width = max(0, width)
     return rows.select(*[c for c in rows.columns if c != column], *[F.coalesce(F.get(column, F.lit(k)), F.lit(0)).alias(f"{column}::{k}") for k in range(width)])
