@@ -9,12 +9,15 @@ Windows that share no shingle with an item have similarity 0 with it, so fingerp
 only for windows over a shared shingle; nothing that could be verified is lost by that.
 
 The benchmark is sent to every task, in blocks of at most BLOCK_ITEMS items and BLOCK_CHARS
-characters; a larger benchmark is worked off block by block, each a pass over the documents.
+characters; a larger benchmark is worked off block by block, each a pass over the documents. Rarity
+is counted over the whole benchmark before it is cut, so results don't depend on the blocks; a
+shingle of one item weighs as much as one of none, so only those of several items are sent along.
 
 Defined results: null texts count as empty; a document or item without words matches nothing; an
 item of fewer than five words is one shingle of all its words; the best window of a pair of document
 and item is reported, of ties the first; repeated documents are reported as often as they come;
-items that are repeated are all reported. Empty tables give no rows. Other columns are ignored.
+items that are repeated are all reported; items without an id count as others and are reported with
+a null. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -80,10 +84,34 @@ class HammingIndex:
         return out
 
 
+class Rarity(NamedTuple):
+    """Of a whole benchmark: shingles that several items have, how many have each, and the number of items with words."""
+
+    shingles: np.ndarray
+    counts: np.ndarray
+    items: int
+
+
+def rarity_of(items: DataFrame, size: int) -> Rarity:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for text in batch.column(0):
+                found = np.unique(shingles(word_hashes(text.as_py(), known), size))
+                if len(found):
+                    # null counts the items
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *found.view(np.int64).tolist()], pa.int64())], ["shingle"])
+
+    got = items.select("text").mapInArrow(work, "shingle long").groupBy("shingle").count().where("count > 1 or shingle is null").toArrow()
+    number, count = got["shingle"], got["count"].to_numpy()
+    none = number.is_null().to_numpy()
+    return Rarity(number.drop_null().to_numpy().view(np.uint64), count[~none], int(count[none].sum()))
+
+
 class Benchmark:
     """What a task needs of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float, radius: int, size: int):
+    def __init__(self, items: list[tuple[int | None, str]], similarity: float, radius: int, size: int, rarity: Rarity | None = None):
         known = WordHashes()
         self.size, self.similarity = size, similarity
         hashed = [(i, word_hashes(text or "", known)) for i, text in items]
@@ -91,15 +119,18 @@ class Benchmark:
         self.ids = [i for i, _ in hashed]
         self.words = [len(h) for _, h in hashed]
         lists = [shingles(h, size) for _, h in hashed]
-        share = Counter(s for x in lists for s in set(x.tolist()))
-        self.weight = {s: 1 + math.log(len(lists) / n) for s, n in share.items()}
-        self.most = 1 + math.log(max(1, len(lists)))
+        if rarity is None:
+            share, every = Counter(s for x in lists for s in set(x.tolist())), len(lists)
+        else:
+            share, every = dict(zip(rarity.shingles.tolist(), rarity.counts.tolist(), strict=True)), rarity.items
+        self.weight = {s: 1 + math.log(every / n) for s, n in share.items() if n > 1}
+        self.most = 1 + math.log(max(1, every))
         self.bags = [Counter(x.tolist()) for x in lists]
         self.holders: dict[int, list[int]] = defaultdict(list)
         for number, bag in enumerate(self.bags):
             for s in bag:
                 self.holders[s].append(number)
-        self.known = np.array(sorted(self.weight), np.uint64)
+        self.known = np.array(sorted(self.holders), np.uint64)
         self.first = np.zeros(1 << 22, bool)
         self.first[self.known >> np.uint64(42)] = True
         prints = [fingerprints(signs(x), self.weights(x), len(x))[0] for x in lists]
@@ -159,24 +190,25 @@ class Benchmark:
         return both / (sum(self.weight.get(s, self.most) * n for bag in (a, b) for s, n in bag.items()) - both)
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_items: int, most_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items, in blocks that fit a task. A block is collected only after its size has been read."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(text).alias("text")).where("item_id is not null")
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_items: int, most_chars: int, size: int) -> Iterator[tuple[list[tuple[int | None, str]], Rarity | None]]:
+    """The items, in blocks that fit a task, each with the rarity of shingles where there are several. A block is collected only after its size has been read."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(text).alias("text"))
     count, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = max(1, math.ceil(count / most_items), math.ceil(chars / most_chars))
+    rarity = rarity_of(items, size) if parts > 1 else None
     for part in range(parts):
-        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id").toLocalIterator()]
+        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").toLocalIterator()], rarity
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, size: int = SIZE, most_items: int = BLOCK_ITEMS, most_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for every document and item with a window of that similarity: SCHEMA."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     out = None
-    for items in item_blocks(benchmark, item_id, item_text, most_items, most_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+    for block in item_blocks(benchmark, item_id, item_text, most_items, most_chars, size):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench, known = Benchmark(sent.value, similarity, radius, size), WordHashes()
+            bench, known = Benchmark(sent.value[0], similarity, radius, size, sent.value[1]), WordHashes()
             for batch in batches:
                 found = [(batch.column(0)[k].as_py(), *m) for k, value in enumerate(batch.column(1)) for m in bench.matches(word_hashes(value.as_py(), known))]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
@@ -191,11 +223,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, size: int = SIZE, most_items: int = BLOCK_ITEMS, most_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of `docs`, with all their columns, that hold no benchmark item. Nothing is moved; ids may be null or repeat."""
     schema, place = docs.schema, docs.columns.index(text)
-    for items in item_blocks(benchmark, item_id, item_text, most_items, most_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+    for block in item_blocks(benchmark, item_id, item_text, most_items, most_chars, size):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench, known = Benchmark(sent.value, similarity, radius, size), WordHashes()
+            bench, known = Benchmark(sent.value[0], similarity, radius, size, sent.value[1]), WordHashes()
             for batch in batches:
                 yield batch.filter(pa.array([not bench.matches(word_hashes(value.as_py() or "", known)) for value in batch.column(place)], pa.bool_()))
 
