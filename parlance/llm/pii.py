@@ -7,7 +7,8 @@ over their own number of digits: a permutation, so different entities of one for
 surrogate; the format stays (spaces, hyphens, country code, whether a card's check digit holds).
 E-mail addresses, secrets and names get hashed surrogates; a name keeps its title, and its words are
 drawn by the gender of the title and in the script of the name. The distinct entities are checked:
-where two share a surrogate, all but the first are given another until none do.
+where two share a surrogate, all but the first are given another until none do. With every attempt
+surnames get two syllables more, so they can't run out however many names a title has.
 
 Defined results: null text counts as empty and has no entity; overlapping finds go to the one that
 starts first, then to the order of KINDS; repeated rows get the same result. Rows with a null id
@@ -145,7 +146,8 @@ def surrogate(entity: Column, key: str, attempt: Column) -> Column:
     names = {}
     for script in SYLLABLES:
         given = F.when(female, picked(GIVEN[script, "f"], n)).otherwise(picked(GIVEN[script, "m"], n))
-        family = F.initcap(F.concat(*[picked(SYLLABLES[script], F.shiftright(n, 8 + 6 * k)) for k in range(4)]))
+        more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(2 * attempt, F.lit(1))), lambda k: picked(SYLLABLES[script], number(key, "syllable", entity, attempt, k))), "")).otherwise(F.lit(""))
+        family = F.initcap(F.concat(*[picked(SYLLABLES[script], F.shiftright(n, 8 + 6 * k)) for k in range(4)], more))
         ending = {"latin": F.lit(""), "cyrillic": F.when(female, F.lit("ва")).otherwise(F.lit("в"))}[script]
         names[script] = F.concat(title, F.when(F.size(F.split(entity, " ")) > 2, F.concat(given, F.lit(" "))).otherwise(F.lit("")), family, ending)
     name = F.when(F.substring(entity, F.length(title) + 1, F.length(entity)).rlike(r"\p{IsCyrillic}"), names["cyrillic"]).otherwise(names["latin"])
@@ -188,9 +190,12 @@ def surrogates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key:
     second = second_choices(rows, key)
     own = lambda e: surrogate(e, key, F.lit(0))
     if second is not None:
-        per = rows.select("doc_id", F.explode(F.array_distinct("entities")).alias("entity")).distinct().join(second, "entity")
-        per = per.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("second"))
-        rows = rows.join(per, "doc_id", "left")
+        # by the entities of a row, not by its id, which may be missing or repeat; rows without entities are dealt by text and meet nothing
+        rows = rows.withColumn("key", F.when(F.size("entities") > 0, F.to_json("entities")).otherwise(F.concat(F.lit("-"), F.xxhash64("text").cast("string"))))
+        per = rows.where(F.size("entities") > 0).select("key", F.array_distinct("entities").alias("entities")).distinct()
+        per = per.select("key", F.explode("entities").alias("entity")).join(second, "entity")
+        per = per.groupBy("key", F.length("key").alias("again")).agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("second")).drop("again")
+        rows = rows.join(per, "key", "left")
         own = lambda e: F.coalesce(F.element_at(F.col("second"), e), surrogate(e, key, F.lit(0)))
     rows = rows.withColumn("new", F.transform("entities", own))
     # a piece of text after every entity, and one before the first
