@@ -1,20 +1,28 @@
-"""BPE encoding and decoding: long unsplit text by tree concatenation.
-
-Text whose pre-tokens are all short is one leaf. Other text is cut into units before every single
-space between two other characters: no pre-token of the byte-level pattern spans such a place. A
-long pre-token (a run without a split: letters, digits, symbols, spaces) is a tree: its leaves are
-encoded by themselves, in parallel threads, and two neighbours are joined by encoding again a window
-around the join, growing it until its first and its last token are tokens that the two sides had
-there. Then every two tokens that stand side by side did so in some encoding, which makes the whole
-sequence the encoding of the whole pre-token.
+"""BPE encoding and decoding by tree concatenation.
+
+Text is encoded without being split first. A text longer than a leaf is halved until its pieces are
+leaves; leaves are encoded by themselves, in parallel threads, and neighbours are joined up the tree.
+At a join a window of a few tokens of both sides is encoded again, and grows until its first and its
+last token are those that the two sides have there, and both its ends are settled. What lies outside
+such a window is what the whole text has there:
+
+- An end of a window is settled before white space that follows another character, as no pre-token
+  spans such a place, so every scan that sees both characters parts there; inside a run of letters,
+  of digits, of white space or of other characters that reaches three characters into the window, as
+  no pre-token that starts before the join can then end elsewhere than it did in the side by itself
+  (the longest thing the pattern looks at besides runs is a contraction of three characters); and at
+  the end of the text.
+- Inside a pre-token, two tokens that stand side by side in some encoding may stand side by side in
+  any, and a sequence of which that holds throughout is the encoding of its bytes.
 
 Special strings in a text become their own ids, as the tokenizers library does by default. Decoding
 puts the bytes of the tokens together, special strings included; bytes that aren't UTF-8 become
 U+FFFD.
 
-Defined results: null text counts as empty, which has no ids and decodes to the empty text; repeated
-rows are returned as they come; ids may be null. An empty table gives no rows. Other columns are
-ignored, whatever their names.
+Defined results: null text counts as empty, which has no ids and decodes to the empty text; a very
+long text costs time in proportion to its length and the height of its tree; repeated rows are
+returned as they come; ids may be null. An empty table gives no rows. Other columns are ignored,
+whatever their names. A vocabulary file that asks for anything but byte-level BPE is refused.
 """
 
 from __future__ import annotations
@@ -24,8 +32,11 @@ import hashlib
 import json
 import re
 import sys
+import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +52,10 @@ from .common import whole_text
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Characters of a leaf, tokens of the first window on each side of a join, and threads that encode leaves.
-LEAF, WINDOW, THREADS = 2048, 8, 2
+#: Characters of a leaf, tokens of the first window on each side of a join, threads that encode leaves, and characters of texts encoded together.
+LEAF, WINDOW, THREADS, AT_A_TIME = 1024, 8, 2, 1_000_000
+#: Characters of one kind that settle the end of a window inside a run: as many as the longest contraction has.
+RUN = 3
 #: Where a unit may end: before a single space between two characters that aren't white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNEVEN = re.compile(r"\s | \s")
@@ -55,12 +68,39 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+#: The settings of a byte-level file that the split pattern and the merging here stand for.
+SETTINGS = {
+    ("normalizer",): None, ("post_processor",): None, ("truncation",): None, ("padding",): None,
+    ("pre_tokenizer", "type"): "ByteLevel", ("pre_tokenizer", "add_prefix_space"): False, ("pre_tokenizer", "use_regex"): True, ("decoder", "type"): "ByteLevel",
+    ("model", "type"): "BPE", ("model", "dropout"): None, ("model", "unk_token"): None, ("model", "continuing_subword_prefix"): None, ("model", "end_of_word_suffix"): None,
+    ("model", "byte_fallback"): False, ("model", "ignore_merges"): False,
+}
+
+
+def check(kept: dict) -> None:
+    """Refuse a tokenizers file with other settings, or whose merges aren't in the order of their ids."""
+    for path, want in SETTINGS.items():
+        value = kept
+        for name in path:
+            value = (value or {}).get(name)
+        if (value or None) != (want or None):
+            raise ValueError(f"{'.'.join(path)} of the vocabulary is {value!r}, and has to be {want!r}")
+    for x in kept["added_tokens"]:
+        if any(x.get(name) for name in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"the added token {x['content']!r} isn't matched as it stands")
+    vocab = kept["model"]["vocab"]
+    ranks = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in kept["model"]["merges"]]
+    if any(a >= b for a, b in zip(ranks, ranks[1:], strict=False)):
+        raise ValueError("the merges of the vocabulary aren't in the order of their ids")
+
+
 class Vocabulary:
     """The tokens of a tokenizers .json file of byte-level BPE."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             kept = json.load(f)
+        check(kept)
         letters = byte_letters()
         self.special = {x["content"]: x["id"] for x in kept["added_tokens"]}
         self.ranks = {bytes(letters[c] for c in token): i for token, i in kept["model"]["vocab"].items() if token not in self.special}
@@ -82,67 +122,112 @@ def units(text: str) -> list[str]:
     return [pieces[0], *[" " + p for p in pieces[1:]]]
 
 
-class Codec:
-    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW):
-        self.vocabulary = v = Vocabulary(path)
-        self.leaf, self.window = leaf, window
-        self.engine = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=v.ranks, special_tokens=v.special)
+def kind(c: str) -> str:
+    """What the pattern takes a character for: white space, a letter, a digit or another; none of these (empty) where Unicode has no character yet."""
+    if c.isspace() and not "\x1c" <= c <= "\x1f":
+        return "Z"
+    category = unicodedata.category(c)
+    return "" if category == "Cn" else category[0] if category[0] in "LN" else "O"
+
+
+def one_kind(text: str) -> bool:
+    return len(text) == RUN and kind(text[0]) != "" and len(set(map(kind, text))) == 1
+
+
+def parted(before: str, after: str) -> bool:
+    """Whether pre-tokens part between two characters, whatever stands around them."""
+    return kind(before) != "Z" and kind(after) == "Z"
 
-    def whole(self, piece: bytes) -> list[int]:
-        return self.engine._encode_single_piece(piece)
 
-    def tree(self, piece: str) -> list[int]:
-        """The ids of one pre-token, as a tree of its halves. A stretch of a pre-token is one pre-token, so leaves are encoded as texts, in threads."""
-        if len(piece) <= self.leaf:
-            return self.whole(piece.encode())
-        level = self.engine.encode_ordinary_batch([piece[at : at + self.leaf] for at in range(0, len(piece), self.leaf)], num_threads=THREADS)
-        while len(level) > 1:
-            level = [self.join(*level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
-        return level[0]
+class Encoded(NamedTuple):
+    ids: array
+    joins: int
+    windows: int
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
-        reach, of = self.window, self.vocabulary.bytes
+
+class Codec:
+    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW, threads: int = THREADS):
+        self.vocabulary = v = Vocabulary(path)
+        self.leaf, self.window, self.threads = leaf, window, threads
+        self.engine = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=v.ranks, special_tokens=v.special)
+        self.pool = ThreadPoolExecutor(threads)
+
+    def leaves(self, text: str, start: int, end: int) -> Iterator[str]:
+        """The pieces of text[start:end] that repeated halving leaves, in order."""
+        if end - start <= self.leaf:
+            yield text[start:end]
+        else:
+            middle = (start + end) // 2
+            yield from self.leaves(text, start, middle)
+            yield from self.leaves(text, middle, end)
+
+    def encode_leaves(self, leaves: list[str]) -> list[array]:
+        work = lambda some: [array("I", ids) for ids in map(self.engine.encode_ordinary, some)]
+        size = -(-len(leaves) // self.threads) or 1
+        return [ids for some in self.pool.map(work, [leaves[at : at + size] for at in range(0, len(leaves), size)]) for ids in some]
+
+    def joined(self, text: str, start: int, end: int, leaves: Iterator[array]) -> Encoded:
+        """The encoding of text[start:end] from those of its leaves."""
+        if end - start <= self.leaf:
+            return Encoded(next(leaves), 0, 0)
+        middle = (start + end) // 2
+        left, right = self.joined(text, start, middle, leaves), self.joined(text, middle, end, leaves)
+        ids, windows = self.join(text, start, middle, end, left.ids, right.ids)
+        return Encoded(ids, left.joins + right.joins + 1, left.windows + right.windows + windows)
+
+    def join(self, text: str, start: int, middle: int, end: int, left: array, right: array) -> tuple[array, int]:
+        """The encoding of text[start:end] from those of its halves, and the number of windows that were encoded."""
+        reach, of, windows = self.window, self.vocabulary.bytes, 0
         while True:
             a, b = left[-reach:], right[:reach]
-            ids = self.whole(b"".join(map(of.__getitem__, a + b)))
-            if (len(a) == len(left) or ids[0] == a[0]) and (len(b) == len(right) or ids[-1] == b[-1]):
-                return left[: len(left) - len(a)] + ids + right[len(b) :]
+            before, after = (b"".join(map(of.__getitem__, x)) for x in (a, b))
+            all_left, all_right = len(a) == len(left), len(b) == len(right)
+            # a window neither starts nor ends inside a character; bytes of the form 10xxxxxx go on with one
+            first = start if all_left else middle - sum(c & 0xC0 != 0x80 for c in before)
+            last = end if all_right else middle + sum(c & 0xC0 != 0x80 for c in after)
+            inside = (all_left or before[0] & 0xC0 != 0x80) and (all_right or of[right[reach]][0] & 0xC0 != 0x80)
+            if inside and (all_left or parted(text[first - 1], text[first]) or one_kind(text[first : min(first + RUN, middle)])):
+                if all_right or parted(text[last - 1], text[last]) or one_kind(text[max(last - RUN, middle) : last]):
+                    windows += 1
+                    ids = array("I", self.engine.encode_ordinary(text[first:last]))
+                    if (all_left or ids[0] == a[0]) and (all_right or ids[-1] == b[-1]):
+                        return left[: len(left) - len(a)] + ids + right[len(b) :], windows
             reach *= 2
 
-    def plain(self, text: str) -> list[int]:
-        """The ids of text without special strings. Text that splits often enough is a single leaf."""
-        if max(map(len, text.split(" "))) < self.leaf and " " * self.leaf not in text:
-            return self.engine.encode_ordinary(text)
-        ids: list[int] = []
-        short: list[str] = []
-        for unit in [*units(text), ""]:
-            if unit and len(unit) < self.leaf:
-                short.append(unit)
-                continue
-            if short:
-                ids += self.engine.encode_ordinary("".join(short))
-                short = []
-            for piece in self.vocabulary.pattern.findall(unit):
-                ids += self.tree(piece)
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for part, special in self.vocabulary.parts(text):
-            if special is not None:
-                ids.append(special)
-            elif ids:
-                ids += self.plain(part)
-            else:
-                ids = self.plain(part)
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
-        return self.engine.decode_bytes(ids).decode("utf-8", "replace")
-
-
-def packed(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+    def encode_all(self, texts: list[str]) -> list[Encoded]:
+        """The encodings of texts; the leaves of all of them are encoded together."""
+        parts = [list(self.vocabulary.parts(t)) for t in texts]
+        leaves = iter(self.encode_leaves([x for of_text in parts for part, special in of_text if special is None for x in self.leaves(part, 0, len(part))]))
+        out = []
+        for of_text in parts:
+            done = [Encoded(array("I", [special]), 0, 0) if special is not None else self.joined(part, 0, len(part), leaves) for part, special in of_text]
+            out.append(done[0] if len(done) == 1 else Encoded(sum((x.ids for x in done), array("I")), sum(x.joins for x in done), sum(x.windows for x in done)))
+        return out
+
+    def encode(self, text: str) -> array:
+        return self.encode_all([text])[0].ids
+
+    def decode(self, ids: Iterable[int]) -> str:
+        return b"".join(map(self.vocabulary.bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+
+def groups(texts: pa.Array, chars: int = AT_A_TIME) -> Iterator[list[str]]:
+    """The texts of a batch in lists of bounded length; a text is never divided."""
+    held, length = [], 0
+    for value in texts:
+        held.append(value.as_py())
+        length += len(held[-1])
+        if length >= chars:
+            yield held
+            held, length = [], 0
+    if held:
+        yield held
+
+
+def packed(ids: Iterable[int]) -> bytes:
+    if sys.byteorder == "little" and array("I").itemsize == 4:
+        return (ids if isinstance(ids, array) else array("I", ids)).tobytes()
+    return np.array(ids, "<u4").tobytes()
 
 
 def unpacked(ids: bytes | None) -> list[int]:
@@ -167,7 +252,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(SparkFiles.get(name), leaf, window)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packed(own.encode(x.as_py())) for x in batch.column(1)], pa.binary())], ["doc_id", "text", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packed(x.ids) for some in groups(batch.column(1)) for x in own.encode_all(some)], pa.binary())], ["doc_id", "text", "ids"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(work, "doc_id long, text string, ids binary")
 
@@ -185,18 +270,19 @@ def decode(encoded: DataFrame, vocabulary: str, doc_id: str = "doc_id", ids: str
 
 
 def digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
-    """Encode, decode, and what identifies both: doc_id, n_tokens, ids_sha256, decoded_sha256. Ids and texts stay in the task."""
+    """Encode, decode, and what identifies both: doc_id, n_tokens, ids_sha256, decoded_sha256; and the joins of the tree with the windows they took. Ids and texts stay in the task."""
     name = shipped(docs.sparkSession, vocabulary)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_joins long, n_windows long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(SparkFiles.get(name), leaf, window)
         for batch in batches:
-            counts, first, second = [], [], []
-            for value in batch.column(1):
-                ids = own.encode(value.as_py())
-                counts.append(len(ids))
-                first.append(hashlib.sha256(packed(ids)).hexdigest())
-                second.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            rows = []
+            for some in groups(batch.column(1)):
+                for x in own.encode_all(some):
+                    rows.append((len(x.ids), hashlib.sha256(packed(x.ids)).hexdigest(), hashlib.sha256(own.decode(x.ids).encode()).hexdigest(), x.joins, x.windows))
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_joins", "n_windows"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(work, schema)
