@@ -3,8 +3,10 @@
 The texts of a batch are cut into units (see bpe.units), and the units not seen before into
 pre-tokens. The bytes of all new pre-tokens lie in one ragged numpy array. In a round, every
 pre-token applies its own lowest-rank pair, at each place where it stands, all pre-tokens at once;
-those without a pair left are done. The symbols that survive are the tokens. Long pre-tokens are
-worked off in arrays of their own bounded size like all others; nothing is cut.
+those without a pair left are done. The symbols that survive are the tokens. In a pre-token of more
+than LONG bytes a round touches only the places of the pair whose turn it is, and their neighbours:
+places are kept by rank, and a pair that a merge makes always ranks after that merge, so ranks come
+up in order. Such a pre-token costs time in proportion to its merges; nothing is cut.
 
 Defined results: null text counts as empty: no bytes, no tokens; special strings count as one token
 each, as the tokenizers library has it by default; repeated rows are returned as they come; ids may
@@ -14,6 +16,7 @@ be null. An empty table gives no rows. Other columns are ignored, whatever their
 from __future__ import annotations
 
 import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,8 @@ from .common import whole_text
 LIMIT = 1024
 #: Units that a task remembers, and bytes of the pre-tokens merged at a time.
 REMEMBERED, AT_A_TIME = 400_000, 1_000_000
+#: Bytes from which a pre-token is merged by places.
+LONG = 2000
 NONE = np.iinfo(np.int64).max
 
 
@@ -38,12 +43,14 @@ class Merger:
         ranks = vocabulary.ranks
         self.width = max(ranks.values()) + 1
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = {}
+        pairs, ranks_of_bytes = {}, set(self.byte.tolist())
         for token, rank in ranks.items():
             if len(token) > 1:
                 parts = self.parts(token, rank, ranks)
                 if len(parts) == 2:
                     pairs[ranks[parts[0]] * self.width + ranks[parts[1]]] = rank
+        if any(made <= max(divmod(key, self.width)) for key, made in pairs.items() if max(divmod(key, self.width)) not in ranks_of_bytes):
+            raise ValueError("a merge of the vocabulary ranks before one that it needs")
         self.keys = np.array(sorted(pairs), np.int64)
         self.made = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
         # pairs of small symbols, which are most of those looked up, by place
@@ -105,6 +112,54 @@ class Merger:
             total -= np.bincount(owner[at], minlength=len(total))
             symbols, owner = symbols[stay], owner[stay]
 
+    def count_long(self, piece: bytes) -> int:
+        """Surviving symbols of one long piece, as a linked list in arrays: a round costs what its pair's places do."""
+        n = len(piece)
+        symbols = self.byte[np.frombuffer(piece, np.uint8)]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, NONE, np.int64)
+        rank[:-1] = self.ranks_of(symbols[:-1], symbols[1:])
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            """Keep places by the rank of the pair that starts there."""
+            places = places[rank[places] < NONE]
+            places = places[np.argsort(rank[places], kind="stable")]
+            ranks = rank[places]
+            for some in np.split(places, np.flatnonzero(np.diff(ranks)) + 1) if len(places) else ():
+                own = int(rank[some[0]])
+                if own not in waiting:
+                    waiting[own] = []
+                    heapq.heappush(order, own)
+                waiting[own].append(some)
+
+        wait(np.arange(n))
+        left = n
+        while order:
+            own = heapq.heappop(order)
+            at = np.unique(np.concatenate(waiting.pop(own)))
+            # a place whose symbols have changed since has another rank now
+            at = at[rank[at] == own]
+            if not len(at):
+                continue
+            # a run of places one after another (aaa): every other one from its start
+            new = np.r_[True, after[at[:-1]] != at[1:]]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - first) % 2 == 0]
+            gone = after[at]
+            symbols[at], after[at], rank[gone] = own, after[gone], NONE
+            follows = after[at] < n
+            before[after[at][follows]] = at[follows]
+            left -= len(at)
+            rank[at] = NONE
+            rank[at[follows]] = self.ranks_of(symbols[at[follows]], symbols[after[at[follows]]])
+            ahead = before[at]
+            ahead = ahead[ahead >= 0]
+            rank[ahead] = self.ranks_of(symbols[ahead], symbols[after[ahead]])
+            wait(np.unique(np.concatenate([at, ahead])))
+        return left
+
 
 class Counter:
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -118,7 +173,10 @@ class Counter:
         # str.isalpha() is true of letters alone, which with the space before them are one pre-token
         split = {u: find(u) for u in new if not (u.isalpha() or u[0] == " " and u[1:].isalpha())}
         pieces = list({*(p for ps in split.values() for p in ps if p not in known), *(u for u in new if u not in split and u not in known)})
-        counts, at = {}, 0
+        long = [p for p in pieces if len(p) > LONG // 4 and len(p.encode()) > LONG]
+        counts, at = {p: self.merger.count_long(p.encode()) for p in long}, 0
+        if long:
+            pieces = [p for p in pieces if p not in counts]
         while at < len(pieces):
             some, size = [], 0
             while at < len(pieces) and size < AT_A_TIME:
