@@ -1,10 +1,11 @@
 """N-gram Jaccard join: MinHash banding finds candidates, whole n-gram sets decide.
 
 1. Every text becomes its set of five-word shingles, a digest of that set, band hashes and a short
-   signature. Texts with equal sets are one entry from here on.
+   signature. Texts with equal sets are one entry from here on, by that digest and not by an id.
 2. Entries are dealt by band hash. A bucket is cut into blocks and every two blocks meet in one
-   cell, so no task holds more than two blocks however large the bucket. In a cell, pairs whose
-   signatures agree enough link up; only a spanning forest of them leaves the cell.
+   cell, which holds no more than two blocks however large the bucket. Cells are dealt to tasks by
+   ranges of as many rows. In a cell, pairs whose signatures agree enough link up; only a spanning
+   forest of them leaves the cell.
 3. The components of these forests are the candidate groups. Their texts move once for a group
    within one block (once per block beyond that), to cells as before, and every pair in a cell is
    verified on the full sets. Cells return a count of links per entry and a spanning forest.
@@ -16,8 +17,9 @@ copies costs rows in proportion to its size (times its blocks), not to its squar
 Defined results: null text counts as empty; a text without words has no shingle and links to
 nothing; a text of fewer than five words has one shingle, of all its words; texts with equal sets
 are copies: one entry, one class, and not counted as links of each other; repeated rows are copies;
-a row with a null id is returned as its own class with no links. An empty table gives no rows.
-Other columns are ignored, whatever their names.
+rows of one id with different texts are compared and returned each by its own text; rows with a null
+id take part like all others, and where no row of an entry or a class has an id, entry_id or
+class_id is null. An empty table gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ SIMILARITY = 0.8
 RECALL = 0.9999
 HASHES = 128
 #: Rows of a block where buckets and groups are cut, and shingles of a block of texts.
-BLOCK, BLOCK_SHINGLES = 256, 500_000
+BLOCK, BLOCK_SHINGLES = 128, 500_000
 
 
 def bands_and_rows(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -78,14 +80,20 @@ class Sketcher:
         return mixed(total).view(np.int64)
 
 
+def named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows (doc_id, text_key, text): the key tells texts of one id apart."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """Rows (doc_id, set_key, n, buckets, signature); the last four are null where there is no shingle."""
+    """Rows (doc_id, text_key, set_key, n, buckets, signature); the last four are null where there is no shingle."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Sketcher(bands, rows, size)
         for batch in batches:
             keys, sizes, buckets, short = [], [], [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 found = maker.set_of(value.as_py())
                 if not len(found):
                     for out in (keys, sizes, buckets, short):
@@ -96,9 +104,9 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, row
                 sizes.append(len(found))
                 buckets.append(maker.buckets(signature))
                 short.append((signature >> np.uint64(56)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())), pa.array(short, pa.binary())], ["doc_id", "set_key", "n", "buckets", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())), pa.array(short, pa.binary())], ["doc_id", "text_key", "set_key", "n", "buckets", "signature"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(sketch, "doc_id long, set_key binary, n long, buckets array<long>, signature binary")
+    return named(docs, doc_id, text).mapInArrow(sketch, "doc_id long, text_key long, set_key binary, n long, buckets array<long>, signature binary")
 
 
 def into_cells(df: DataFrame, group: str, blocks: str) -> DataFrame:
@@ -178,7 +186,7 @@ def near(buckets: DataFrame, floor: float) -> DataFrame:
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
-    return buckets.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, "a long, b long")
+    return buckets.repartitionByRange("cell").sortWithinPartitions("cell").mapInArrow(work, "a long, b long")
 
 
 def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
@@ -203,7 +211,7 @@ def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
             done = [np.concatenate(x) for x in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in done], ["entry", "top", "n_links"])
 
-    return texts.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, "entry long, top long, n_links long")
+    return texts.repartitionByRange("cell").sortWithinPartitions("cell").mapInArrow(work, "entry long, top long, n_links long")
 
 
 def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, size: int = SIZE, recall: float = RECALL, hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
@@ -216,25 +224,32 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
     # Six standard deviations below the similarity (and a byte agrees by chance once in 256 times).
     floor = max(0.0, similarity - 6 * math.sqrt(similarity * (1 - similarity) / (bands * rows)))
     made = written(sketches(docs, doc_id, text, size, bands, rows), "sketch")
-    entries = made.where("set_key is not null and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("entry"), F.first("buckets").alias("buckets"), F.first("signature").alias("signature"))
-    entries = written(entries, "entries")
+    # Of an entry: one row that has its set, with an id where there is one. Entries are numbered once and written with their numbers.
+    source = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    entries = made.where("set_key is not null").groupBy("set_key", "n").agg(F.min(source).alias("source"), F.first("buckets").alias("buckets"), F.first("signature").alias("signature"))
+    entries = written(entries.withColumn("entry", F.monotonically_increasing_id()), "entries")
     members = entries.select("entry", F.explode("buckets").alias("bucket"))
     full = members.groupBy("bucket", F.shiftright("bucket", 1).alias("__again")).agg(F.count("*").alias("m")).where("m > 1").select("bucket", F.ceil(F.col("m") / block).alias("blocks"))
     shared = members.join(full, "bucket").join(entries.select("entry", "signature"), "entry")
     groups = components(near(into_cells(shared, "bucket", "blocks"), floor))
-    groups = written(groups.select(F.col("node").alias("entry"), F.col("class_id").alias("candidate")), "candidates")
-    sizes = groups.join(entries.select("entry", "n"), "entry").groupBy("candidate", F.shiftright("candidate", 1).alias("__again"))
+    groups = groups.select(F.col("node").alias("entry"), F.col("class_id").alias("candidate")).join(entries.select("entry", "n", "source"), "entry")
+    groups = written(groups.select("entry", "candidate", "n", F.col("source.none").alias("none"), F.coalesce("source.doc_id", F.lit(0)).alias("id"), F.col("source.text_key").alias("text_key")), "candidates")
+    sizes = groups.groupBy("candidate", F.shiftright("candidate", 1).alias("__again"))
     sizes = sizes.agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")).drop("__again")
-    # Both sides grow with the input, so neither is ever broadcast.
-    texts = docs.select(F.col(doc_id).cast("long").alias("entry"), whole_text(text).alias("text")).hint("merge").join(groups, "entry").dropDuplicates(["entry"])
+    # Both sides grow with the input, so neither is ever broadcast. Repeated rows meet the same entry.
+    texts = named(docs, doc_id, text).select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key", "text")
+    texts = texts.hint("merge").join(groups.drop("n"), ["none", "id", "text_key"]).select("entry", "candidate", "text").dropDuplicates(["entry"])
     found = written(verified(into_cells(texts.join(sizes, "candidate"), "candidate", "blocks"), similarity, size), "verified")
-    classes = components(found.select(F.col("entry").alias("a"), F.col("top").alias("b"))).withColumnRenamed("node", "entry")
+    classes = components(found.select(F.col("entry").alias("a"), F.col("top").alias("b"))).select(F.col("node").alias("entry"), F.col("class_id").alias("class"))
     links = found.groupBy("entry").agg(F.sum("n_links").alias("n_links"))
-    known = entries.select("set_key", "entry").join(classes, "entry", "left").join(links, "entry", "left")
+    known = entries.select("set_key", "entry", F.col("source.doc_id").alias("entry_id")).join(classes, "entry", "left").join(links, "entry", "left")
+    known = written(known, "known")
+    least = known.where("class is not null").groupBy("class", F.shiftright("class", 1).alias("__again")).agg(F.min("entry_id").alias("class_id")).drop("__again")
+    known = known.join(least, "class", "left")
     return made.select("doc_id", "set_key").join(known, "set_key", "left").select(
         "doc_id",
-        F.coalesce("class_id", "entry", "doc_id").alias("class_id"),
-        F.coalesce("entry", "doc_id").alias("entry_id"),
+        F.when(F.col("class").isNotNull(), F.col("class_id")).when(F.col("entry").isNotNull(), F.col("entry_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(F.col("entry").isNotNull(), F.col("entry_id")).otherwise(F.col("doc_id")).alias("entry_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
