@@ -33,6 +33,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a broadcast table may hold at most.
+MOST_ROWS, MOST_BYTES = 100_000, 32_000_000
+
+
+def small(table: DataFrame, column: str) -> DataFrame:
+    """A written table, to be broadcast if its rows and the bytes of its main column have been counted and are few; else as it is."""
+    rows, size = table.agg(F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct(column)))), F.lit(0))).first()
+    return F.broadcast(table) if rows <= MOST_ROWS and size <= MOST_BYTES else table.hint("merge")
+
+
 def whole_text(column: str = "text") -> Column:
     """The text of a row; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

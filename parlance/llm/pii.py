@@ -1,19 +1,24 @@
 """PII: keyed surrogates of the same type and format, in DataFrame functions only.
 
-Entities are found by one pattern. Each gets a surrogate that depends on the key, its type and the
-whole entity, so it is the same wherever the entity stands (coreference). Digits of phones, cards,
-social security numbers and IBANs, and the two halves of IP addresses, pass a keyed Feistel network
-over their own number of digits: a permutation, so different entities of one format never share a
-surrogate; the format stays (spaces, hyphens, country code, whether a card's check digit holds).
-E-mail addresses, secrets and names get hashed surrogates; a name keeps its title, and its words are
-drawn by the gender of the title and in the script of the name. The distinct entities are checked:
-where two share a surrogate, all but the first are given another until none do. With every attempt
-surnames get two syllables more, so they can't run out however many names a title has.
+Entities are found by one pattern, and on request cards and IBANs must have valid check digits. Each
+entity stands for one or two identities: a name for a surname and a given name of a gender, an
+e-mail address for itself in lower case, any other for itself. The surrogate depends on the key and
+the identity, so it is the same wherever the identity stands (coreference): Mr John Smith, Mrs Smith
+and a bare John Smith or Smith later in that text share a surname. Digits of phones, cards, social
+security numbers and IBANs, and the two halves of IP addresses, pass a keyed Feistel network over
+their own number of digits: a permutation, so different entities of one format never share a
+surrogate; the format stays (spaces, hyphens, country code, check digits that hold). E-mail
+addresses, secrets, IPv6 addresses and names get hashed surrogates; a name keeps its title and its
+case, and its words are drawn by the gender of the title and in the script of the name.
+
+All distinct identities are checked: where two of a kind share a surrogate, all but the first are
+given another, and so is one whose surrogate is an identity that the documents have, until none is
+left. With every attempt names get two syllables more, so they can't run out.
 
 Defined results: null text counts as empty and has no entity; overlapping finds go to the one that
-starts first, then to the order of KINDS; repeated rows get the same result. Rows with a null id
-keep their surrogates too. An empty table gives no rows. Other columns are ignored, whatever their
-names.
+starts first, then to the order of KINDS; repeated rows get the same result; rows with a null id
+keep their surrogates too; a long text is one row like others. An empty table gives no rows. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,11 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text, written
+from .common import small, whole_text, written
 
 #: Titles by gender, and the words that surrogate names are made of.
 MALE = ["Mr", "Herr", "Señor", "Monsieur", "Signor", "господин"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Signora", "госпожа"]
+NEUTRAL = ["Dr", "Prof", "Doctor", "Professor"]
 GIVEN = {
     ("latin", "m"): ["Adam", "Bruno", "David", "Emil", "Felix", "Hugo", "Jonas", "Leo", "Marco", "Oscar", "Paul", "Simon", "Theo", "Victor", "Walter", "Xavier"],
     ("latin", "f"): ["Alma", "Bianca", "Clara", "Diana", "Emma", "Flora", "Greta", "Ida", "Julia", "Laura", "Maria", "Nina", "Olivia", "Rosa", "Sofia", "Vera"],
@@ -37,22 +43,27 @@ SYLLABLES = {
     "cyrillic": ["ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "ма", "не", "по", "ри", "са", "те", "фи", "хо"],
 }
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-TITLES = "|".join(MALE + FEMALE)
+TITLES = "|".join(MALE + FEMALE + NEUTRAL)
+HEXTET = r"[0-9A-Fa-f]{1,4}"
 #: What an entity of each kind looks like. None can backtrack over a long run.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w|\.\d)|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w|\.\d)",
     "card": r"(?<!\w)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\w)",
     "ssn": r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)",
     "ip": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?(?!\w)",
+    "ipv6": rf"(?<![\w:.])(?:{HEXTET}:){{7}}{HEXTET}(?![\w:])|(?<![\w:.])(?:{HEXTET}:){{2,6}}(?::{HEXTET}){{1,5}}(?![\w:])",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "access_key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
+    "token": r"(?<!\w)(?:gh[opsru]_[A-Za-z0-9]{30,100}|xox[abprs]-[A-Za-z0-9-]{10,100}|sk-[A-Za-z0-9_-]{20,100})(?!\w)",
     "secret": r"(?<!\w)(?i:password|passwd|secret|token|api_?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,}",
     "name": rf"(?<!\p{{L}})(?:{TITLES})\.?[ ]\p{{Lu}}\p{{L}}++(?:[ ]\p{{Lu}}\p{{L}}++)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Texts without any of these hold no entity.
-GUARD = rf"[0-9@=:]|(?:{TITLES})\.? \p{{Lu}}"
+GUARD = rf"[0-9@=:_]|xox|sk-|(?:{TITLES})\.? \p{{Lu}}"
+#: Two characters that Unicode leaves to programs. The first is doubled by a third where a text has it, so the two together only stand at the ends of entities.
+ESCAPE, MARK, PLAIN = "\ufdd0", "\ufdd0\ufdd1", "\ufdd0\ufdd2"
 ROUNDS, ATTEMPTS = 8, 20
 KEY = "surrogates"
 
@@ -86,10 +97,18 @@ def permuted(digits: Column, key: str, tweak: Column) -> Column:
     return F.concat(F.lpad(both["a"].cast("string"), half, "0"), F.lpad(both["b"].cast("string"), n - half, "0"))
 
 
-def refilled(shape: Column, digits: Column) -> Column:
-    """`shape` with its digits replaced by `digits`, in order."""
+def refilled(shape: Column, digits: Column, capitals: Column | None = None) -> Column:
+    """`shape` with its digits replaced by `digits`, in order; so are its capitals, where any are given."""
     chars = F.split(shape, "")
-    return F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(digits, F.length(digits_of(F.substring(shape, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+    so_far = lambda i, other: F.length(F.regexp_replace(F.substring(shape, F.lit(1), i + 1), other, ""))
+
+    def one(c: Column, i: Column) -> Column:
+        out = F.when(c.rlike("[0-9]"), F.substring(digits, so_far(i, "[^0-9]"), F.lit(1)))
+        if capitals is not None:
+            out = out.when(c.rlike("[A-Z]"), F.substring(capitals, so_far(i, "[^A-Z]"), F.lit(1)))
+        return out.otherwise(c)
+
+    return F.array_join(F.transform(chars, one), "")
 
 
 def luhn(digits: Column) -> Column:
@@ -101,6 +120,12 @@ def luhn(digits: Column) -> Column:
     return F.pmod(10 - F.pmod(total, F.lit(10)), F.lit(10))
 
 
+def mod97(text: Column) -> Column:
+    """The remainder of capitals and digits as ISO 13616 reads them: A is 10, Z is 35."""
+    value = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda total, c: F.pmod(total * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c), F.lit(97)))
+
+
 def letters(key: str, entity: Column, attempt: Column, chars: str, count: int) -> Column:
     """`count` characters of `chars` that depend on the entity."""
     picks = [F.substring(F.lit(chars), (F.pmod(F.shiftright(number(key, "letters", entity, attempt, k // 8), 5 * (k % 8)), F.lit(len(chars))) + 1).cast("int"), F.lit(1)) for k in range(count)]
@@ -115,95 +140,175 @@ def picked(words: list[str], n: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, words)), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
 
 
-def kind_of(entity: Column) -> Column:
+def kind_of(entity: Column, checked: bool) -> Column:
+    """The kind of a find; where check digits are asked for, empty if they don't hold."""
     out = F.lit("name")
     for kind in reversed([k for k in KINDS if k != "name"]):
         out = F.when(entity.rlike(f"^(?:{KINDS[kind]})$"), kind).otherwise(out)
-    return out
+    if not checked:
+        return out
+    digits, code = digits_of(entity), F.regexp_replace(entity, " ", "")
+    right = F.when(out == "card", luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1)).cast("int"))
+    right = right.when(out == "iban", mod97(F.concat(F.substring(code, F.lit(5), F.length(code)), F.substring(code, 1, 4))) == 1).otherwise(True)
+    return F.when(right, out).otherwise("")
+
+
+def title_of(name: Column) -> Column:
+    return F.regexp_extract(name, r"^(\p{L}+\.?[ ])", 1)
+
+
+def identities(kind: Column, entity: Column) -> Column:
+    """What an entity stands for: an array of (kind, value)."""
+    one = lambda k, v: F.struct(k.alias("kind"), v.alias("value"))
+    title = title_of(entity)
+    bare = F.regexp_replace(title, r"[. ]", "")
+    gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
+    named = F.lower(F.substring(entity, F.length(title) + 1, F.length(entity)))
+    script = F.when(named.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    # a Cyrillic surname goes by gender too, as its ending does
+    family = one(F.concat_ws(":", F.lit("family"), script, F.when(script == "cyrillic", gender).otherwise("n")), F.substring_index(named, " ", -1))
+    given = one(F.concat_ws(":", F.lit("given"), script, gender), F.substring_index(named, " ", 1))
+    return (
+        F.when(kind == "name", F.when(named.contains(" "), F.array(given, family)).otherwise(F.array(family)))
+        .when(kind == "email", F.array(one(kind, F.lower(entity)))).when(kind == "", F.slice(F.array(one(kind, entity)), 1, 0)).otherwise(F.array(one(kind, entity)))
+    )
 
 
-def surrogate(entity: Column, key: str, attempt: Column) -> Column:
-    """The replacement of one entity."""
-    digits, kind = digits_of(entity), kind_of(entity)
+def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of one identity."""
+    digits = digits_of(entity)
+    tweak = lambda *parts: F.concat_ws(":", attempt.cast("string"), *parts)
     # phone: the country code stays
     code = F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)
-    phone = F.concat(code, permuted(F.substring(digits, F.length(code) + 1, F.length(digits)), key, F.concat(F.lit("phone"), code)))
+    phone = F.concat(code, permuted(F.substring(digits, F.length(code) + 1, F.length(digits)), key, tweak(F.lit("phone"), code)))
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new = permuted(body, key, F.lit("card"))
+    new = permuted(body, key, tweak(F.lit("card")))
     card = F.concat(new, F.pmod(F.right(digits, F.lit(1)).cast("int") - luhn(body) + luhn(new), F.lit(10)).cast("string"))
     octets = F.transform(F.split(entity, r"\."), lambda x: x.cast("long"))
-    pair = feistel(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], F.lit(65536), F.lit(65536), key, F.lit("ip"))
+    pair = feistel(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], F.lit(65536), F.lit(65536), key, tweak(F.lit("ip")))
     ip = F.concat_ws(".", *[x.cast("string") for half in ("a", "b") for x in (F.floor(pair[half] / 256), pair[half] % 256)])
-    country = F.substring(entity, 1, 2)
+    # IBAN: the country stays, digits are permuted, capitals moved by amounts that depend on the new digits, check digits computed so that they hold as before
+    country, rest = F.substring(entity, 1, 2), F.substring(entity, F.lit(5), F.length(entity))
+    inner = permuted(digits_of(rest), key, tweak(F.lit("iban"), country))
+    moved = F.transform(F.split(F.regexp_replace(rest, "[^A-Z]", ""), ""), lambda c, i: F.when(c == "", "").otherwise(F.char(F.pmod(F.ascii(c) - 65 + number(key, "capital", attempt, i, inner), F.lit(26)) + 65)))
+    account = refilled(rest, inner, F.array_join(moved, ""))
+    two = lambda x: 98 - mod97(F.concat(F.regexp_replace(x, " ", ""), country, F.lit("00")))
+    iban = F.concat(country, F.lpad(F.pmod(F.substring(entity, 3, 2).cast("int") - two(rest) + two(account), F.lit(100)).cast("string"), 2, "0"), account)
+    hexes = long_hash(key, entity, attempt)
+    ipv6 = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("[0-9a-f]"), F.substring(hexes, i + 1, F.lit(1))).when(c.rlike("[A-F]"), F.upper(F.substring(hexes, i + 1, F.lit(1)))).otherwise(c)), "")
     email = F.concat(letters(key, entity, attempt, "abcdefghijklmnopqrstuvwxyz", 10), F.regexp_replace(F.regexp_extract(entity, r"^[^@]*?([._-]?\d*)@", 1), r"\d", "7"), F.lit("@"), letters(key, F.concat(F.lit("host"), F.substring_index(entity, "@", -1)), F.lit(0), "abcdefghijklmnopqrstuvwxyz", 8), F.lit(".example"))
     access = F.concat(F.substring(entity, 1, 4), letters(key, entity, attempt, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16))
-    start = F.regexp_extract(entity, r"^(\w+[ \t]*[=:][ \t]*[\"']?)", 1)
+    start = F.when(kind == "token", F.regexp_extract(entity, r"^(gh._|xox.-|sk-)", 1)).otherwise(F.regexp_extract(entity, r"^(\w+[ \t]*[=:][ \t]*[\"']?)", 1))
     secret_length = F.length(entity) - F.length(start)
-    secret = F.concat(start, F.substring(F.repeat(long_hash(key, entity, attempt), F.ceil(secret_length / 128).cast("int")), F.lit(1), secret_length))
-    title = F.regexp_extract(entity, r"^(\p{L}+\.?[ ])", 1)
-    female = F.regexp_replace(title, r"[. ]", "").isin(FEMALE)
-    n = number(key, "name", entity, attempt)
-    names = {}
-    for script in SYLLABLES:
-        given = F.when(female, picked(GIVEN[script, "f"], n)).otherwise(picked(GIVEN[script, "m"], n))
-        more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(2 * attempt, F.lit(1))), lambda k: picked(SYLLABLES[script], number(key, "syllable", entity, attempt, k))), "")).otherwise(F.lit(""))
-        family = F.initcap(F.concat(*[picked(SYLLABLES[script], F.shiftright(n, 8 + 6 * k)) for k in range(4)], more))
-        ending = {"latin": F.lit(""), "cyrillic": F.when(female, F.lit("ва")).otherwise(F.lit("в"))}[script]
-        names[script] = F.concat(title, F.when(F.size(F.split(entity, " ")) > 2, F.concat(given, F.lit(" "))).otherwise(F.lit("")), family, ending)
-    name = F.when(F.substring(entity, F.length(title) + 1, F.length(entity)).rlike(r"\p{IsCyrillic}"), names["cyrillic"]).otherwise(names["latin"])
+    secret = F.concat(start, F.substring(F.repeat(hexes, F.ceil(secret_length / 128).cast("int")), F.lit(1), secret_length))
+    n = number(key, "name", kind, entity, attempt)
+    drawn = {}
+    for script, syllables in SYLLABLES.items():
+        more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(2 * attempt, F.lit(1))), lambda k: picked(syllables, number(key, "syllable", entity, attempt, k))), "")).otherwise(F.lit(""))
+        ending = F.when(kind == "family:cyrillic:f", "ва").when(kind.startswith("family:cyrillic"), "в").otherwise("")
+        men, women = GIVEN[script, "m"], GIVEN[script, "f"]
+        given = F.when(kind == f"given:{script}:m", picked(men, n)).when(kind == f"given:{script}:f", picked(women, n)).otherwise(picked(men + women, n))
+        drawn[script] = F.when(kind.startswith("given"), F.concat(given, more)).otherwise(F.concat(F.initcap(F.concat(*[picked(syllables, F.shiftright(n, 8 + 6 * k)) for k in range(4)], more)), ending))
+    name = F.when(kind.contains("cyrillic"), drawn["cyrillic"]).otherwise(drawn["latin"])
     return (
         F.when(kind == "email", email).when(kind == "phone", refilled(entity, phone)).when(kind == "card", refilled(entity, card))
-        .when(kind == "ssn", refilled(entity, permuted(digits, key, F.lit("ssn")))).when(kind == "ip", ip)
-        .when(kind == "iban", refilled(entity, permuted(digits, key, F.concat(F.lit("iban"), country))))
-        .when(kind == "access_key", access).when(kind == "secret", secret).otherwise(name)
+        .when(kind == "ssn", refilled(entity, permuted(digits, key, tweak(F.lit("ssn"))))).when(kind == "ip", ip).when(kind == "ipv6", ipv6)
+        .when(kind == "iban", iban).when(kind == "access_key", access).when(kind.isin("secret", "token"), secret).otherwise(name)
     )
 
 
 def found(text: Column) -> Column:
-    """The entities of a text, in order."""
+    """What the pattern finds in a text, in order."""
     return F.when(text.rlike(GUARD), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def colliding(entities: DataFrame) -> DataFrame:
-    """Of the rows (entity, attempt, surrogate): those whose surrogate an entity before them has."""
-    firsts = entities.groupBy("surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1").select("surrogate", "first")
-    return entities.join(firsts, "surrogate").where("entity <> first").select("entity", "attempt")
+def pieces(text: Column) -> Column:
+    """A text in pieces, by one pass of the pattern: finds at odd places, what stands between them at even ones."""
+    marked = F.regexp_replace(F.regexp_replace(text, ESCAPE, PLAIN), PATTERN, f"{MARK}$0{MARK}")
+    return F.when(text.rlike(GUARD), F.transform(F.split(marked, MARK, -1), lambda x: F.regexp_replace(x, PLAIN, ESCAPE))).otherwise(F.array(text))
+
 
+def tagged(entities: Column, checked: bool) -> Column:
+    return F.transform(entities, lambda e: F.struct(kind_of(e, checked).alias("kind"), e.alias("value")))
 
-def second_choices(rows: DataFrame, key: str) -> DataFrame | None:
-    """Rows (entity, surrogate) for entities that can't have their first surrogate; None if all can."""
-    distinct = rows.select(F.explode(F.array_distinct("entities")).alias("entity")).distinct()
-    table = written(distinct.select("entity", F.lit(0).alias("attempt")).withColumn("surrogate", surrogate(F.col("entity"), key, F.col("attempt"))), "entities")
+
+def colliding(table: DataFrame) -> DataFrame:
+    """Of the rows (kind, value, attempt, surrogate): those whose surrogate a row before them of their kind has, or is a value of their kind."""
+    plain = table.select("kind", F.lower("surrogate").alias("low"), "value", "attempt")
+    firsts = plain.groupBy("kind", "low").agg(F.min("value").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "low", "first")
+    shared = plain.join(firsts, ["kind", "low"]).where("value <> first").select("kind", "value", "attempt")
+    real = plain.join(table.select("kind", F.lower("value").alias("low")).distinct(), ["kind", "low"], "left_semi").select("kind", "value", "attempt")
+    return shared.unionByName(real).distinct()
+
+
+def second_choices(rows: DataFrame, key: str, checked: bool) -> DataFrame | None:
+    """Rows (kind, value, surrogate) for identities that can't have their first surrogate; None if all can."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = rows.select(F.explode(F.array_distinct("entities")).alias("e")).distinct().select(F.explode(identities(kind_of(F.col("e"), checked), F.col("e"))).alias("i")).select("i.*").distinct()
+    chosen = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.col("attempt")))
+    # dealt to all tasks by number: the rows are few and small, the work on each isn't
+    table = written(chosen(distinct.withColumn("attempt", F.lit(0)).repartition(parts, "kind", "value")), "entities")
     for _ in range(ATTEMPTS):
-        again = colliding(table)
+        again = written(colliding(table).withColumn("attempt", F.col("attempt") + 1), "again")
         if again.isEmpty():
             changed = table.where("attempt > 0")
-            return None if changed.isEmpty() else changed.select("entity", "surrogate")
-        moved = table.select("entity", "attempt").join(again.select("entity", F.lit(1).alias("more")), "entity", "left").select("entity", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt"))
-        table = written(moved.withColumn("surrogate", surrogate(F.col("entity"), key, F.col("attempt"))), "entities")
+            return None if changed.isEmpty() else changed.select("kind", "value", "surrogate")
+        table = written(table.join(again, ["kind", "value"], "left_anti").unionByName(chosen(again.repartition(parts, "kind", "value"))), "entities")
     raise RuntimeError(f"surrogates still collide after {ATTEMPTS} attempts; their formats are too small for so many entities")
 
 
-def surrogates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
-    """One row per document: doc_id, text with surrogates, n_entities, kinds (distinct, in order of the alphabet)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).withColumn("entities", found(F.col("text")))
-    second = second_choices(rows, key)
-    own = lambda e: surrogate(e, key, F.lit(0))
+def with_seconds(rows: DataFrame, second: DataFrame) -> DataFrame:
+    """`rows` with a map `second` from identities to surrogates that aren't the first choice."""
+    # by the finds of a row, not by its id, which may be missing or repeat; rows without any are dealt by text and meet nothing
+    rows = rows.withColumn("key", F.when(F.size("found") > 0, F.sha2(F.to_json("found"), 256)).otherwise(F.xxhash64("text").cast("string")))
+    per = rows.where(F.size("found") > 0).select("key", "found").dropDuplicates(["key"])
+    per = per.select("key", F.explode(F.array_distinct(F.flatten(F.transform("found", lambda t: identities(t["kind"], t["value"]))))).alias("i")).select("key", "i.*").join(second, ["kind", "value"])
+    pairs = F.collect_list(F.struct(F.concat_ws("|", "kind", "value").alias("k"), "surrogate"))
+    per = written(per.groupBy("key", F.length("key").alias("again")).agg(F.map_from_entries(pairs).alias("second")).drop("again"), "seconds")
+    return rows.join(small(per, "second"), "key", "left")
+
+
+def surrogates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = KEY, check_digits: bool = False) -> DataFrame:
+    """One row per document: doc_id, text with surrogates, n_entities, kinds (distinct, in order of the alphabet).
+
+    With `check_digits`, numbers in the form of a card or an IBAN whose check digits don't hold are
+    no entities; without, they are, and their check digits don't hold afterwards either.
+    """
+    plain = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
+    second = second_choices(plain.select(found(F.col("text")).alias("entities")), key, check_digits)
+    rows = plain.withColumn("pieces", pieces(F.col("text")))
+    rows = rows.withColumn("found", tagged(F.filter("pieces", lambda _, i: i % 2 == 1), check_digits))
     if second is not None:
-        # by the entities of a row, not by its id, which may be missing or repeat; rows without entities are dealt by text and meet nothing
-        rows = rows.withColumn("key", F.when(F.size("entities") > 0, F.to_json("entities")).otherwise(F.concat(F.lit("-"), F.xxhash64("text").cast("string"))))
-        per = rows.where(F.size("entities") > 0).select("key", F.array_distinct("entities").alias("entities")).distinct()
-        per = per.select("key", F.explode("entities").alias("entity")).join(second, "entity")
-        per = per.groupBy("key", F.length("key").alias("again")).agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("second")).drop("again")
-        rows = rows.join(per, "key", "left")
-        own = lambda e: F.coalesce(F.element_at(F.col("second"), e), surrogate(e, key, F.lit(0)))
-    rows = rows.withColumn("new", F.transform("entities", own))
-    # a piece of text after every entity, and one before the first
-    pieces = F.split("text", PATTERN, -1)
-    joined = F.array_join(F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get("new", i), F.lit(""))))), "")
+        rows = with_seconds(rows, second)
+
+    def own(i: Column) -> Column:
+        first = surrogate(i["kind"], i["value"], key, F.lit(0))
+        return first if second is None else F.coalesce(F.element_at("second", F.concat_ws("|", i["kind"], i["value"])), first)
+
+    def cased(new: Column, old: Column) -> Column:
+        return F.when((F.upper(old) == old) & (F.length(old) > 1), F.upper(new)).otherwise(new)
+
+    def replaced(t: Column) -> Column:
+        title = title_of(t["value"])
+        words = F.split(F.substring(t["value"], F.length(title) + 1, F.length(t["value"])), " ")
+        new = F.transform(identities(t["kind"], t["value"]), own)
+        named = F.concat(title, F.array_join(F.transform(F.arrays_zip(new.alias("n"), words.alias("w")), lambda x: cased(x["n"], x["w"])), " "))
+        return F.when(t["kind"] == "", t["value"]).when(t["kind"] == "name", named).otherwise(new[0])
+
+    rows = rows.withColumn("new", F.transform("found", replaced))
+    # names of the text, without their titles: whole ones first, then surnames
+    bare = lambda e: F.substring(e, F.length(title_of(e)) + 1, F.length(e))
+    pairs = F.filter(F.arrays_zip("found", "new"), lambda x: x["found"]["kind"] == "name")
+    whole = F.transform(pairs, lambda x: F.struct(bare(x["found"]["value"]).alias("old"), bare(x["new"]).alias("new")))
+    last = F.transform(whole, lambda x: F.struct(F.substring_index(x["old"], " ", -1).alias("old"), F.substring_index(x["new"], " ", -1).alias("new")))
+    rows = rows.withColumn("names", F.array_distinct(F.concat(whole, last)))
+    again = lambda p: F.aggregate("names", p, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<!\p{L})"), x["old"], F.lit(r"(?!\p{L})")), x["new"]))
+    joined = F.array_join(F.transform("pieces", lambda p, i: F.when(i % 2 == 1, F.get("new", F.floor(i / 2).cast("int"))).when(F.size("names") > 0, again(p)).otherwise(p)), "")
+    kinds = F.filter(F.transform("found", lambda t: t["kind"]), lambda k: k != "")
     return rows.select(
         "doc_id",
-        F.when(F.size("entities") == 0, F.col("text")).otherwise(joined).alias("text"),
-        F.size("entities").cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("entities", kind_of))), ",").alias("kinds"),
+        F.when(F.size("found") == 0, F.col("text")).otherwise(joined).alias("text"),
+        F.size(kinds).cast("long").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"),
     )

@@ -81,7 +81,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents"))
+    return pii.surrogates(table(spark, sf_dir, "documents"), check_digits=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_bpe, op3_token_counts, op4_quality, op5_ngram_join, op6_language, op7_warc, op8_decontaminate, op9_url_filter, op10_pii)}
