@@ -23,6 +23,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,15 +61,21 @@ KINDS = {
     "secret": r"(?<!\w)(?i:password|passwd|secret|token|api_?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,}",
     "name": rf"(?<!\p{{L}})(?:{TITLES})\.?[ ]\p{{Lu}}\p{{L}}++(?:[ ]\p{{Lu}}\p{{L}}++)?",
 }
-PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+#: No entity starts after a character of a word, which is asked once for all kinds.
+PATTERN = rf"(?<!\w)(?:{'|'.join(f'(?:{p})' for p in KINDS.values())})"
 #: Texts without any of these hold no entity.
-GUARD = rf"[0-9@=:_]|xox|sk-|(?:{TITLES})\.? \p{{Lu}}"
+GUARD = rf"[0-9@=:_]|(?<!\w)(?:xox|sk-|(?:{TITLES})\.? \p{{Lu}})"
 #: Two characters that Unicode leaves to programs. The first is doubled by a third where a text has it, so the two together only stand at the ends of entities.
 ESCAPE, MARK, PLAIN = "\ufdd0", "\ufdd0\ufdd1", "\ufdd0\ufdd2"
 ROUNDS, ATTEMPTS = 8, 20
 KEY = "surrogates"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, and stands once in the plan."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def number(key: str, *parts: Column | str | int) -> Column:
     """60 bits, as a number, that depend on the key and the parts."""
     text = F.concat_ws("|", F.lit(key), *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
@@ -97,18 +105,11 @@ def permuted(digits: Column, key: str, tweak: Column) -> Column:
     return F.concat(F.lpad(both["a"].cast("string"), half, "0"), F.lpad(both["b"].cast("string"), n - half, "0"))
 
 
-def refilled(shape: Column, digits: Column, capitals: Column | None = None) -> Column:
-    """`shape` with its digits replaced by `digits`, in order; so are its capitals, where any are given."""
-    chars = F.split(shape, "")
-    so_far = lambda i, other: F.length(F.regexp_replace(F.substring(shape, F.lit(1), i + 1), other, ""))
-
-    def one(c: Column, i: Column) -> Column:
-        out = F.when(c.rlike("[0-9]"), F.substring(digits, so_far(i, "[^0-9]"), F.lit(1)))
-        if capitals is not None:
-            out = out.when(c.rlike("[A-Z]"), F.substring(capitals, so_far(i, "[^A-Z]"), F.lit(1)))
-        return out.otherwise(c)
-
-    return F.array_join(F.transform(chars, one), "")
+def refilled(x: Column) -> Column:
+    """The shape with its digits replaced by other digits, in order; and its capitals by others, where they aren't null."""
+    so_far = lambda i, other: F.length(F.regexp_replace(F.substring(x["shape"], F.lit(1), i + 1), other, ""))
+    one = lambda c, i: F.when(c.rlike("[0-9]"), F.substring(x["digits"], so_far(i, "[^0-9]"), F.lit(1))).when(c.rlike("[A-Z]"), F.coalesce(F.substring(x["capitals"], so_far(i, "[^A-Z]"), F.lit(1)), c)).otherwise(c)
+    return F.array_join(F.transform(F.split(x["shape"], ""), one), "")
 
 
 def luhn(digits: Column) -> Column:
@@ -127,9 +128,10 @@ def mod97(text: Column) -> Column:
 
 
 def letters(key: str, entity: Column, attempt: Column, chars: str, count: int) -> Column:
-    """`count` characters of `chars` that depend on the entity."""
-    picks = [F.substring(F.lit(chars), (F.pmod(F.shiftright(number(key, "letters", entity, attempt, k // 8), 5 * (k % 8)), F.lit(len(chars))) + 1).cast("int"), F.lit(1)) for k in range(count)]
-    return F.concat(*picks)
+    """`count` characters of `chars`, at most 32, that depend on the entity."""
+    digest = F.sha2(F.concat_ws("|", F.lit(f"{key}|letters"), attempt.cast("string"), entity), 256)
+    byte = lambda k: F.conv(F.substring(digest, 2 * k + 1, F.lit(2)), 16, 10).cast("int")
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.substring(F.lit(chars), F.pmod(byte(k), F.lit(len(chars))) + 1, F.lit(1))), "")
 
 
 def long_hash(key: str, entity: Column, attempt: Column) -> Column:
@@ -137,7 +139,7 @@ def long_hash(key: str, entity: Column, attempt: Column) -> Column:
 
 
 def picked(words: list[str], n: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, words)), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
+    return F.element_at(F.split(F.lit(" ".join(words)), " "), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
 
 
 def kind_of(entity: Column, checked: bool) -> Column:
@@ -147,10 +149,11 @@ def kind_of(entity: Column, checked: bool) -> Column:
         out = F.when(entity.rlike(f"^(?:{KINDS[kind]})$"), kind).otherwise(out)
     if not checked:
         return out
-    digits, code = digits_of(entity), F.regexp_replace(entity, " ", "")
-    right = F.when(out == "card", luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1)).cast("int"))
-    right = right.when(out == "iban", mod97(F.concat(F.substring(code, F.lit(5), F.length(code)), F.substring(code, 1, 4))) == 1).otherwise(True)
-    return F.when(right, out).otherwise("")
+    last = F.right(digits_of(entity), F.lit(1)).cast("int")
+    code = F.regexp_replace(entity, " ", "")
+    card = luhn(F.regexp_replace(digits_of(entity), ".$", "")) == last
+    iban = mod97(F.concat(F.substring(code, F.lit(5), F.length(code)), F.substring(code, 1, 4))) == 1
+    return let(out, lambda kind: F.when((kind == "card") & ~card, "").when((kind == "iban") & ~iban, "").otherwise(kind))
 
 
 def title_of(name: Column) -> Column:
@@ -160,60 +163,87 @@ def title_of(name: Column) -> Column:
 def identities(kind: Column, entity: Column) -> Column:
     """What an entity stands for: an array of (kind, value)."""
     one = lambda k, v: F.struct(k.alias("kind"), v.alias("value"))
-    title = title_of(entity)
-    bare = F.regexp_replace(title, r"[. ]", "")
-    gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
-    named = F.lower(F.substring(entity, F.length(title) + 1, F.length(entity)))
-    script = F.when(named.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    # a Cyrillic surname goes by gender too, as its ending does
-    family = one(F.concat_ws(":", F.lit("family"), script, F.when(script == "cyrillic", gender).otherwise("n")), F.substring_index(named, " ", -1))
-    given = one(F.concat_ws(":", F.lit("given"), script, gender), F.substring_index(named, " ", 1))
-    return (
-        F.when(kind == "name", F.when(named.contains(" "), F.array(given, family)).otherwise(F.array(family)))
-        .when(kind == "email", F.array(one(kind, F.lower(entity)))).when(kind == "", F.slice(F.array(one(kind, entity)), 1, 0)).otherwise(F.array(one(kind, entity)))
-    )
+    none = F.filter(F.array(one(kind, entity)), lambda _: F.lit(False))
 
+    def names(title: Column) -> Column:
+        bare = F.regexp_replace(title, r"[. ]", "")
+        gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
+        named = F.lower(F.substring(entity, F.length(title) + 1, F.length(entity)))
+        script = F.when(named.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        return let(F.struct(named.alias("named"), script.alias("script"), gender.alias("gender")), parts)
 
-def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
-    """The replacement of one identity."""
+    def parts(x: Column) -> Column:
+        # a Cyrillic surname goes by gender too, as its ending does
+        family = one(F.concat_ws(":", F.lit("family"), x["script"], F.when(x["script"] == "cyrillic", x["gender"]).otherwise("n")), F.substring_index(x["named"], " ", -1))
+        given = one(F.concat_ws(":", F.lit("given"), x["script"], x["gender"]), F.substring_index(x["named"], " ", 1))
+        return F.when(x["named"].contains(" "), F.array(given, family)).otherwise(F.array(family))
+
+    return F.when(kind == "name", let(title_of(entity), names)).when(kind == "email", F.array(one(kind, F.lower(entity)))).when(kind == "", none).otherwise(F.array(one(kind, entity)))
+
+
+def numeric(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of a phone, a card, a social security number or an IBAN."""
     digits = digits_of(entity)
-    tweak = lambda *parts: F.concat_ws(":", attempt.cast("string"), *parts)
-    # phone: the country code stays
-    code = F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)
-    phone = F.concat(code, permuted(F.substring(digits, F.length(code) + 1, F.length(digits)), key, tweak(F.lit("phone"), code)))
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new = permuted(body, key, tweak(F.lit("card")))
-    card = F.concat(new, F.pmod(F.right(digits, F.lit(1)).cast("int") - luhn(body) + luhn(new), F.lit(10)).cast("string"))
-    octets = F.transform(F.split(entity, r"\."), lambda x: x.cast("long"))
-    pair = feistel(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], F.lit(65536), F.lit(65536), key, tweak(F.lit("ip")))
-    ip = F.concat_ws(".", *[x.cast("string") for half in ("a", "b") for x in (F.floor(pair[half] / 256), pair[half] % 256)])
-    # IBAN: the country stays, digits are permuted, capitals moved by amounts that depend on the new digits, check digits computed so that they hold as before
-    country, rest = F.substring(entity, 1, 2), F.substring(entity, F.lit(5), F.length(entity))
-    inner = permuted(digits_of(rest), key, tweak(F.lit("iban"), country))
-    moved = F.transform(F.split(F.regexp_replace(rest, "[^A-Z]", ""), ""), lambda c, i: F.when(c == "", "").otherwise(F.char(F.pmod(F.ascii(c) - 65 + number(key, "capital", attempt, i, inner), F.lit(26)) + 65)))
-    account = refilled(rest, inner, F.array_join(moved, ""))
-    two = lambda x: 98 - mod97(F.concat(F.regexp_replace(x, " ", ""), country, F.lit("00")))
-    iban = F.concat(country, F.lpad(F.pmod(F.substring(entity, 3, 2).cast("int") - two(rest) + two(account), F.lit(100)).cast("string"), 2, "0"), account)
-    hexes = long_hash(key, entity, attempt)
-    ipv6 = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("[0-9a-f]"), F.substring(hexes, i + 1, F.lit(1))).when(c.rlike("[A-F]"), F.upper(F.substring(hexes, i + 1, F.lit(1)))).otherwise(c)), "")
+    # what is permuted: of a phone the digits after the country code, of a card all but the last, of an IBAN those after the check digits
+    code = F.when(kind == "phone", F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)).otherwise("")
+    shape = F.when(kind == "iban", F.substring(entity, F.lit(5), F.length(entity))).otherwise(entity)
+    inner = F.when(kind == "card", F.regexp_replace(digits, ".$", "")).when(kind == "iban", digits_of(shape)).otherwise(F.substring(digits, F.length(code) + 1, F.length(digits)))
+    country = F.when(kind == "iban", F.substring(entity, 1, 2)).otherwise("")
+    parts = F.struct(code.alias("code"), shape.alias("shape"), inner.alias("inner"), country.alias("country"), F.right(digits, F.lit(1)).cast("int").alias("last"))
+
+    def formed(x: Column, new: Column) -> Column:
+        # the check digit of a card is as far from the right one as it was
+        card = F.concat(new, F.pmod(x["last"] - luhn(x["inner"]) + luhn(new), F.lit(10)).cast("string"))
+        # the capitals of an IBAN are moved by amounts that depend on the new digits
+        moved = F.transform(F.split(F.regexp_replace(x["shape"], "[^A-Z]", ""), ""), lambda c, i: F.when(c == "", "").otherwise(F.char(F.pmod(F.ascii(c) - 65 + number(key, "capital", attempt, i, new), F.lit(26)) + 65)))
+        return let(F.struct(x["shape"].alias("shape"), F.when(kind == "card", card).otherwise(F.concat(x["code"], new)).alias("digits"), F.when(kind == "iban", F.array_join(moved, "")).alias("capitals")), refilled)
+
+    def whole(x: Column, body: Column) -> Column:
+        # the check digits of an IBAN are as far from the right ones as they were
+        two = lambda b: 98 - mod97(F.concat(F.regexp_replace(b, " ", ""), x["country"], F.lit("00")))
+        return F.when(kind == "iban", F.concat(x["country"], F.lpad(F.pmod(F.substring(entity, 3, 2).cast("int") - two(x["shape"]) + two(body), F.lit(100)).cast("string"), 2, "0"), body)).otherwise(body)
+
+    tweak = lambda x: F.concat_ws(":", attempt.cast("string"), kind, x["code"], x["country"])
+    return let(parts, lambda x: let(let(permuted(x["inner"], key, tweak(x)), lambda new: formed(x, new)), lambda body: whole(x, body)))
+
+
+def hashed(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of an IPv6 address, an e-mail address, an access key, a token or a secret."""
     email = F.concat(letters(key, entity, attempt, "abcdefghijklmnopqrstuvwxyz", 10), F.regexp_replace(F.regexp_extract(entity, r"^[^@]*?([._-]?\d*)@", 1), r"\d", "7"), F.lit("@"), letters(key, F.concat(F.lit("host"), F.substring_index(entity, "@", -1)), F.lit(0), "abcdefghijklmnopqrstuvwxyz", 8), F.lit(".example"))
     access = F.concat(F.substring(entity, 1, 4), letters(key, entity, attempt, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16))
+    ipv6 = lambda hexes: F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c.rlike("[0-9a-f]"), F.substring(hexes, i + 1, F.lit(1))).when(c.rlike("[A-F]"), F.upper(F.substring(hexes, i + 1, F.lit(1)))).otherwise(c)), "")
     start = F.when(kind == "token", F.regexp_extract(entity, r"^(gh._|xox.-|sk-)", 1)).otherwise(F.regexp_extract(entity, r"^(\w+[ \t]*[=:][ \t]*[\"']?)", 1))
-    secret_length = F.length(entity) - F.length(start)
-    secret = F.concat(start, F.substring(F.repeat(hexes, F.ceil(secret_length / 128).cast("int")), F.lit(1), secret_length))
-    n = number(key, "name", kind, entity, attempt)
-    drawn = {}
-    for script, syllables in SYLLABLES.items():
+    secret = lambda x: F.concat(x["start"], F.substring(F.repeat(x["hexes"], F.ceil(x["n"] / 128).cast("int")), F.lit(1), x["n"]))
+    hexes = long_hash(key, entity, attempt)
+    return F.when(kind == "email", email).when(kind == "ipv6", let(hexes, ipv6)).when(kind == "access_key", access).otherwise(let(F.struct(start.alias("start"), hexes.alias("hexes"), (F.length(entity) - F.length(start)).alias("n")), secret))
+
+
+def word(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of a given name or a surname."""
+
+    def drawn(script: str, n: Column) -> Column:
+        syllables, men, women = SYLLABLES[script], GIVEN[script, "m"], GIVEN[script, "f"]
         more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(2 * attempt, F.lit(1))), lambda k: picked(syllables, number(key, "syllable", entity, attempt, k))), "")).otherwise(F.lit(""))
         ending = F.when(kind == "family:cyrillic:f", "ва").when(kind.startswith("family:cyrillic"), "в").otherwise("")
-        men, women = GIVEN[script, "m"], GIVEN[script, "f"]
-        given = F.when(kind == f"given:{script}:m", picked(men, n)).when(kind == f"given:{script}:f", picked(women, n)).otherwise(picked(men + women, n))
-        drawn[script] = F.when(kind.startswith("given"), F.concat(given, more)).otherwise(F.concat(F.initcap(F.concat(*[picked(syllables, F.shiftright(n, 8 + 6 * k)) for k in range(4)], more)), ending))
-    name = F.when(kind.contains("cyrillic"), drawn["cyrillic"]).otherwise(drawn["latin"])
+        given = F.when(kind.endswith("m"), picked(men, n)).when(kind.endswith("f"), picked(women, n)).otherwise(picked(men + women, n))
+        family = F.initcap(F.concat(*[picked(syllables, F.shiftright(n, 8 + 6 * k)) for k in range(4)], more))
+        return F.when(kind.startswith("given"), F.concat(given, more)).otherwise(F.concat(family, ending))
+
+    return let(number(key, "name", kind, entity, attempt), lambda n: F.when(kind.contains("cyrillic"), drawn("cyrillic", n)).otherwise(drawn("latin", n)))
+
+
+def address(entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of an IPv4 address."""
+    pair = lambda x: feistel(x[0] * 256 + x[1], x[2] * 256 + x[3], F.lit(65536), F.lit(65536), key, F.concat_ws(":", attempt.cast("string"), F.lit("ip")))
+    octets = F.transform(F.split(entity, r"\."), lambda x: x.cast("long"))
+    return let(let(octets, pair), lambda x: F.concat_ws(".", *[y.cast("string") for half in ("a", "b") for y in (F.floor(x[half] / 256), x[half] % 256)]))
+
+
+def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
+    """The replacement of one identity."""
     return (
-        F.when(kind == "email", email).when(kind == "phone", refilled(entity, phone)).when(kind == "card", refilled(entity, card))
-        .when(kind == "ssn", refilled(entity, permuted(digits, key, tweak(F.lit("ssn"))))).when(kind == "ip", ip).when(kind == "ipv6", ipv6)
-        .when(kind == "iban", iban).when(kind == "access_key", access).when(kind.isin("secret", "token"), secret).otherwise(name)
+        F.when(kind.isin("phone", "card", "ssn", "iban"), numeric(kind, entity, key, attempt)).when(kind == "ip", address(entity, key, attempt))
+        .when(kind.contains(":"), word(kind, entity, key, attempt)).otherwise(hashed(kind, entity, key, attempt))
     )
 
 
@@ -247,14 +277,15 @@ def second_choices(rows: DataFrame, key: str, checked: bool) -> DataFrame | None
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct = rows.select(F.explode(F.array_distinct("entities")).alias("e")).distinct().select(F.explode(identities(kind_of(F.col("e"), checked), F.col("e"))).alias("i")).select("i.*").distinct()
     chosen = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.col("attempt")))
-    # dealt to all tasks by number: the rows are few and small, the work on each isn't
-    table = written(chosen(distinct.withColumn("attempt", F.lit(0)).repartition(parts, "kind", "value")), "entities")
+    # dealt to all tasks by number: the rows are few and small, the work on each isn't; by the value alone, as a
+    # repartition by what the rows are already dealt by is left out of the plan, and its tasks are put together
+    table = written(chosen(distinct.withColumn("attempt", F.lit(0)).repartition(parts, "value")), "entities")
     for _ in range(ATTEMPTS):
         again = written(colliding(table).withColumn("attempt", F.col("attempt") + 1), "again")
         if again.isEmpty():
             changed = table.where("attempt > 0")
             return None if changed.isEmpty() else changed.select("kind", "value", "surrogate")
-        table = written(table.join(again, ["kind", "value"], "left_anti").unionByName(chosen(again.repartition(parts, "kind", "value"))), "entities")
+        table = written(table.join(again, ["kind", "value"], "left_anti").unionByName(chosen(again.repartition(parts, "value"))), "entities")
     raise RuntimeError(f"surrogates still collide after {ATTEMPTS} attempts; their formats are too small for so many entities")
 
 
