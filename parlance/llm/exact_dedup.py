@@ -1,7 +1,8 @@
 """Exact deduplication by content-defined chunk recipes, in DataFrame functions only.
 
 A text is cut where its content says so (after the first sentence end or line end past a minimum
-size, at a maximum size otherwise), so equal passages give equal chunks wherever they stand. The
+size; where there is none up to a maximum size, after the first of some rare characters; and only
+where there is none of these either at the maximum size), so equal passages give equal chunks wherever they stand. The
 chunk text moves once: equal chunks are merged before the shuffle, and in the shuffle every digest
 is verified to stand for one chunk only. A document is from then on the ordered list of its chunk
 identifiers, its recipe; documents are equal when their recipes are equal, so long texts are never
@@ -32,27 +33,30 @@ def sha256_bytes(chunk: Column) -> Column:
 
 def chunks(text: Column, least: int = MIN_CHARS, most: int = MAX_CHARS) -> Column:
     """The ordered chunks of a text; put together they are the text. An empty text has none."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s).{{{least},{most}}}?(?<=[.!?\n\x{{3002}}])|.{{1,{most}}}"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{{least},{most}}}?(?<=[.!?\n\x{{3002}}])|.{{{least},{most}}}?(?<=[0QZXqzx\x{{3001}}])|.{{1,{most}}}"), F.lit(0))
 
 
-def colliding(texts: DataFrame, digest: Callable[[Column], Column], cut: Callable[[Column], Column]) -> list[bytes]:
-    """The digests that stand for more than one chunk text, found by comparing the chunks themselves."""
+def colliding(texts: DataFrame, digest: Callable[[Column], Column], cut: Callable[[Column], Column]) -> list[bytes] | None:
+    """The digests that stand for more than one chunk text, found by comparing the chunks themselves; None if they are too many to name."""
     each = texts.select(F.explode(cut(F.col("text"))).alias("chunk")).select(digest(F.col("chunk")).alias("digest"), "chunk")
     found = each.distinct().groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").take(MAX_COLLISIONS + 1)
     if len(found) > MAX_COLLISIONS:
-        raise ValueError(f"the chunk digest collides more than {MAX_COLLISIONS} times; take a stronger one")
+        return None
     return [bytes(r.digest) for r in found]
 
 
 def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256_bytes, cut: Callable[[Column], Column] = chunks) -> DataFrame:
     """Rows (doc_id, text, recipe): recipe is the ordered list of verified chunk identifiers.
 
-    The identifier is the digest; a digest found to collide is followed by the chunk itself.
+    The identifier is the digest; a digest found to collide is followed by the chunk itself, and so
+    is every digest where more than MAX_COLLISIONS do.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     bad = colliding(rows, digest, cut)
     name = digest
-    if bad:
+    if bad is None:
+        name = lambda c: F.concat(digest(c), F.encode(c, "UTF-8"))
+    elif bad:
         known = F.array(*[F.lit(bytearray(b)) for b in bad])
         name = lambda c: F.when(F.array_contains(known, digest(c)), F.concat(digest(c), F.encode(c, "UTF-8"))).otherwise(digest(c))
     return rows.withColumn("recipe", F.transform(cut(F.col("text")), name))
