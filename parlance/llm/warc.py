@@ -2,8 +2,8 @@
 
 Payloads are stored once under their SHA-256; a second digest and the length verify that one SHA-256
 stands for one payload. The exact header of every record is stored apart from it. Records are put
-together again by joining the two; written out they are ordinary WARC files (gzip, so many records a
-file), and reading parses them by Content-Length and checks every digest.
+together again by joining the two; written out they are ordinary WARC files (gzip, each about FILE_BYTES of
+records), and reading parses them by Content-Length, a record at a time, and checks every digest.
 
 Defined results: a null payload counts as empty; of equal payloads of at least MIN_REVISIT bytes the
 record with the least id is the response and the others revisit it, smaller ones are all responses;
@@ -17,15 +17,17 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import work_path
+from .common import work_path, written
 
-MIN_REVISIT, RECORDS_A_FILE = 100, 2000
+MIN_REVISIT, RECORDS_A_FILE, FILE_BYTES = 100, 2000, 64_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -51,7 +53,7 @@ def store(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
         F.when(revisit, F.concat(line("WARC-Refers-To", name(F.col("first"), F.lit(1))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")), line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("n").cast("string"))),
     )
-    told.select("page_id", "digest", "record_type", header.alias("header")).write.parquet(f"{path}/headers")
+    told.select("page_id", "digest", "record_type", header.alias("header"), F.when(revisit, 0).otherwise(F.col("n")).alias("n")).write.parquet(f"{path}/headers")
     rows.select(F.sha2("payload", 256).alias("digest"), "payload").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
@@ -64,25 +66,35 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(headers.where("record_type = 'revisit'").select("page_id", F.concat(head, end).alias("record")))
 
 
+def records_a_file(spark: SparkSession, path: str) -> int:
+    """Records that have about FILE_BYTES together, RECORDS_A_FILE at most."""
+    mean = spark.read.parquet(f"{path}/headers").agg(F.avg(F.col("n") + F.length("header"))).first()[0]
+    return max(1, min(RECORDS_A_FILE, int(FILE_BYTES / mean))) if mean else RECORDS_A_FILE
+
+
 def write_files(found: DataFrame, path: str, a_file: int = RECORDS_A_FILE) -> None:
     """WARC files of records: the line end that Spark's text writer puts after each is the end of a WARC record."""
     found.select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", a_file).text(path)
 
 
-def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def parsed(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of an unpacked WARC file."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode().split("\r\n")
-        if first != "WARC/1.1":
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = dict(x.split(": ", 1) for x in lines)
-        start, size = end + 4, int(headers["Content-Length"])
-        if data[start + size : start + size + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} doesn't end where its length says")
-        yield headers, data[start : start + size]
-        at = start + size + 4
+    number = 0
+    while line := stream.readline():
+        number += 1
+        if line != b"WARC/1.1\r\n":
+            raise ValueError(f"record {number} doesn't start as one of WARC")
+        headers = {}
+        while (line := stream.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"record {number} ends in its header")
+            name, value = line.decode().removesuffix("\r\n").split(": ", 1)
+            headers[name] = value
+        size = int(headers["Content-Length"])
+        block = stream.read(size)
+        if len(block) != size or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {number} doesn't end where its length says")
+        yield headers, block
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -95,7 +107,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for content in batch.column(0):
-                for headers, block in parsed(gzip.decompress(content.as_py())):
+                for headers, block in parsed(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
                     digest, response = headers["WARC-Payload-Digest"].removeprefix("sha256:"), headers["WARC-Type"] == "response"
                     if response and hashlib.sha256(block).hexdigest() != digest:
                         raise ValueError(f"{headers['WARC-Record-ID']}: the payload isn't what its digest says")
@@ -114,8 +126,9 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
     spark = pages.sparkSession
     path = work_path(spark, "warc")
     store(pages, path, page_id, url, payload, least)
-    write_files(records(spark, path), f"{path}/files")
-    read = read_files(spark, f"{path}/files")
+    write_files(records(spark, path), f"{path}/files", records_a_file(spark, path))
+    # what was read is small next to the files, which are parsed once
+    read = written(read_files(spark, f"{path}/files"), "records")
     responses = read.where("record_type = 'response'")
     plain = responses.select("page_id", F.col("n").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     again = read.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.col("digest").alias("payload_digest"))
