@@ -23,6 +23,7 @@ a null. Empty tables give no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -190,14 +191,29 @@ class Benchmark:
         return both / (sum(self.weight.get(s, self.most) * n for bag in (a, b) for s, n in bag.items()) - both)
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_items: int, most_chars: int, size: int) -> Iterator[tuple[list[tuple[int | None, str]], Rarity | None]]:
-    """The items, in blocks that fit a task, each with the rarity of shingles where there are several. A block is collected only after its size has been read."""
+#: The blocks that a worker has made ready last, by number of their broadcast and settings.
+READY: dict[tuple, Benchmark] = {}
+
+
+def ready(sent, *how) -> Benchmark:
+    """A block made ready once a worker, not once a task."""
+    key = (sent.value[2], *how)
+    if key not in READY:
+        if len(READY) >= 4:
+            READY.clear()
+        items, rarity, _ = sent.value
+        READY[key] = Benchmark(items, *how, rarity)
+    return READY[key]
+
+
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_items: int, most_chars: int, size: int) -> Iterator[tuple[list[tuple[int | None, str]], Rarity | None, str]]:
+    """The items, in blocks that fit a task, each with the rarity of shingles where there are several, and a name. A block is collected only after its size has been read."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(text).alias("text"))
     count, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = max(1, math.ceil(count / most_items), math.ceil(chars / most_chars))
     rarity = rarity_of(items, size) if parts > 1 else None
     for part in range(parts):
-        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").toLocalIterator()], rarity
+        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").toLocalIterator()], rarity, uuid.uuid4().hex
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, size: int = SIZE, most_items: int = BLOCK_ITEMS, most_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -208,7 +224,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench, known = Benchmark(sent.value[0], similarity, radius, size, sent.value[1]), WordHashes()
+            bench, known = ready(sent, similarity, radius, size), WordHashes()
             for batch in batches:
                 found = [(batch.column(0)[k].as_py(), *m) for k, value in enumerate(batch.column(1)) for m in bench.matches(word_hashes(value.as_py(), known))]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
@@ -227,7 +243,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench, known = Benchmark(sent.value[0], similarity, radius, size, sent.value[1]), WordHashes()
+            bench, known = ready(sent, similarity, radius, size), WordHashes()
             for batch in batches:
                 yield batch.filter(pa.array([not bench.matches(word_hashes(value.as_py() or "", known)) for value in batch.column(place)], pa.bool_()))
 
