@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one on a single machine, and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = f"file://{tempfile.gettempdir()}/parlance-shared"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -33,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a work table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 #: What a broadcast table may hold at most.
 MOST_ROWS, MOST_BYTES = 100_000, 32_000_000
 
@@ -61,7 +69,14 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     step. A step groups by node with a combining minimum, so a node with very many edges is summed
     before it moves. Self loops and repeated edges are allowed; no edges give no rows.
     """
-    edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "cc")
+    spark = edges.sparkSession
+
+    def kept(df: DataFrame) -> tuple[DataFrame, str]:
+        path = work_path(spark, "cc")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    edges, path = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
 
     def state(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -77,8 +92,10 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours, to the least of them
         low = large.groupBy("u", again.alias("__again")).agg(F.min("v").alias("m")).drop("__again")
-        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        edges = written(small, "cc")
+        step = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        before = path
+        edges, path = kept(step)
+        removed(spark, before)
         now = state(edges)
         if now == last:
             break
@@ -89,6 +106,22 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("class_id")).unionByName(tops.select("node", F.col("node").alias("class_id")))
 
 
+def bounded_ids(rows: DataFrame, sample: int) -> list[int]:
+    """Of the column doc_id: the ids that hash lowest, as many as have `sample` rows together. An id with more rows than are left is passed over."""
+    counted = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") <= sample).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    taken, left = [], sample
+    for r in counted:
+        if r.n <= left:
+            taken.append(r.doc_id)
+            left -= r.n
+    return taken
+
+
+def of_ids(rows: DataFrame, ids: list[int]) -> DataFrame:
+    """The rows of these ids, whose number the caller has bounded."""
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")), "doc_id", "left_semi")
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by `key` (not null); a group is never divided."""
     held: list[pa.RecordBatch] = []

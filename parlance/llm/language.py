@@ -3,10 +3,14 @@
 Each language has a distribution over hashed letter trigrams. A document's language proportions are
 those that make its trigrams likeliest (EM), for the best language alone, the best two, and so on
 while a penalised likelihood still rises: a language more must gain more than PENALTY times the
-logarithm of the number of trigrams. The prediction is the largest proportion of the chosen set.
+logarithm of the number of trigrams. The prediction is the largest proportion of the chosen set. Its
+score is its proportion among all languages, drawn towards an even share by one trigram a language,
+so that short texts and texts that several languages explain score low.
 
 The distributions are counted on at most SAMPLE documents with a language, those whose ids hash
-lowest; the TOP most frequent trigrams of each language reach the driver. Every document is scored.
+lowest, for the LANGUAGES languages that most of them have; the TOP most frequent trigrams of each
+reach the driver, which holds a share for every trigram and language (a megabyte a language). Every
+document is scored.
 
 Defined results: `und` with score 0 if the text is null or has no letter; ties between languages go
 to the first in alphabetical order; repeated rows are predicted alike; rows with a null id are
@@ -26,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, whole_text
+from .common import bounded_ids, fold, of_ids, whole_text
 
-SAMPLE, TOP, BITS = 20_000, 40_000, 18
+SAMPLE, LANGUAGES, TOP, BITS = 20_000, 100, 40_000, 18
 PENALTY, SMOOTH, STEPS = 3.0, 0.5, 25
 
 
@@ -85,15 +89,18 @@ class Languages:
                 break
             best, chosen, shape = value, own, fit
         top = max(range(len(chosen)), key=lambda k: (round(shape[k], 12), -chosen[k]))
-        return self.names[chosen[top]], float(min(1.0, shape[top]))
+        sure = (len(found) * part[chosen[top]] + 1) / (len(found) + len(self.names))
+        return self.names[chosen[top]], float(min(1.0, sure))
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, top: int = TOP) -> Languages:
-    """Learn from the rows with a language that aren't held out, `sample` of them at most."""
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, top: int = TOP, languages: int = LANGUAGES) -> Languages:
+    """Learn from the rows with a language that aren't held out, `sample` of them and `languages` languages at most."""
     known = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"), whole_text(text).alias("text")).where("doc_id is not null and lang is not null")
     known = known.where(fold(known) != 0)
-    ids = known.select(F.col("doc_id").alias("__id")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    some = known.join(F.broadcast(ids.distinct()), known["doc_id"] == ids["__id"], "left_semi").select("lang", "text")
+    some = of_ids(known, bounded_ids(known.select("doc_id"), sample)).select("lang", "text")
+    # as many rows at most as the sample has
+    most = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    some = some.join(F.broadcast(most.select("lang")), "lang", "left_semi")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -109,16 +116,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     ranked = counted.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= top)
     rows = ranked.select("lang", "gram", "n").toPandas()
     names = sorted(rows["lang"].unique())
-    table = np.full((1 << BITS, len(names)), SMOOTH)
+    table = np.full((1 << BITS, len(names)), SMOOTH, np.float32)
     for k, name in enumerate(names):
         own = rows[rows["lang"] == name]
         table[own["gram"].to_numpy(), k] += own["n"].to_numpy()
-    return Languages(names, (table / table.sum(axis=0)).astype(np.float32) if names else table)
+    if names:
+        table /= table.sum(axis=0, dtype=np.float64).astype(np.float32)
+    return Languages(names, table)
 
 
 def predict(docs: DataFrame, model: Languages, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    # Its size is fixed: 2**BITS trigrams for every language.
+    # Its size is bounded: 2**BITS trigrams for each of at most LANGUAGES languages.
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

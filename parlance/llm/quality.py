@@ -5,13 +5,14 @@ in features of its whole text; the weights minimise the logistic loss of the fea
 preference pairs. The cut is the quantile of the strengths of the labelled sample below which the
 share of rejected labels lies; strengths are shifted so that the cut has the score THRESHOLD.
 
-The model is fitted on at most SAMPLE labelled rows, those whose ids hash lowest, and on PAIRS drawn
-pairs of them; only their feature rows reach the driver. Every document is scored.
+The model is fitted on at most SAMPLE labelled documents, those whose ids hash lowest, and on PAIRS
+drawn pairs of them; only their feature rows reach the driver. Every document is scored.
 
 Defined results: null text counts as empty, and an empty text has the score that its features give;
 a document's score doesn't depend on other rows, so repeated rows score alike; rows with a null id
 are scored and not held out (held_out is false); labels without a document, and labels other than 0
-and 1, are ignored; where one of the two labels is missing there is nothing to prefer and every
+and 1, are ignored; equal labels of an id count once, an id with both labels is not learned from, and
+rows of one id are learned from each, within the bound; where one of the two labels is missing there is nothing to prefer and every
 score is 0.5. An empty table gives no rows. Other columns are ignored, whatever their names.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, whole_text
+from .common import bounded_ids, fold, of_ids, whole_text
 
 SAMPLE, PAIRS, THRESHOLD = 20_000, 200_000, 0.3
 
@@ -140,8 +141,11 @@ def featured(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, threshold: float = THRESHOLD) -> Model:
     """Learn from the labelled rows that aren't held out, `sample` of them at most."""
     marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").where(fold(labels) != 0)
-    some = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).join(F.broadcast(some), "doc_id").select("doc_id", "label", "text")
+    marked = marked.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
+    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id")).join(marked, "doc_id")
+    taken = bounded_ids(ids.select("doc_id"), sample)
+    some = of_ids(marked, taken)
+    rows = of_ids(docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")), taken).join(F.broadcast(some), "doc_id").select("doc_id", "label", "text")
     got = sorted(featured(rows).collect())
     return fitted(np.array([r.x for r in got]).reshape(-1, len(FEATURES)), np.array([r.label for r in got], int), threshold)
 
