@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.italian import cardinal
-from parlance.operators.normalize import CORRECTIONS, NAMES, WARNINGS, apply_checks, apply_rules, normalize
+from parlance.operators.normalize import CORRECTIONS, EITHER, END_LINK, END_PAUSE, NAMES, SPACING, WARNINGS, apply_checks, apply_rules, normalize
 from parlance.operators.units import prepare, route
 from parlance.plans.registry import query, table, timed, units
 
@@ -44,11 +44,8 @@ def norm_metatags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 1)
 
 
-EITHER = r"\(\([^()]*\)\)|\(\.\)"
-SPACES = [
-    (r"([^ \[\(<>°])([\[\(]) ([^ ])", r"\1 \2\3"), (r"([\[\(]) ([^ ])", r"\1\2"), (r"([^ ]) ([\)\]])([^ ])", r"\1\2 \3"), (r"([^ ]) ([\)\]])", r"\1\2"),
-    (r"([^ ]) ([.,:?])([^ ])", r"\1\2 \3"), (r"([^ ]) ([.,:?])", r"\1\2"), (rf"([^ \[\(<>°])({EITHER})", r"\1 \2"), (rf"({EITHER})([^ \]\)<>°])", r"\1 \2"),
-]
+#: DuckDB writes groups of a match otherwise.
+SPACES = [(pattern, mended.replace("$", "\\")) for pattern, mended in SPACING]
 
 
 @query(steps_sql(SPACES, [TRIM]))
@@ -56,12 +53,12 @@ def norm_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 2)
 
 
-@query(steps_sql([(r"^([\[\]()<>°]?)\s*\(\.\)\s*|\s*\(\.\)\s*([\[\]()<>°]?)$", r"\1\2")], [TRIM]))
+@query(steps_sql([(END_PAUSE, r"\1\2")], [TRIM]))
 def norm_trim_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 3)
 
 
-@query(steps_sql([(r"^([\[\]()<>°]?)\s*=\s*|\s*=\s*([\[\]()<>°]?)$", r"\1\2")], [TRIM]))
+@query(steps_sql([(END_LINK, r"\1\2")], [TRIM]))
 def norm_trim_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(spark, sf_dir, 4)
 
