@@ -4,8 +4,8 @@
    signature. Texts with equal sets are one entry from here on, by that digest and not by an id.
 2. Entries are dealt by band hash. A bucket is cut into blocks and every two blocks meet in one
    cell, which holds no more than two blocks however large the bucket. Cells are dealt to tasks by
-   ranges of as many rows. In a cell, pairs whose signatures agree enough link up; only a spanning
-   forest of them leaves the cell.
+   ranges of as many rows. In a cell, pairs whose signatures agree enough link up; only a forest
+   leaves the cell, of as many edges as entries, or as trees where it has two blocks.
 3. The components of these forests are the candidate groups. Their texts move once for a group
    within one block (once per block beyond that), to cells as before, and every pair in a cell is
    verified on the full sets. Cells return a count of links per entry and a spanning forest.
@@ -40,7 +40,7 @@ SIMILARITY = 0.8
 RECALL = 0.9999
 HASHES = 128
 #: Rows of a block where buckets and groups are cut, and shingles of a block of texts.
-BLOCK, BLOCK_SHINGLES = 128, 500_000
+BLOCK, BLOCK_SHINGLES = 256, 500_000
 
 
 def bands_and_rows(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -137,6 +137,21 @@ def linked(of: np.ndarray) -> np.ndarray:
     return top
 
 
+def forest(links: np.ndarray, side: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what a cell connects, of entries in order and the symmetric links of all of them.
+
+    A cell of one block ties its entries to the least of each tree. A cell of two blocks only ties
+    these least entries of the trees inside either block to each other, as each block has a cell of
+    its own: the edges of a large group are as many as its entries and pairs of blocks.
+    """
+    top = linked(links & (side[:, None] == side[None, :]))
+    if side[0] == 2:
+        return entry, entry[top]
+    a, b = np.nonzero(np.triu(links & across(side)))
+    pairs = np.unique(np.stack([top[a], top[b]]), axis=1)
+    return entry[pairs[0]], entry[pairs[1]]
+
+
 def across(side: np.ndarray) -> np.ndarray:
     """Which pairs a cell answers for: all of one block, or those between its two blocks."""
     return (side[:, None] == 2) | (side[:, None] != side[None, :])
@@ -180,17 +195,17 @@ def near(buckets: DataFrame, floor: float) -> DataFrame:
             good = ((signature[two] == signature[two + 1]).mean(axis=1) >= floor) & ((side[two] == 2) | (side[two] != side[two + 1]))
             a, b = [entry[two[good]]], [entry[two[good] + 1]]
             for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
-                top = linked((alike(signature[start:end]) >= floor) & across(side[start:end]))
-                a.append(entry[start:end])
-                b.append(entry[start:end][top])
+                own = forest(alike(signature[start:end]) >= floor, side[start:end], entry[start:end])
+                a.append(own[0])
+                b.append(own[1])
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
-    return buckets.repartitionByRange("cell").sortWithinPartitions("cell").mapInArrow(work, "a long, b long")
+    return buckets.repartitionByRange("cell").sortWithinPartitions("cell", "entry").mapInArrow(work, "a long, b long")
 
 
 def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
-    """Rows (entry, top, n_links) of a cell's entries with links: how many, and the least index of the entry's tree."""
+    """Rows (entry, n_links) of a cell's entries with links, and rows (entry, other) of the edges of its forest; the third column is null or 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Sketcher(1, 1, size)
@@ -203,15 +218,19 @@ def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
                 sets = [maker.set_of(x.as_py()) for x in table["text"][start:end]]
                 sizes = np.array([len(s) for s in sets])
                 both = common(sets)
-                links = (both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-9) & across(side[start:end])
+                links = both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-9
                 np.fill_diagonal(links, False)
-                count = links.sum(axis=1)
                 own = entry[start:end]
-                rows.append(tuple(x[count > 0] for x in (own, own[linked(links)], count)))
+                count = (links & across(side[start:end])).sum(axis=1)
+                one, other = forest(links, side[start:end], own)
+                tied = one != other
+                rows.append((own[count > 0], np.full(int((count > 0).sum()), -1), count[count > 0]))
+                rows.append((one[tied], other[tied], np.zeros(int(tied.sum()), np.int64)))
             done = [np.concatenate(x) for x in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in done], ["entry", "top", "n_links"])
+            other = pa.array(done[1].astype(np.int64), mask=done[1] < 0)
+            yield pa.RecordBatch.from_arrays([pa.array(done[0].astype(np.int64)), other, pa.array(done[2].astype(np.int64))], ["entry", "other", "n_links"])
 
-    return texts.repartitionByRange("cell").sortWithinPartitions("cell").mapInArrow(work, "entry long, top long, n_links long")
+    return texts.repartitionByRange("cell").sortWithinPartitions("cell", "entry").mapInArrow(work, "entry long, other long, n_links long")
 
 
 def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, size: int = SIZE, recall: float = RECALL, hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
@@ -240,8 +259,8 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simi
     texts = named(docs, doc_id, text).select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key", "text")
     texts = texts.hint("merge").join(groups.drop("n"), ["none", "id", "text_key"]).select("entry", "candidate", "text").dropDuplicates(["entry"])
     found = written(verified(into_cells(texts.join(sizes, "candidate"), "candidate", "blocks"), similarity, size), "verified")
-    classes = components(found.select(F.col("entry").alias("a"), F.col("top").alias("b"))).select(F.col("node").alias("entry"), F.col("class_id").alias("class"))
-    links = found.groupBy("entry").agg(F.sum("n_links").alias("n_links"))
+    classes = components(found.where("other is not null").select(F.col("entry").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("entry"), F.col("class_id").alias("class"))
+    links = found.where("other is null").groupBy("entry").agg(F.sum("n_links").alias("n_links"))
     known = entries.select("set_key", "entry", F.col("source.doc_id").alias("entry_id")).join(classes, "entry", "left").join(links, "entry", "left")
     known = written(known, "known")
     least = known.where("class is not null").groupBy("class", F.shiftright("class", 1).alias("__again")).agg(F.min("entry_id").alias("class_id")).drop("__again")
