@@ -45,17 +45,30 @@ def align(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([[{"a": p, "b": q} for p, q in aligned_pairs(whole(x), whole(y))] for x, y in zip(a, b, strict=True)])
 
 
-def alignment_rows(pairs: DataFrame, keys: list[str], a: str = "a", b: str = "b") -> DataFrame:
-    """Rows (keys, position, a, b, match): 0 equal, 1 a gap, 2 a substitution."""
-    rows = pairs.select(*keys, F.posexplode(align(F.col(a), F.col(b))).alias("position", "x")).select(*keys, "position", "x.a", "x.b")
+def alignment_rows(pairs: DataFrame, keys: list[str], a: str = "a", b: str = "b", ids: tuple[str, str] | None = None) -> DataFrame:
+    """Rows (keys, position, a, b, match): 0 equal, 1 a gap, 2 a substitution.
+
+    `ids`: two array columns that name the tokens of either side; adds id_a and id_b, `_` at gaps.
+    """
+    if ids:
+        aligned = pairs.select(*keys, *ids, F.posexplode(align(F.col(a), F.col(b))).alias("position", "x"))
+        so_far = Window.partitionBy(*keys).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+        # how many tokens of a side stand up to a place says which token stands there
+        name = lambda c, of: F.when(F.col(f"x.{c}") == GAP, GAP).otherwise(F.get(of, (F.count_if(F.col(f"x.{c}") != GAP).over(so_far) - 1).cast("int"))).alias(f"id_{c}")
+        rows = aligned.select(*keys, "position", "x.a", "x.b", name("a", ids[0]), name("b", ids[1]))
+    else:
+        rows = pairs.select(*keys, F.posexplode(align(F.col(a), F.col(b))).alias("position", "x")).select(*keys, "position", "x.a", "x.b")
     return rows.withColumn("match", F.when((F.col("a") == GAP) | (F.col("b") == GAP), 1).when(F.col("a") == F.col("b"), 0).otherwise(2))
 
 
 def error_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per pair substitutions, deletions, insertions, n, wer and score (1 for equal, 0.5 for substituted, 0 for gaps; their mean)."""
+    """Per pair substitutions, deletions, insertions, n, wer, score and distance.
+
+    The distance is the mean of 0 for equal, 1 for substituted and 0.5 for gaps; the score that of 1, 0.5 and 0.
+    """
     s, i, d = F.count_if((F.col("match") == 2)), F.count_if(F.col("a") == GAP), F.count_if((F.col("b") == GAP) & (F.col("a") != GAP))
     n = F.count_if(F.col("a") != GAP)
-    return rows.groupBy(*keys).agg(s.alias("substitutions"), d.alias("deletions"), i.alias("insertions"), n.alias("n"), F.when(n == 0, 0.0).otherwise((s + d + i) / n).alias("wer"), F.avg(F.when(F.col("match") == 0, 1.0).when(F.col("match") == 2, 0.5).otherwise(0.0)).alias("score"))
+    return rows.groupBy(*keys).agg(s.alias("substitutions"), d.alias("deletions"), i.alias("insertions"), n.alias("n"), F.when(n == 0, 0.0).otherwise((s + d + i) / n).alias("wer"), F.avg(F.when(F.col("match") == 0, 1.0).when(F.col("match") == 2, 0.5).otherwise(0.0)).alias("score"), F.avg(F.when(F.col("match") == 0, 0.0).when(F.col("match") == 2, 1.0).otherwise(0.5)).alias("distance"))
 
 
 def timed_tokens(vert: DataFrame) -> DataFrame:

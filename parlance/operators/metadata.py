@@ -42,8 +42,13 @@ def last_by_code(df: DataFrame, line: str = "line", key: str = "code") -> DataFr
 
 
 def translated(df: DataFrame, dictionary: DataFrame, table: str, columns: list[str], separators: dict[str, str] | None = None) -> DataFrame:
-    """Values replaced by the dictionary (table, column, en, it); unknown ones stay. `separators`: columns of several values."""
-    rows = dictionary.where(F.col("table") == table).groupBy("column").agg(F.map_from_entries(F.collect_set(F.struct("en", "it"))).alias("words"))
+    """Values replaced by the dictionary (table, column, en, it); unknown ones stay. `separators`: columns of several values.
+
+    Where a value has several translations the last counts, by the dictionary's column `line`; without one the greatest.
+    """
+    rows = dictionary.where((F.col("table") == table) & F.col("en").isNotNull())
+    rows = rows.groupBy("column", "en").agg(F.max_by("it", F.col("line") if "line" in dictionary.columns else F.col("it")).alias("it"))
+    rows = rows.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("en", "it"))).alias("words"))
     # one row a column of the table, so at most as many as it has columns
     for column in columns:
         words = rows.where(F.col("column") == column).select(F.col("words").alias("__words"))

@@ -106,13 +106,6 @@ def module_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", X.module_of(F.concat(start, k.cast("string")), "other").alias("module"))
 
 
-@query("SELECT o_custkey, coalesce(list_extract(n, 1), 0) AS a, coalesce(list_extract(n, 2), 0) AS b, coalesce(list_extract(n, 3), 0) AS c FROM (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS n FROM orders GROUP BY 1) t")
-def stats_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first three orders of each customer only, as its SQL has it; stats_widened_whole has all."""
-    df = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("n"))
-    return reports.widened(df, "n", 3).toDF("o_custkey", "a", "b", "c")
-
-
 @query("""
 WITH l AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS n FROM orders GROUP BY 1)
 SELECT o_custkey, array_to_string(list_resize(n, (SELECT max(len(n)) FROM l), 0), ',') AS wide FROM l

@@ -199,17 +199,6 @@ def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.error_rate(alignment.alignment_rows(texts(spark, sf_dir), ["item_id"]), ["item_id"])
 
 
-@query("""
-WITH t AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role, substr(text, 1, 1) ORDER BY turn) AS k, role, substr(text, 1, 1) AS c FROM conversations),
-     u AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role, substr(text, 1, 1) ORDER BY turn) AS k, role, substr(text, 1, 1) AS c FROM conversations WHERE turn % 4 <> 1)
-SELECT t.conv_id, t.turn, u.turn AS tu_id FROM t LEFT JOIN u ON u.conv_id = t.conv_id AND u.role = t.role AND u.c = t.c AND u.k = t.k
-""")
-def turn_unit_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the first letter only, as its SQL has it, so that there are ties; turn_unit_align_whole compares whole texts."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("speaker"), F.substring("text", 1, 1).alias("text"))
-    return alignment.turns_to_units(c, c.where("turn % 4 <> 1").withColumnRenamed("turn", "tu_id"), "conv_id")
-
-
 @query("""
 WITH t AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn) AS k, role, text FROM conversations),
      u AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn) AS k, role, text FROM conversations WHERE turn % 4 <> 1)

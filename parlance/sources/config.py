@@ -17,9 +17,9 @@ def merged(base: dict, over: dict) -> dict:
 
 
 def load(path: str | Path | None = None, defaults: dict | None = None) -> dict:
-    """Settings from a YAML file over the defaults; without a file the defaults."""
+    """Settings from a YAML file over the defaults; without a path the defaults. A file that isn't there is an error."""
     base = DEFAULTS if defaults is None else defaults
-    if path is None or not Path(path).exists():
+    if path is None:
         return merged(base, {})
     import yaml
 

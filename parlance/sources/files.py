@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +13,17 @@ UNIT = "tu_id string, speaker string, start string, end string, duration string,
 
 
 def transcript_id(path=None):
-    """The file's name up to its first dot."""
-    return F.regexp_extract(F.input_file_name() if path is None else path, r"([^/.]+)[^/]*$", 1)
+    """The file's name up to its first dot. Spark gives names as in a URL."""
+    if path is None:
+        path = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(path, r"([^/.]+)[^/]*$", 1)
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a path or a glob has files, on whatever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
 
 
 def read_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -90,7 +97,7 @@ def read_translations(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str, unique: bool = False) -> DataFrame:
     """A metadata table; an absent file has no rows. `unique`: of equal codes the last."""
-    if "://" not in path and not os.path.exists(path):
+    if not there(spark, path):
         return spark.createDataFrame([], "code string, line long")
     df = read_table(spark, path).drop("transcript_id")
     return last_by_code(df) if unique else df
@@ -98,7 +105,9 @@ def read_metadata(spark: SparkSession, path: str, unique: bool = False) -> DataF
 
 def read_conllu(spark: SparkSession, path: str) -> DataFrame:
     """CoNLL-U tokens with their sentence's comments: rows (transcript_id, sent, sent_id, text, jefferson_text, speaker_id, idx, 10 fields). Rows of fewer fields are left out."""
-    raw = spark.read.option("lineSep", "\n\n").text(path).withColumns({"transcript_id": transcript_id(), "sent": F.monotonically_increasing_id()}).where("trim(value) <> ''")
+    # either line end; a file is one row until it is split
+    whole = spark.read.text(path, wholetext=True).withColumns({"transcript_id": transcript_id(), "value": F.regexp_replace("value", "\r\n?", "\n")})
+    raw = whole.select("transcript_id", F.posexplode(F.split("value", r"\n[ \t]*\n+")).alias("sent", "value")).withColumn("sent", F.col("sent").cast("long")).where("trim(value) <> ''")
     said = lambda k: F.regexp_extract("value", rf"(?m)^# {k} = (.*)$", 1).alias(k)
     names = ["id", "form", "lemma", "upos", "xpos", "feats", "head", "deprel", "deps", "misc"]
     lines = raw.select("transcript_id", "sent", said("sent_id"), said("text"), said("jefferson_text"), said("speaker_id"), F.posexplode(F.filter(F.split("value", "\n"), lambda x: ~x.startswith("#") & (x != ""))).alias("idx", "x"))
