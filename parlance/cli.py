@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from itertools import combinations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import alignment, formats, pages, patches
+from parlance.operators import alignment, formats, metadata, pages, patches
 from parlance.plans.process import process
-from parlance.sources import config, files
+from parlance.sources import config, files, modules
 
 KEYS = ["transcript_id", "tu_id"]
 
@@ -18,16 +19,72 @@ def vert_rows(spark: SparkSession, path: str):
     return files.read_vert(spark, path).withColumn("tu_id", F.col("tu_id").cast("long"))
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> None:
+#: The tables of a module, the columns that a collection has of them, and which hold several values.
+TABLES = {"participants": metadata.PARTICIPANTS, "conversations": metadata.CONVERSATIONS}
+SEVERAL = {"languages": ";", "type": ":"}
+
+
+def ignored_pairs(spark: SparkSession, path: str | None, units):
+    """The pairs of overlaps that an annotation file leaves out, in every transcript of `units`; None without a file."""
+    pairs = sorted({pair for group in config.ignored(path) for pair in combinations(sorted(set(group)), 2)})
+    if not pairs:
+        return None
+    # as many as an annotator has written down
+    return units.select("transcript_id").distinct().join(F.broadcast(spark.createDataFrame(pairs, "u int, v int")))
+
+
+def metadata_verbs(spark: SparkSession, args: argparse.Namespace) -> int:
+    """The verbs of metadata tables. Returns how many issues were found."""
+    if args.verb == "merge_metadata":
+        for name, columns in TABLES.items():
+            parts = [files.read_metadata(spark, f"{m}/metadata/{name}.tsv") for m in modules.listed(spark, args.input)]
+            parts = [p.withColumn("__module", F.lit(k)) for k, p in enumerate(parts) if len(p.columns) > 2]
+            if not parts:
+                raise SystemExit(f"no module has {name}")
+            got = metadata.merged(parts, [*columns], {"school-region": "birth-region"}, ("type", "birth-region"))
+            modules.write_file(got, f"{args.output}/{name}.tsv", ["code"])
+        return 0
+    if args.verb == "translate_metadata":
+        words = files.read_table(spark, args.translations)
+        for name in TABLES:
+            df = files.read_metadata(spark, f"{args.input}/{name}.tsv").na.fill("")
+            own = sorted(c for c in df.columns if c != "line")
+            # of the table's own columns, those that have translations
+            columns = sorted(r[0] for r in words.where((F.col("table") == name) & F.col("column").isin(own)).select("column").distinct().collect())
+            several = {c: sep for c, sep in SEVERAL.items() if c in columns}
+            modules.write_file(metadata.translated(df, words, name, columns, several), f"{args.output}/{name}.tsv", ["line"])
+            if columns:
+                modules.write_file(metadata.left_untranslated(df, words, name, columns, several), f"{args.output}/{name}.untranslated.tsv", ["column", "value"])
+        return 0
+    found = modules.listed(spark, args.input)
+    if not found:
+        raise SystemExit("no module found")
+    count = 0
+    for module in found:
+        if args.verb == "unknown_participants":
+            modules.refresh_unknown(spark, module)
+            continue
+        tables = [files.read_metadata(spark, f"{module}/metadata/{name}.tsv") for name in ("conversations", "participants")]
+        checks = metadata.module_checks(*tables, modules.spoken(spark, module)).cache()
+        modules.write_file(checks, f"{args.output}/{module.rsplit('/', 1)[-1]}.tsv", ["problem", "conversation", "participant"])
+        count += checks.count()
+    return count
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Carries out a verb. Returns how many issues were found, where the verb looks for them."""
+    if args.verb in ("merge_metadata", "translate_metadata", "check_participants", "unknown_participants"):
+        return metadata_verbs(spark, args)
     settings = config.load(args.config)
     if args.threshold is not None:
         settings["duration_threshold"] = args.threshold
     if args.verb == "process":
         units = files.read_units(spark, args.input, settings["ignored_tiers"], settings["extracted_tiers"], settings["translation_suffix"])
-        got = process(units.drop("line", "parent_tu_id", "duration"), settings)
+        got = process(units.drop("line", "duration"), settings, ignored_pairs(spark, args.annotations, units))
         files.write_table(got["vert"].withColumns({"__t": F.col("tu_id").cast("long"), "__i": F.col("id").cast("int")}), f"{args.output}/vert", order=["__t", "__i"])
         files.write_texts(got["summary"].withColumnRenamed("json", "text"), f"{args.output}/summary")
         files.write_table(got["linear"], f"{args.output}/linear", order=["tu_id"])
+        files.write_table(got["translations"].select("transcript_id", "tu_id", "speaker", "start", "end", "parent_tu_id", "text"), f"{args.output}/translations", order=["tu_id"])
     elif args.verb == "eaf2csv":
         files.write_table(files.read_eaf(spark, args.input).drop("old_id"), args.output, order=["tu_id"])
     elif args.verb == "csv2eaf":
@@ -43,32 +100,39 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.verb == "csv2html":
         files.write_texts(pages.html_pages(files.read_units(spark, args.input)), args.output)
     elif args.verb == "validate":
-        files.write_table(patches.checked(files.read_vert(spark, args.input), "transcript_id"), args.output, order=["token_id", "check"])
+        faults = patches.checked(files.read_vert(spark, args.input), "transcript_id").cache()
+        files.write_table(faults, args.output, order=["token_id", "check"])
+        return faults.where("severity = 'error'").count()
     elif args.verb == "align":
         pairs = alignment.file_pairs(alignment.timed_tokens(files.read_vert(spark, args.input)))
         # without times the longer side is still cut to as many tokens as the shorter has
         size = F.when(F.col("timed"), F.greatest(F.size("a"), F.size("b"))).otherwise(F.least(F.size("a"), F.size("b")))
-        pairs = pairs.withColumns({c: F.slice(c, F.lit(1), size) for c in ("a", "b")})
-        rows = alignment.alignment_rows(pairs, ["base", "first", "second"])
+        pairs = pairs.withColumns({c: F.slice(c, F.lit(1), size) for c in ("a", "b", "ids_a", "ids_b")})
+        rows = alignment.alignment_rows(pairs, ["base", "first", "second"], ids=("ids_a", "ids_b"))
         files.write_table(rows, f"{args.output}/tokens", by="base", order=["first", "second", "position"])
         files.write_table(alignment.error_rate(rows, ["base", "first", "second"]), f"{args.output}/rates", by="base", order=["first", "second"])
+        shown = rows.select("base", "first", "second", "position", "match", F.col("id_a").alias("id_A"), F.col("a").alias("token_A"), F.col("id_b").alias("id_B"), F.col("b").alias("token_B"))
+        files.write_table(shown, f"{args.output}/aligned", by="base", order=["first", "second", "position"])
     elif args.verb == "linear":
         got = formats.linear(vert_rows(spark, args.input), KEYS)
         for kind in ("jefferson", "orthographic"):
             text = F.concat("speaker", F.lit("\t"), kind)
             files.write_texts(got.where(f"{kind} is not null").withColumn("text", text), f"{args.output}/{kind}", order=["first_line"])
+    return 0
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear"])
+    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants"])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--config", help="a module's YAML settings")
     parser.add_argument("--threshold", type=float, help="seconds below which an overlap is short")
     parser.add_argument("--media", default="", help="the recording that ELAN files name")
-    run(SparkSession.builder.appName("parlance").getOrCreate(), parser.parse_args(argv))
+    parser.add_argument("--annotations", help="a YAML file whose `ignore` lists groups of units that don't overlap")
+    parser.add_argument("--translations", help="a table of table, column, en, it")
+    return run(SparkSession.builder.appName("parlance").getOrCreate(), parser.parse_args(argv))
 
 
 if __name__ == "__main__":
-    main()
+    raise SystemExit(1 if main() else 0)

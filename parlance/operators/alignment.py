@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,13 +76,13 @@ def error_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def timed_tokens(vert: DataFrame) -> DataFrame:
-    """Rows (path, tokens, ends, length) of token tables, for file_pairs: a unit ends where its `align` says (`End=`), a file where the unit that starts last ends."""
+    """Rows (path, tokens, ids, ends, length) of token tables, for file_pairs: a unit ends where its `align` says (`End=`), a file where the unit that starts last ends."""
     time = lambda name: F.regexp_extract(F.col("align"), rf"(?:^|\|){name}=([0-9.]+)", 1).try_cast("double") if "align" in vert.columns else F.lit(None).cast("double")
     unit = Window.partitionBy("transcript_id", "tu_id")
     rows = vert.withColumns({"__begin": F.min(time("Begin")).over(unit), "__end": F.max(time("End")).over(unit)})
-    tokens = F.sort_array(F.collect_list(F.struct("line", "form", "__end")))
+    tokens = F.sort_array(F.collect_list(F.struct("line", "form", "token_id", "__end")))
     got = rows.groupBy(F.col("transcript_id").alias("path")).agg(tokens.alias("t"), F.max_by("__end", F.when(F.col("__end").isNotNull(), F.col("__begin"))).alias("length"))
-    return got.select("path", F.col("t.form").alias("tokens"), F.col("t.__end").alias("ends"), "length")
+    return got.select("path", F.col("t.form").alias("tokens"), F.col("t.token_id").alias("ids"), F.col("t.__end").alias("ends"), "length")
 
 
 def file_pairs(files: DataFrame) -> DataFrame:
@@ -86,17 +90,18 @@ def file_pairs(files: DataFrame) -> DataFrame:
 
     With a column `ends` (the end of each token's unit, in order of the tokens) and `length` (the end
     of the last unit) both sides are cut where the shorter recording ends; a pair of which a side has
-    no times is aligned whole.
+    no times is aligned whole. A column `ids` (the tokens' ids) is cut likewise, to ids_a and ids_b.
     """
     ends = F.col("ends") if "ends" in files.columns else F.lit(None).cast("array<double>").alias("ends")
     length = F.col("length") if "length" in files.columns else F.lit(None).cast("double").alias("length")
-    named = files.select("path", "tokens", ends, length, F.regexp_extract("path", r"(\d+)_([^/]*)$", 1).cast("int").alias("n"), F.regexp_extract("path", r"(\d+)_([^/]*)$", 2).alias("base")).where("base <> ''")
+    ids = F.col("ids") if "ids" in files.columns else F.lit(None).cast("array<string>").alias("ids")
+    named = files.select("path", "tokens", ids, ends, length, F.regexp_extract("path", r"(\d+)_([^/]*)$", 1).cast("int").alias("n"), F.regexp_extract("path", r"(\d+)_([^/]*)$", 2).alias("base")).where("base <> ''")
     x, y = named.alias("x"), named.alias("y")
     got = x.join(y, (F.col("x.base") == F.col("y.base")) & (F.col("x.n") < F.col("y.n")))
     shared = F.when(F.col("x.length").isNotNull() & F.col("y.length").isNotNull(), F.least("x.length", "y.length"))
     # a token whose unit has no end isn't past it
-    inside = lambda s: F.when(shared.isNull(), F.col(f"{s}.tokens")).otherwise(F.filter(f"{s}.tokens", lambda _, i: F.coalesce(F.get(f"{s}.ends", i) <= shared, F.lit(True))))
-    return got.select(F.col("x.base").alias("base"), F.col("x.n").alias("first"), F.col("y.n").alias("second"), shared.isNotNull().alias("timed"), inside("x").alias("a"), inside("y").alias("b"))
+    inside = lambda s, of="tokens": F.when(shared.isNull(), F.col(f"{s}.{of}")).otherwise(F.filter(f"{s}.{of}", lambda _, i: F.coalesce(F.get(f"{s}.ends", i) <= shared, F.lit(True))))
+    return got.select(F.col("x.base").alias("base"), F.col("x.n").alias("first"), F.col("y.n").alias("second"), shared.isNotNull().alias("timed"), inside("x").alias("a"), inside("y").alias("b"), *[inside(s, "ids").alias(c) for s, c in (("x", "ids_a"), ("y", "ids_b")) if "ids" in files.columns])
 
 
 def turns_to_units(turns: DataFrame, units: DataFrame, key: str = "transcript_id") -> DataFrame:
@@ -107,6 +112,35 @@ def turns_to_units(turns: DataFrame, units: DataFrame, key: str = "transcript_id
     return left.join(right, [key, "speaker", "text", "k"], "left").select(key, "turn", "tu_id")
 
 
+def turns_by_cursor(turns: DataFrame, units: DataFrame, key: str = "transcript_id", back: int = 3) -> DataFrame:
+    """Rows (key, turn, tu_id): the units of turns, found by going through both in order. A group is one transcript.
+
+    A turn's unit is the first of its speaker and text at or after the place behind the unit of the
+    turn before; where there is none, the first of the `back` units before that place. Blanks around
+    a turn don't count, units without text are passed over. A turn without a unit has null and moves
+    nothing on; nor has a turn without speaker or text one.
+    """
+    kinds = {**dict(turns.dtypes), "tu_id": dict(units.dtypes)["tu_id"]}
+
+    def work(said: pa.Table, known: pa.Table) -> pa.Table:
+        said, known = said.sort_by("turn"), known.sort_by("tu_id")
+        ids = [i for i, x in zip(known["tu_id"].to_pylist(), known["text"].to_pylist(), strict=True) if x]
+        places: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for place, what in enumerate((s, x) for s, x in zip(known["speaker"].to_pylist(), known["text"].to_pylist(), strict=True) if x):
+            places[what].append(place)
+        found, at = [], 0
+        for speaker, text in zip(said["speaker"].to_pylist(), said["text"].to_pylist(), strict=True):
+            own = places.get((speaker.strip(), text.strip()), []) if speaker is not None and text is not None else []
+            ahead = bisect_left(own, at)
+            k = ahead if ahead < len(own) else bisect_left(own, at - back)
+            found.append(ids[own[k]] if k < len(own) else None)
+            at = own[k] + 1 if k < len(own) else at
+        return pa.table({key: said[key], "turn": said["turn"], "tu_id": pa.array(found, known["tu_id"].type)})
+
+    left, right = turns.select(key, "turn", "speaker", "text"), units.select(key, "tu_id", "speaker", "text")
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(work, ", ".join(f"{c} {kinds[c]}" for c in (key, "turn", "tu_id")))
+
+
 def word_cursor(forms: list[str], words: list[str]) -> list[int | None]:
     """For each form the place of its word: the next one, or that after it if the next doesn't fit."""
     plain = [w.lower().strip(".,?!:;[]()<>°'~-=#$") for w in words]

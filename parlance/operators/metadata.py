@@ -69,6 +69,19 @@ def untranslated(df: DataFrame, dictionary: DataFrame, table: str, columns: list
     return found.join(known, ["column", "value"], "left_anti")
 
 
+def left_untranslated(df: DataFrame, dictionary: DataFrame, table: str, columns: list[str], separators: dict[str, str] | None = None) -> DataFrame:
+    """Rows (column, value) of the parts of values that `translated` leaves whole as they are and that the dictionary lacks; blanks aren't missed."""
+    separators = separators or {}
+    both = translated(df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns], *[F.col(f"`{c}`").cast("string").alias(f"__was {c}") for c in columns]), dictionary, table, columns, separators)
+    parts = lambda c: F.split(F.col(f"`__was {c}`"), separators[c]) if c in separators else F.array(F.col(f"`__was {c}`"))
+    same = lambda c: F.when(F.col(f"`{c}`") == F.col(f"`__was {c}`"), parts(c)).otherwise(F.array().cast("array<string>"))
+    named = lambda c: F.transform(same(c), lambda v: F.struct(F.lit(c).alias("column"), v.alias("value")))
+    pairs = F.flatten(F.array(*map(named, columns)))
+    found = both.select(F.explode(pairs).alias("x")).select("x.column", "x.value").where("value <> ''").distinct()
+    known = dictionary.where(F.col("table") == table).select("column", F.col("en").alias("value")).distinct()
+    return found.join(known, ["column", "value"], "left_anti")
+
+
 def placeholder(speaker: Column) -> Column:
     return speaker.rlike(r"^\?+$") | F.lower(speaker).isin(PLACEHOLDERS)
 
@@ -107,6 +120,21 @@ def speaker_checks(conversations: DataFrame, speakers: DataFrame) -> DataFrame:
     )
 
 
+def unregistered(speakers: DataFrame, participants: DataFrame) -> DataFrame:
+    """Rows (conversation, participant, problem): who speaks somewhere and has no row among the participants; the conversation is null, as the problem is the person's."""
+    spoken = speakers.select(F.trim("speaker").alias("participant")).where("participant <> ''").distinct().where(~placeholder(F.col("participant")))
+    lost = spoken.join(participants.select(F.trim("code").alias("participant")).distinct(), "participant", "left_anti")
+    return lost.select(F.lit(None).cast("string").alias("conversation"), "participant", F.lit("speaker without a row").alias("problem"))
+
+
+def module_checks(conversations: DataFrame, participants: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Rows (conversation, participant, problem): all that is wrong with a module's metadata and its transcripts. Without participants, only what needs none is checked."""
+    found = speaker_checks(conversations, speakers)
+    if "conversations" not in participants.columns:
+        return found
+    return found.unionByName(unregistered(speakers, participants)).unionByName(back_references(conversations, participants))
+
+
 def unknown_participant(conversations: DataFrame, speakers: DataFrame) -> DataFrame:
     """conversations with unknown-participant: yes where a placeholder of question marks speaks, no where none does, _ without a transcript."""
     has = speakers.groupBy(F.col("transcript_id").alias("code")).agg(F.bool_or(F.col("speaker").rlike(r"^\?+$")).alias("__has"))

@@ -209,6 +209,23 @@ def turn_unit_align_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.turns_to_units(c, c.where("turn % 4 <> 1").withColumnRenamed("turn", "tu_id"), "conv_id")
 
 
+@query("""
+WITH RECURSIVE t AS (SELECT conv_id, turn, role, trim(text) AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+     u AS (SELECT conv_id, turn AS tu_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations WHERE turn % 4 <> 1 AND text <> ''),
+     c AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS pos, CAST(NULL AS BIGINT) AS turn, CAST(NULL AS BIGINT) AS place FROM t
+           UNION ALL
+           SELECT conv_id, k, coalesce(place + 1, pos) AS pos, turn, place
+           FROM (SELECT c.conv_id, t.k, c.pos, t.turn, coalesce(min(CASE WHEN u.p >= c.pos THEN u.p END), min(CASE WHEN u.p >= c.pos - 3 THEN u.p END)) AS place
+                 FROM c JOIN t ON t.conv_id = c.conv_id AND t.k = c.k + 1 LEFT JOIN u ON u.conv_id = t.conv_id AND u.role = t.role AND u.text = t.text
+                 GROUP BY c.conv_id, t.k, c.pos, t.turn) n)
+SELECT c.conv_id, c.turn, u.tu_id FROM c LEFT JOIN u ON u.conv_id = c.conv_id AND u.p = c.place WHERE c.k > 0
+""")
+def turn_unit_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and the units that a pass through both in order finds for them."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("speaker"), "text")
+    return alignment.turns_by_cursor(c, c.where("turn % 4 <> 1").withColumnRenamed("turn", "tu_id"), "conv_id")
+
+
 @query("""
 WITH r AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN 'u' || conv_id || '-' || (turn * 2) END AS kid FROM conversations),
      f AS (SELECT *, max(CASE WHEN kid IS NOT NULL THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS last_turn FROM r)
