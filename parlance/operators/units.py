@@ -73,3 +73,8 @@ def prepare(units: DataFrame, config: dict[str, bool] | None = None) -> DataFram
         | {"include": included, "text": F.when(skipped | (F.col("text") == ""), F.col("before")).otherwise(F.col("text"))}
     )
     return with_spans(df.drop("before", "stripped"))
+
+
+def total_length(units: DataFrame) -> DataFrame:
+    """Rows (transcript_id, tot_length): where the unit that starts last ends, of equal starts the one of the greatest id. Not the greatest end."""
+    return units.groupBy("transcript_id").agg(F.max_by("end", F.struct("start", "tu_id")).alias("tot_length"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parlance.functions import fields as X
 from parlance.functions.matches import spans
 from parlance.operators import formats, overlaps, tokens
+from parlance.operators.units import total_length as length_of
 from parlance.plans.process import process
 from parlance.plans.registry import query, timed
 
@@ -362,3 +363,8 @@ def pause_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of state for a reader: where loudness and tempo change."""
     df = formats.in_runs(verts(spark, sf_dir), K)
     return formats.shifts(df, K).select(*K, "token_id", "loud_shift", "tempo_shift", F.row_number().over(Window.partitionBy(*K).orderBy("line")).cast("long").alias("n"))
+
+
+@query("SELECT transcript_id, end_ms AS tot_length FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY start_ms DESC, tu_id DESC) AS r FROM {units} u) t WHERE r = 1")
+def total_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_of(timed(spark, sf_dir))

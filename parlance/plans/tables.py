@@ -57,6 +57,18 @@ def meta_untranslated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.untranslated(df, dictionary(spark, sf_dir), "people", ["nation"])
 
 
+@query("""
+WITH x AS (SELECT c_custkey, unnest([c_mktsegment, CAST(c_nationkey % 3 AS VARCHAR)]) AS value FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING'))
+SELECT DISTINCT 'type' AS "column", value FROM x WHERE value <> '0'
+""")
+def meta_left_untranslated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of values of which no part was translated; 0 is translated to itself."""
+    c = table(spark, sf_dir, "customer")
+    words = c.where("c_mktsegment not in ('MACHINERY', 'BUILDING')").select(F.lit("talks").alias("table"), F.lit("type").alias("column"), F.col("c_mktsegment").alias("en"), F.lower("c_mktsegment").alias("it")).distinct()
+    words = words.unionByName(spark.range(1).select(F.lit("talks").alias("table"), F.lit("type").alias("column"), F.lit("0").alias("en"), F.lit("0").alias("it")))
+    return metadata.left_untranslated(c.select(F.concat("c_mktsegment", F.lit(":"), F.col("c_nationkey") % 3).alias("type")), words, "talks", ["type"], {"type": ":"})
+
+
 def lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Conversations (orders' days) and participants (customers) that list each other, not always both ways."""
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("D"), F.date_format("o_orderdate", "yyyyMM")).alias("d"), F.col("o_custkey"), "o_orderkey")

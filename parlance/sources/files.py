@@ -75,6 +75,12 @@ def remapped_pairs(pairs: DataFrame, units: DataFrame) -> DataFrame:
     return pairs.select("transcript_id", "u", "v")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of files as they are: rows (transcript_id, line, raw, eol), raw with its line end, eol the file's (`\\r\\n` where it has one at all). A file is one row until it is split."""
+    whole = spark.read.text(path, wholetext=True).withColumns({"transcript_id": transcript_id(), "eol": F.when(F.contains("value", F.lit("\r\n")), "\r\n").otherwise("\n")})
+    return whole.select("transcript_id", "eol", F.posexplode(F.regexp_extract_all("value", F.lit(r"[^\n]*\n|[^\n]+$"), F.lit(0))).alias("line", "raw")).select("transcript_id", "line", "raw", "eol")
+
+
 def read_vert(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path)
 

@@ -4,7 +4,8 @@ import pytest
 
 from parlance import cli
 from parlance.operators import alignment
-from parlance.sources import modules
+from parlance.operators.units import total_length
+from parlance.sources import files, modules
 
 from .test_cli import lines
 
@@ -122,3 +123,15 @@ def test_annotations_and_translations(spark, tmp_path):
     rows = [x.split("\t") for x in lines(tmp_path / "out0/translations")]
     assert rows[0] == ["tu_id", "speaker", "start", "end", "parent_tu_id", "text"] and rows[1][0] == "2" and rows[1][4:] == ["0", "hello"]
     assert lines(tmp_path / "out0/vert") != lines(tmp_path / "out2/vert")
+
+
+def test_lengths(spark):
+    units = spark.createDataFrame([("t", 0, 0.0, 9.0), ("t", 1, 5.0, 6.0), ("t", 2, 5.0, 7.0), ("u", 0, 1.0, 2.0)], "transcript_id string, tu_id int, start double, end double")
+    assert {tuple(r) for r in total_length(units).collect()} == {("t", 7.0), ("u", 2.0)}
+
+
+def test_lines_as_they_are(spark, tmp_path):
+    (tmp_path / "a.vert.tsv").write_bytes("x\ty\r\nè\t1\r\n\r\nend".encode())
+    (tmp_path / "b.vert.tsv").write_bytes(b"x\n")
+    got = sorted(tuple(r) for r in files.read_lines(spark, str(tmp_path / "*.tsv")).collect())
+    assert got == [("a", 0, "x\ty\r\n", "\r\n"), ("a", 1, "è\t1\r\n", "\r\n"), ("a", 2, "\r\n", "\r\n"), ("a", 3, "end", "\r\n"), ("b", 0, "x\n", "\n")]
