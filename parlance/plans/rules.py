@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parlance.functions.italian import cardinal
 from parlance.operators.normalize import ACUTE, APOSTROPHES, CORRECTIONS, EITHER, END_LINK, END_PAUSE, NAMES, PACE, SPACING, WARNINGS, apply_checks, apply_rules, normalize
 from parlance.operators.units import prepare, route
-from parlance.plans.registry import query, table, timed, units
+from parlance.plans.registry import ORACLE_SQL, UNITS_SQL, query, table, timed, units
 
 TRIM = ("^\\s+|\\s+$", "")
 
@@ -196,7 +196,28 @@ def err_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("transcript_id", "tu_id", F.col("e_UNBALANCED_DOTS").alias("dots"), F.col("e_UNBALANCED_PACE").alias("pace"), F.col("e_UNBALANCED_GUESS").alias("guess"), F.col("e_UNBALANCED_OVERLAP").alias("overlap"))
 
 
-@query()
+#: The queries of the rules in their order, and the count that each adds to.
+CHAIN = [
+    ("norm_symbols", "SYMBOL_NOT_ALLOWED"), ("norm_metatags", "META_TAGS"), ("norm_spaces", "UNEVEN_SPACES"), ("norm_trim_pauses", "TRIM_PAUSES"), ("norm_trim_links", "TRIM_PROSODICLINKS"),
+    ("norm_links", "UNEVEN_SPACES"), ("norm_prolongations", "OVERLAP_PROLONGATION"), ("norm_multispace", "MULTIPLE_SPACES"), ("norm_accents", "ACCENTS"), ("norm_word_corrections", "WORD_CORRECTIONS"),
+    ("norm_numbers", "NUMBERS"), ("norm_inner_spaces", "UNEVEN_SPACES"), ("norm_switches", "SWITCHES"), ("norm_switched_events", "SWITCHES"), ("norm_spaces", "UNEVEN_SPACES"),
+    ("norm_empty_spans", "EMPTY_SPANS"), ("norm_empty_unit", "EMPTY_UNIT"),
+]
+
+
+def chain_sql(source: str) -> str:
+    """The SQL of every rule on what the one before it left, from (transcript_id, tu_id, text): the last text, counts w_ and errors e_."""
+    over = lambda name, rows: ORACLE_SQL[name].replace(f"({UNITS_SQL})", rows)
+    before = lambda k: f"(SELECT transcript_id, tu_id, new_text AS text FROM r{k})"
+    steps = [f"r{k} AS MATERIALIZED ({over(name, before(k - 1) if k else f'({source})')})" for k, (name, _) in enumerate(CHAIN)]
+    counts = [f"{' + '.join(f'r{k}.changes' for k, (_, n) in enumerate(CHAIN) if n == name)} AS w_{name}" for name in NAMES]
+    last = len(CHAIN) - 1
+    joins = " ".join(f"JOIN r{k} USING (transcript_id, tu_id)" for k in range(1, last + 1))
+    errors = [f"e.{c} AS e_UNBALANCED_{c.upper()}" for c in ("dots", "pace", "guess", "overlap")]
+    return f"WITH {', '.join(steps)} SELECT transcript_id, tu_id, r{last}.new_text AS text, {', '.join(counts + errors)} FROM r0 {joins} JOIN ({over('err_balance', before(last))}) e USING (transcript_id, tu_id)"
+
+
+@query(f"SELECT x.*, u.speaker FROM ({chain_sql('SELECT transcript_id, tu_id, text FROM {units} s')}) x JOIN {{units}} u USING (transcript_id, tu_id)")
 def norm_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rule in order, with its counts and the errors left."""
     return normalize(units(spark, sf_dir).drop("start_ms", "end_ms"))
@@ -204,12 +225,32 @@ def norm_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def norm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain over long texts; the size of the new text and all counts."""
+    """The whole chain over long texts; the size of the new text and all counts. The chain of SQL is too slow on them; it is that of norm_full."""
     df = normalize(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return df.select("doc_id", F.length("text").cast("long").alias("length"), *[f"w_{n}" for n in NAMES])
 
 
-@query()
+#: Units as they come to the rules: without white space at the ends and without the mark of variation.
+BEFORE_SQL = r"""
+SELECT transcript_id, tu_id, variation, stripped = '' AS blank, CASE variation WHEN 'all' THEN regexp_replace(substr(stripped, 3), '^\s+', '') WHEN 'unspecified' THEN regexp_replace(substr(stripped, 2), '^\s+', '') ELSE stripped END AS text
+FROM (SELECT *, CASE WHEN stripped LIKE '#\_%' ESCAPE '\' THEN 'all' WHEN stripped LIKE '# %' THEN 'unspecified' ELSE 'none' END AS variation
+      FROM (SELECT transcript_id, tu_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS stripped FROM {units} w) v)
+"""
+#: Letters as DuckDB's word edges know them: any capital is A, any other letter beyond ASCII is a.
+ASCII_SQL = r"regexp_replace(regexp_replace(replace(text, '°', ' '), '[ÀÈÉÌÒÓÙ]', 'A', 'g'), '[^\x00-\x7F]', 'a', 'g')"
+
+
+@query(rf"""
+SELECT transcript_id, tu_id, include, variation, text, if(usable AND NOT pace AND contains(text, '<'), len(regexp_extract_all(text, '<[^<>]*>')), 0) AS slow,
+       if(usable AND NOT pace AND contains(text, '<'), len(regexp_extract_all(text, '>[^<>]*<')), 0) AS fast, if(usable AND NOT dots, len(regexp_extract_all(text, '°[^°]+°')), 0) AS low,
+       if(usable, len(regexp_extract_all({ASCII_SQL}, '\b[A-Z]+(?:\s+[A-Z]+)*\b')), 0) AS high, if(usable AND NOT overlap, len(regexp_extract_all(text, '\[[^\]]+\]')), 0) AS overlap_spans,
+       if(usable AND NOT guess, len(gaps) - 1 - reduced, 0) AS guess_spans, if(usable AND NOT guess, reduced, 0) AS reduction_spans
+FROM (SELECT *, (SELECT count(*) FROM (SELECT unnest(gaps[:-2]) AS g, unnest(gaps[2:]) AS h) WHERE regexp_matches(g, '\p{{L}}$') AND regexp_matches(h, '^\p{{L}}')) AS reduced
+      FROM (SELECT *, include AND variation <> 'all' AS usable, string_split_regex(regexp_replace(text, '\(\([^()]*\)\)|\(\.\)', '_', 'g'), '\([^)]+\)') AS gaps
+            FROM (SELECT transcript_id, tu_id, b.variation, NOT blank AND (b.variation = 'all' OR x.text <> '') AS include, CASE WHEN blank OR b.variation = 'all' OR x.text = '' THEN b.text ELSE x.text END AS text,
+                         e_UNBALANCED_PACE AS pace, e_UNBALANCED_DOTS AS dots, e_UNBALANCED_GUESS AS guess, e_UNBALANCED_OVERLAP AS overlap
+                  FROM ({BEFORE_SQL}) b JOIN ({chain_sql(f'SELECT transcript_id, tu_id, text FROM ({BEFORE_SQL}) s')}) x USING (transcript_id, tu_id))))
+""")
 def units_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units with their variation, whether they count, and how many spans of each kind they have."""
     df = prepare(timed(spark, sf_dir))
