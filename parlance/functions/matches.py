@@ -38,9 +38,9 @@ def spans(text: Column, pattern: str) -> Column:
 
 
 def map_matches(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
-    """The text with `change` applied to every match."""
+    """The text with `change` applied to every match; gaps and matches are each made once, so the work is linear in their number."""
     gaps, found = F.split(text, pattern, -1), F.transform(matches(text, pattern), change)
-    return F.array_join(F.flatten(F.transform(gaps, lambda g, i: F.array(g, F.coalesce(F.get(found, i), F.lit(""))))), "")
+    return F.array_join(F.zip_with(gaps, found, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
 
 
 def count(text: Column, pattern: str) -> Column:

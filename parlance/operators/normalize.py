@@ -129,16 +129,28 @@ def spacing() -> list[Sub]:
     return [Sub(pattern, mended, guard) for (pattern, mended), guard in zip(SPACING, guards, strict=True)]
 
 
-def acute(word: str) -> Mapped:
-    """In a stretch without space, = and ' that has the letters of the word in order, up to an è that ends a word: the last such è."""
-    has = rf"(?sU){'.*'.join(word)}\b"
-    return Mapped(r"[^ =']+", lambda m: F.when(m.rlike(has), F.regexp_replace(m, r"(?sU)è\b(?!.*è\b)", "é")).otherwise(m), "è", lambda m: m.rlike(has).cast("int"))
+def ordered(letters: str, outside: str) -> str:
+    """Within a stretch free of the characters `outside`: the letters in order, each the first of its kind after the one before, so that the search never goes back."""
+    return letters[0] + "".join(f"[^{outside}{c}]*+{c}" for c in letters[1:])
+
+
+def acute(words: list[str]) -> Mapped:
+    """In a stretch without space, = and ' that has the letters of a word in order, up to an è that ends a word: the last such è, for every word in turn. Only stretches with an è are taken out."""
+    patterns = [rf"(?sU)^[^{w[0]}]*+{ordered(w[:-1], '')}.*è\b" for w in words]
+
+    def step(x: Column, p: Column) -> Column:
+        found = F.regexp(x["text"], p)
+        return F.struct(F.when(found, F.regexp_replace(x["text"], r"(?sU)è\b(?!.*è\b)", "é")).otherwise(x["text"]).alias("text"), (x["n"] + found.cast("int")).alias("n"))
+
+    mended = lambda m: F.aggregate(F.array(*map(F.lit, patterns)), F.struct(m.alias("text"), F.lit(0).alias("n")), step)
+    return Mapped(r"(?<![^ ='])[^ ='è]*+è[^ =']*+", lambda m: mended(m)["text"], "è", lambda m: mended(m)["n"])
 
 
 def apostrophe(word: str, last: str) -> Mapped:
     """In a stretch without space and = that has the letters of the word in order, from the start of a word: what follows the last letter up to the last apostrophe goes."""
-    has, letter = rf"(?sU)\b{'.*'.join(word)}", word[-2]
-    return Mapped("[^ =]+", lambda m: F.when(m.rlike(has), F.regexp_replace(m, f"{letter}[^{letter}]*'([^']*)$", f"{last}$1")).otherwise(m), "'", lambda m: m.rlike(has).cast("int"))
+    letter = word[-2]
+    has = rf"(?U)\b{ordered(word[:-1], ' =')}[^ =]*'"
+    return Mapped("[^ =]+", lambda m: F.when(m.rlike(has), F.regexp_replace(m, f"{letter}[^{letter}]*'([^']*)$", f"{last}$1")).otherwise(m), has, lambda m: m.rlike(has).cast("int"))
 
 
 def correction(wrong: str, right: str) -> Sub:
@@ -167,7 +179,7 @@ WARNINGS = [
     Rule("UNEVEN_SPACES", [Sub(" =|= ", "=", " =|= ")]),
     Rule("OVERLAP_PROLONGATION", [Sub(r"(?U)(\w:*)\[:", "[$1:", r"\[:")], trim=False),
     Rule("MULTIPLE_SPACES", [Sub(r"\t+", " ", r"\t"), Sub(r"\n+", " ", r"\n"), Sub(r"(?U)\s\s+", " ", r"(?U)\s\s")]),
-    Rule("ACCENTS", [acute(w) for w in ACUTE], trim=False),
+    Rule("ACCENTS", [acute(ACUTE)], trim=False),
     Rule("ACCENTS", [Sub(r"(?U)\bp([^ =\p{L}]*)ò\b", "p$1o'", "ò")]),
     Rule("ACCENTS", [apostrophe(*x) for x in APOSTROPHES], trim=False),
     Rule("WORD_CORRECTIONS", [correction(*x) for x in CORRECTIONS], trim=False),
