@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +10,13 @@ from parlance.functions.matches import let
 #: The words that cardinals are built from.
 SMALL = ["zero", "uno", "due", "tre", "quattro", "cinque", "sei", "sette", "otto", "nove", "dieci", "undici", "dodici", "tredici", "quattordici", "quindici", "sedici", "diciassette", "diciotto", "diciannove"]
 TENS = ["", "dieci", "venti", "trenta", "quaranta", "cinquanta", "sessanta", "settanta", "ottanta", "novanta"]
-LARGE = [("miliardo", "miliardi"), ("milione", "milioni")]
+#: What stands before -ilione and -iliardo, from a million upwards.
+LARGE = ["m", "b", "tr", "quadr", "quint", "sest", "sett", "ott", "nov", "dec"]
+SCALES = [f"{prefix}il{end}" for prefix in LARGE for end in ("ione", "iardo")]
 #: Vowels that fall away before uno and otto.
 CONTRACTIONS = [("ao", "o"), ("io", "o"), ("au", "u"), ("iu", "u")]
-MOST = 10**12 - 1
+#: Digits of the longest number that has a name.
+MOST_DIGITS = 6 + 3 * len(SCALES) - 1
 
 
 def contracted(text: Column) -> Column:
@@ -39,28 +40,27 @@ def below_thousand(n: Column) -> Column:
     return let(below_hundred(n % 100), lambda rest: F.when(n < 100, rest).otherwise(F.replace(many(rest), F.lit("oo"), F.lit("o"))))
 
 
-def preceded(n: Column, words: Column, one: str, many: str) -> Callable[[Column], Column]:
-    """Puts so many millions, or more than that, before the rest."""
-    def add(rest: Column) -> Column:
-        head = F.when(n == 1, f"un {one}").otherwise(F.concat(words, F.lit(f" {many}")))
-        return F.when(n == 0, rest).when(rest == "", head).otherwise(F.concat(head, F.when(rest.contains(" e "), ", ").otherwise(" e "), rest))
-    return add
+def preceded(rest: Column, n: Column, words: Column, scale: Column) -> Column:
+    """So many of a scale (a million, or more than that) before the rest."""
+    many = F.concat(F.substring(scale, F.lit(1), F.length(scale) - 1), F.lit("i"))
+    head = F.when(n == 1, F.concat(F.lit("un "), scale)).otherwise(F.concat(words, F.lit(" "), many))
+    return F.when(n == 0, rest).when(rest == "", head).otherwise(F.concat(head, F.when(rest.contains(" e "), ", ").otherwise(" e "), rest))
 
 
 def composed(groups: Column, words: Column) -> Column:
-    """From the three-digit groups of a number, the highest first, and their words."""
-    thousands = F.when(groups[2] == 0, "").when(groups[2] == 1, "mille").otherwise(F.concat(words[2], F.lit("mila")))
-    out = F.concat(thousands, words[3])
-    for k, names in reversed(list(enumerate(LARGE))):
-        out = let(out, preceded(groups[k], words[k], *names))
-    return out
+    """From the three-digit groups of a number, the lowest first and two at least, and their words."""
+    thousands = F.when(groups[1] == 0, "").when(groups[1] == 1, "mille").otherwise(F.concat(words[1], F.lit("mila")))
+    names = F.array(*map(F.lit, SCALES))
+    higher = F.transform(F.slice(groups, F.lit(3), F.size(groups)), lambda n, k: F.struct(n.alias("n"), F.get(words, k + 2).alias("words"), F.get(names, k).alias("scale")))
+    return F.aggregate(higher, F.concat(thousands, words[0]), lambda rest, x: preceded(rest, x["n"], x["words"], x["scale"]))
 
 
 def cardinal(digits: Column) -> Column:
-    """The words for a string of digits, `tre` at the end of a longer word accented; over MOST the digits stay."""
-    def words(n: Column) -> Column:
-        groups = F.transform(F.array(*[F.lit(10**k) for k in (9, 6, 3, 0)]), lambda size: F.floor(n / size) % 1000)
+    """The words for a string of digits, `tre` at the end of a longer word accented. Zeros in front don't count; a number of more than MOST_DIGITS has no name and stays as it is."""
+    def words(number: Column) -> Column:
+        size = F.greatest(F.lit(2), F.ceil(F.length(number) / 3)).cast("int")
+        padded = F.lpad(number, size * 3, "0")
+        groups = F.transform(F.sequence(size - 1, F.lit(0), F.lit(-1)), lambda k: F.substring(padded, k * 3 + 1, F.lit(3)).cast("long"))
         text = let(groups, lambda g: let(F.transform(g, below_thousand), lambda w: composed(g, w)))
-        return F.when(n == 0, SMALL[0]).otherwise(F.regexp_replace(text, "(?<=.)tre$", "tré"))
-    short = F.length(F.regexp_replace(digits, "^0+", "")) <= 12
-    return F.when(short, let(F.when(short, digits).otherwise("0").cast("long"), words)).otherwise(digits)
+        return F.when(number == "", SMALL[0]).otherwise(F.regexp_replace(text, "(?<=.)tre$", "tré"))
+    return let(F.regexp_replace(digits, "^0+", ""), lambda number: F.when(F.length(number) > MOST_DIGITS, digits).otherwise(words(number)))

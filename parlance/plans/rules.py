@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.italian import cardinal
+from parlance.functions.italian import MOST_DIGITS, SCALES, cardinal
 from parlance.operators.normalize import ACUTE, APOSTROPHES, CORRECTIONS, EITHER, END_LINK, END_PAUSE, NAMES, PACE, SPACING, WARNINGS, apply_checks, apply_rules, normalize
 from parlance.operators.units import prepare, route
 from parlance.plans.registry import ORACLE_SQL, UNITS_SQL, query, table, timed, units
@@ -132,10 +132,24 @@ def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")).distinct().select("n", cardinal(F.col("n").cast("string")).alias("words"))
 
 
-@query(SMALL_SQL + r"     keys AS (SELECT DISTINCT CAST(m AS BIGINT) AS n FROM (SELECT unnest(regexp_extract_all(text, '\b[0-9]+\b')) AS m FROM {units} k0) k1)" + WORDS_SQL + ", named AS (" + ACCENTED_SQL + r"""),
+#: Cardinals of any size, of the strings of digits in `keys`: the part below a million and those of every scale, joined by commas and at last by e.
+LONG_WORDS_SQL = f""",
+     sized AS (SELECT m, ltrim(m, '0') AS d, greatest(2, (length(ltrim(m, '0')) + 2) // 3) AS size FROM keys),
+     grouped AS (SELECT m, size, p, CAST(substr(lpad(d, CAST(3 * size AS INTEGER), '0'), CAST(3 * (size - p) - 2 AS INTEGER), 3) AS BIGINT) AS n FROM (SELECT *, unnest(range(0, size)) AS p FROM sized WHERE length(d) BETWEEN 1 AND {MOST_DIGITS})),
+     low AS (SELECT lo.m, CASE hi.n WHEN 0 THEN '' WHEN 1 THEN 'mille' ELSE h.w || 'mila' END || CASE lo.n WHEN 0 THEN '' ELSE l.w END AS w
+             FROM grouped lo JOIN grouped hi ON hi.m = lo.m AND hi.p = 1 JOIN thousand h ON h.n = hi.n JOIN thousand l ON l.n = lo.n WHERE lo.p = 0),
+     scaled AS (SELECT g.m, g.p, CASE WHEN g.n = 1 THEN 'un ' || s ELSE t.w || ' ' || left(s, -1) || 'i' END AS w
+                FROM (SELECT *, {SCALES!r}[p - 1] AS s FROM grouped WHERE p > 1 AND n > 0) g JOIN thousand t ON t.n = g.n),
+     parts AS (SELECT m, list(w ORDER BY p DESC) AS ws FROM (SELECT m, 0 AS p, w FROM low WHERE w <> '' UNION ALL SELECT * FROM scaled) GROUP BY m),
+     joined AS (SELECT m, CASE WHEN len(ws) = 1 THEN ws[1] ELSE array_to_string(ws[:len(ws) - 1], ', ') || ' e ' || ws[len(ws)] END AS w FROM parts),
+     named AS (SELECT k.m, CASE WHEN d = '' THEN 'zero' WHEN w IS NULL THEN k.m WHEN w LIKE '%tre' AND length(w) > 3 THEN regexp_replace(w, 'tre$', 'tré') ELSE w END AS words FROM sized k LEFT JOIN joined j ON j.m = k.m)
+"""
+
+
+@query(SMALL_SQL + r"     keys AS (SELECT DISTINCT m FROM (SELECT unnest(regexp_extract_all(text, '\b[0-9]+\b')) AS m FROM {units} k0) k1)" + LONG_WORDS_SQL + r""",
      p AS (SELECT transcript_id, tu_id, regexp_extract_all(text, '\b[0-9]+\b') AS ms, string_split_regex(text, '\b[0-9]+\b') AS gaps FROM {units} u),
      i AS (SELECT *, unnest(range(1, len(gaps) + 1)) AS j FROM p),
-     x AS (SELECT i.transcript_id, i.tu_id, i.j, len(ms) AS n, gaps[i.j] || coalesce(named.words, '') AS piece FROM i LEFT JOIN named ON named.n = CAST(ms[i.j] AS BIGINT))
+     x AS (SELECT i.transcript_id, i.tu_id, i.j, len(ms) AS n, gaps[i.j] || coalesce(named.words, '') AS piece FROM i LEFT JOIN named ON named.m = ms[i.j])
 SELECT transcript_id, tu_id, string_agg(piece, '' ORDER BY j) AS new_text, CAST(max(n) AS BIGINT) AS changes FROM x GROUP BY 1, 2
 """)
 def norm_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,9 +237,9 @@ def norm_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(units(spark, sf_dir).drop("start_ms", "end_ms"))
 
 
-@query()
+@query(f"SELECT transcript_id AS doc_id, length(text) AS length, {', '.join('w_' + n for n in NAMES)} FROM ({chain_sql('SELECT doc_id AS transcript_id, 0 AS tu_id, text FROM documents')})")
 def norm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain over long texts; the size of the new text and all counts. The chain of SQL is too slow on them; it is that of norm_full."""
+    """The whole chain over long texts; the size of the new text and all counts."""
     df = normalize(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return df.select("doc_id", F.length("text").cast("long").alias("length"), *[f"w_{n}" for n in NAMES])
 

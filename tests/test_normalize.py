@@ -92,3 +92,20 @@ def test_spans_and_mapping(spark):
     got = df.orderBy("n").select(spans(F.col("text"), r"\[[^\]]+\]").alias("x")).collect()
     assert [[(s.s, s.e) for s in r.x] for r in got] == [[(0, 3), (6, 10)], [], [(0, 3)], []]
     assert df.orderBy("n").select(map_matches(F.col("text"), "[a-d]", F.upper)).collect()[0][0] == "[A] B [CD]"
+
+
+def test_numbers_of_any_length(spark):
+    want = {
+        "007": "sette", "000": "zero", "1000000": "un milione", "1001003": "un milione e milletré", "1000000000000": "un bilione", "2000000000000000003": "due trilioni e tré",
+        "4994226020900891": "quattro biliardi, novecentonovantaquattro bilioni, duecentoventisei miliardi, venti milioni e novecentomilaottocentonovantuno",
+        "1" + "0" * 64: "dieci deciliardi", "1" + "0" * 65: "1" + "0" * 65,
+    }
+    got = spark.createDataFrame([(k,) for k in want], "digits string").select("digits", cardinal(F.col("digits")).alias("words")).collect()
+    assert {r.digits: r.words for r in got} == want
+
+
+def test_matches_are_rewritten_in_linear_time(spark):
+    """A text of 40,000 matches; with work for every pair of them this would take hours."""
+    text = "x perchè " * 20_000
+    got = apply_rules(spark.createDataFrame([(text,)], "text string"), WARNINGS).first()
+    assert got.text.strip() == ("x perché " * 20_000).strip() and got.w_ACCENTS == 20_000
