@@ -35,6 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `written`, with the path; the shuffle files of the step go when it ends, so a chain of steps holds those of one at a time."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a work table that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
