@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language, lexical, ngram_join, pii, quality, substrings, token_counts, url_filter, warc
+from . import bpe, decontaminate, exact_dedup, language, lexical, ngram_join, pii, quality, spelling, substrings, token_counts, url_filter, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -92,7 +92,11 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_bpe, op3_token_counts, op4_quality, op5_ngram_join, op6_language, op7_warc, op8_decontaminate, op9_url_filter, op10_pii, op11_lexical_search, op12_substring_dedup)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_bpe, op3_token_counts, op4_quality, op5_ngram_join, op6_language, op7_warc, op8_decontaminate, op9_url_filter, op10_pii, op11_lexical_search, op12_substring_dedup, op13_spelling_variants)}
 
 URL_SQL = """
 WITH events(list, key, action, day) AS (VALUES %s),
@@ -113,4 +117,4 @@ SELECT c.page_id, c.host, CAST(c.fetched AS VARCHAR) AS fetched, h.page_id IS NO
 FROM captures c LEFT JOIN hits h ON h.page_id = c.page_id AND h.r = 1
 """ % ", ".join(str(e) for e in URL_EVENTS)
 
-ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL, "op9_url_filter": URL_SQL, "op11_lexical_search": lexical.ORACLE_SQL, "op12_substring_dedup": substrings.ORACLE_SQL}
+ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL, "op9_url_filter": URL_SQL, "op11_lexical_search": lexical.ORACLE_SQL, "op12_substring_dedup": substrings.ORACLE_SQL, "op13_spelling_variants": spelling.ORACLE_SQL}
