@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import alignment, formats, metadata, pages, patches
+from parlance.operators import alignment, formats, metadata, pages, patches, patching, wip
 from parlance.plans.process import process
 from parlance.sources import config, files, modules
 
@@ -113,6 +113,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         files.write_table(alignment.error_rate(rows, ["base", "first", "second"]), f"{args.output}/rates", by="base", order=["first", "second"])
         shown = rows.select("base", "first", "second", "position", "match", F.col("id_a").alias("id_A"), F.col("a").alias("token_A"), F.col("id_b").alias("id_B"), F.col("b").alias("token_B"))
         files.write_table(shown, f"{args.output}/aligned", by="base", order=["first", "second", "position"])
+    elif args.verb == "make_patch":
+        lines = files.read_lines(spark, args.input).withColumn("transcript_id", F.regexp_replace("transcript_id", r"\.vert$", "")).cache()
+        source, heads = patching.source_rows(lines)
+        edited = files.read_table(spark, args.edited).withColumnRenamed("transcript_id", "file")
+        rows = patching.patched(source, heads, edited).cache()
+        old = lines.withColumnRenamed("transcript_id", "file").withColumn("line", F.col("line").cast("long") - 1)
+        named = lambda df, column, end: df.select(F.concat("file", F.lit(end)).alias("transcript_id"), F.col(column).alias("text"))
+        # a text's last line end is put there by the writer
+        made = patching.unified(old, patching.new_lines(rows, heads)).withColumn("patch", F.regexp_replace("patch", "\n$", ""))
+        files.write_texts(named(made, "patch", ".vert.tsv.patch"), f"{args.output}/patches")
+        values = [F.coalesce(F.col(side)[c], F.lit("_")).alias(f"{side}_{c}") for side in ("old", "new") for c in pages.SHOWN]
+        items = patching.recap_items(rows).select("file", "at", "token_id", "tu_id", "change", "notes", *values)
+        files.write_texts(named(pages.recap_markdown(items, "file", "at"), "text", ".vert.tsv.recap.md"), f"{args.output}/recaps")
+    elif args.verb == "conllu2wip":
+        rows = wip.converted(files.read_conllu(spark, args.input).withColumnRenamed("transcript_id", "file")).withColumnRenamed("file", "transcript_id").cache()
+        files.write_table(rows.select("transcript_id", *wip.FIELDS, "sort"), f"{args.output}/wip", order=["sort"], sep=",", drop=["sort"])
+        files.write_table(rows.where("note <> ''").select("transcript_id", "token_id", "note"), f"{args.output}/notes", order=["token_id"])
     elif args.verb == "linear":
         got = formats.linear(vert_rows(spark, args.input), KEYS)
         for kind in ("jefferson", "orthographic"):
@@ -123,13 +140,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants"])
+    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants", "make_patch", "conllu2wip"])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--config", help="a module's YAML settings")
     parser.add_argument("--threshold", type=float, help="seconds below which an overlap is short")
     parser.add_argument("--media", default="", help="the recording that ELAN files name")
     parser.add_argument("--annotations", help="a YAML file whose `ignore` lists groups of units that don't overlap")
+    parser.add_argument("--edited", help="the edited tables that a patch is made from")
     parser.add_argument("--translations", help="a table of table, column, en, it")
     return run(SparkSession.builder.appName("parlance").getOrCreate(), parser.parse_args(argv))
 

@@ -125,10 +125,10 @@ def speakers(vert: DataFrame) -> DataFrame:
     return vert.select("transcript_id", F.trim("speaker").alias("speaker")).where("speaker <> ''").distinct()
 
 
-def write_table(df: DataFrame, path: str, by: str = "transcript_id", order: list[str] = (), sep: str = "\t") -> None:
-    """A folder of delimited text for each value of `by`; each value is one file, in order."""
+def write_table(df: DataFrame, path: str, by: str = "transcript_id", order: list[str] = (), sep: str = "\t", drop: list[str] = ()) -> None:
+    """A folder of delimited text for each value of `by`; each value is one file, in order. Columns of the order that are in `drop` aren't written."""
     filled = df.select(*[c if c in (by, *order) else X.or_missing(F.col(c).cast("string")).alias(c) for c in df.columns])
-    filled.repartition(by).sortWithinPartitions(by, *order).write.mode("overwrite").partitionBy(by).csv(path, sep=sep, header=True, quote='"', escape='"')
+    filled.repartition(by).sortWithinPartitions(by, *order).drop(*drop).write.mode("overwrite").partitionBy(by).csv(path, sep=sep, header=True, quote='"', escape='"')
 
 
 def write_texts(df: DataFrame, path: str, by: str = "transcript_id", order: list[str] = (), text: str = "text") -> None:
