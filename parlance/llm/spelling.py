@@ -7,7 +7,7 @@ automaton of its words, read forwards or backwards. Every state knows how many w
 which gives each word its number in sorted order and its count by that number. A word that asks
 walks its half exactly and is completed with one error. A word found backwards whose first half is
 whole too was found forwards, so it is left out there. A half that very many words share is dealt
-over several bins; every word that asks for it asks in all of them. Nothing but one row for each
+over several cells, by what is held and by what asks, so that every word that asks meets all of it. Nothing but one row for each
 word and direction leaves a bin: how many words are near, and the most frequent. Chains of forms are
 followed by doubling.
 
@@ -157,7 +157,7 @@ class Automaton:
 
 
 def searched(words: list[str], counts: list[int], asks: list[bool], holds: list[bool], backwards: bool) -> Iterator[tuple[str, int, int, str]]:
-    """(word, number of near words, count of the best, the best) for every asking word that has any, in one bin and direction."""
+    """(word, number of near words, count of the best, the best) for every asking word that has any, in one automaton."""
     turned = (lambda w: w[::-1]) if backwards else (lambda w: w)
     held = {turned(w): n for w, n, h in zip(words, counts, holds, strict=True) if h}
     order = sorted(held)
@@ -176,7 +176,7 @@ def searched(words: list[str], counts: list[int], asks: list[bool], holds: list[
 
 
 def bins(words: DataFrame, most: int) -> DataFrame:
-    """Rows (bin, backwards, word, n, asks, holds): each word where it is held and where it asks."""
+    """Rows (bin, backwards, cell, word, n, asks, holds): each word where it is held and where it asks. A half that is dealt over several cells has automata of their own, so that a word is found in one of them only."""
     length = F.length("word")
     even, first = length % 2 == 0, F.floor(length / 2)
     last = length - first
@@ -191,11 +191,16 @@ def bins(words: DataFrame, most: int) -> DataFrame:
     sizes = rows.groupBy("backwards", "half").agg(F.count("*").alias("size"))
     hot = written(sizes.where(F.col("size") > most).select("backwards", "half", F.ceil(F.col("size") / most).cast("int").alias("parts")), "halves")
     rows = rows.join(small(hot, "half"), ["backwards", "half"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
-    part = F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own)))
-    rows = rows.withColumn("own", own).withColumn("part", part)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
+    # (held, asking, asks, holds): words that ask and words that are held are both dealt, so that a cell has a part of each
+    place = lambda x, y, asks, holds: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), asks.alias("asks"), F.lit(holds).alias("holds"))
+    every, own = F.sequence(F.lit(0), F.col("parts") - 1), F.col("own")
+    asking = F.when(F.col("asks"), F.transform(every, lambda x: place(x, own, F.lit(True), False))).otherwise(F.array().cast("array<struct<x:int,y:int,asks:boolean,holds:boolean>>"))
+    cells = F.when(F.col("parts") == 1, F.array(place(own, own, F.col("asks"), True))).otherwise(F.concat(asking, F.transform(every, lambda y: place(own, y, F.lit(False), True))))
+    rows = rows.withColumn("c", F.explode(cells))
     many = max(1, math.ceil(4 * words.count() / most))
-    return rows.select(F.pmod(F.xxhash64("backwards", "half", "part"), F.lit(many)).alias("bin"), "backwards", "word", "n", "asks", (F.col("part") == F.col("own")).alias("holds"))
+    name = F.when(F.col("parts") > 1, F.concat_ws("/", "half", "c.x", "c.y")).otherwise("")
+    return rows.select(F.pmod(F.xxhash64("backwards", "half", "c.x", "c.y"), F.lit(many)).alias("bin"), "backwards", name.alias("cell"), "word", "n", "c.asks", "c.holds")
 
 
 def near_words(words: DataFrame, most: int = BIN) -> DataFrame:
@@ -204,9 +209,9 @@ def near_words(words: DataFrame, most: int = BIN) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "bin"):
             parts = defaultdict(list)
-            for row in zip(*(group.column(c).to_pylist() for c in ("bin", "backwards", "word", "n", "asks", "holds")), strict=True):
-                parts[row[:2]].append(row[2:])
-            for (_, backwards), rows in parts.items():
+            for row in zip(*(group.column(c).to_pylist() for c in ("bin", "backwards", "cell", "word", "n", "asks", "holds")), strict=True):
+                parts[row[:3]].append(row[3:])
+            for (_, backwards, _), rows in parts.items():
                 got = list(searched(*map(list, zip(*rows, strict=True)), backwards))
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["word", "n_near", "form_n", "form"])
