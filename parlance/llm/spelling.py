@@ -175,7 +175,7 @@ def searched(words: list[str], counts: list[int], asks: list[bool], holds: list[
                 yield word, len(near), -best[0], best[1]
 
 
-def bins(words: DataFrame, most: int) -> DataFrame:
+def bins(words: DataFrame, most: int, many: int) -> DataFrame:
     """Rows (bin, backwards, cell, word, n, asks, holds): each word where it is held and where it asks. A half that is dealt over several cells has automata of their own, so that a word is found in one of them only."""
     length = F.length("word")
     even, first = length % 2 == 0, F.floor(length / 2)
@@ -198,7 +198,6 @@ def bins(words: DataFrame, most: int) -> DataFrame:
     asking = F.when(F.col("asks"), F.transform(every, lambda x: place(x, own, F.lit(True), False))).otherwise(F.array().cast("array<struct<x:int,y:int,asks:boolean,holds:boolean>>"))
     cells = F.when(F.col("parts") == 1, F.array(place(own, own, F.col("asks"), True))).otherwise(F.concat(asking, F.transform(every, lambda y: place(own, y, F.lit(False), True))))
     rows = rows.withColumn("c", F.explode(cells))
-    many = max(1, math.ceil(4 * words.count() / most))
     name = F.when(F.col("parts") > 1, F.concat_ws("/", "half", "c.x", "c.y")).otherwise("")
     return rows.select(F.pmod(F.xxhash64("backwards", "half", "c.x", "c.y"), F.lit(many)).alias("bin"), "backwards", name.alias("cell"), "word", "n", "c.asks", "c.holds")
 
@@ -216,8 +215,9 @@ def near_words(words: DataFrame, most: int = BIN) -> DataFrame:
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["word", "n_near", "form_n", "form"])
 
-    dealt = bins(words, most)
-    found = dealt.repartition("bin").sortWithinPartitions("bin").mapInArrow(work, "word string, n_near long, form_n long, form string")
+    # a task for each bin or so: the work goes with words, not with the bytes that tasks are put together by
+    many = max(1, math.ceil(4 * words.count() / most))
+    found = bins(words, most, many).repartition(many, "bin").sortWithinPartitions("bin").mapInArrow(work, "word string, n_near long, form_n long, form string")
     best = F.min(F.struct((-F.col("form_n")).alias("n"), F.col("form").alias("form")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select("word", "n_near", (-F.col("best.n")).alias("form_n"), F.col("best.form").alias("form"))
 
