@@ -45,26 +45,32 @@ SYLLABLES = {
     "cyrillic": ["ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "ма", "не", "по", "ри", "са", "те", "фи", "хо"],
 }
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-TITLES = "|".join(MALE + FEMALE + NEUTRAL)
+TITLES = "|".join([*MALE, *FEMALE, *NEUTRAL, *[t.upper() for t in MALE + FEMALE + NEUTRAL]])
 HEXTET = r"[0-9A-Fa-f]{1,4}"
+#: Words before a surname that belong to it, in small letters or with a capital.
+PARTICLES = ["van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "ten", "ter", "zu", "zum"]
+PARTICLE = "|".join([*PARTICLES, *map(str.capitalize, PARTICLES)])
+#: A word of a name: parts of it may follow an apostrophe or a hyphen. A surname: such a word, with its particles.
+NAME_WORD = r"\p{Lu}(?:\p{L}*+['’-]\p{L})*+\p{L}*+"
+SURNAME = rf"(?:(?:{PARTICLE})[ ])*{NAME_WORD}"
 #: What an entity of each kind looks like. None can backtrack over a long run.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w|\.\d)|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w|\.\d)",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w|\.\d)|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w|\.\d)|(?<![\w+])(?=(?:\d ?){9,12}(?![\d ]*\d))0\d{1,4}(?: \d{2,4}){2,4}(?!\w|\.\d)",
     "card": r"(?<!\w)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\w)",
     "ssn": r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)",
     "ip": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
     "ipv6": rf"(?<![\w:.])(?:{HEXTET}:){{7}}{HEXTET}(?![\w:])|(?<![\w:.])(?:{HEXTET}:){{2,6}}(?::{HEXTET}){{1,5}}(?![\w:])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "access_key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
-    "token": r"(?<!\w)(?:gh[opsru]_[A-Za-z0-9]{30,100}|xox[abprs]-[A-Za-z0-9-]{10,100}|sk-[A-Za-z0-9_-]{20,100})(?!\w)",
+    "token": r"(?<!\w)(?:gh[opsru]_[A-Za-z0-9]{30,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9_-]{20,}+)(?!\w)",
     "secret": r"(?<!\w)(?i:password|passwd|secret|token|api_?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,}",
-    "name": rf"(?<!\p{{L}})(?:{TITLES})\.?[ ]\p{{Lu}}\p{{L}}++(?:[ ]\p{{Lu}}\p{{L}}++)?",
+    "name": rf"(?<!\p{{L}})(?:{TITLES})\.?[ ](?:{SURNAME}(?:[ ]{SURNAME})?)(?<=\p{{L}}\p{{L}})",
 }
 #: No entity starts after a character of a word, which is asked once for all kinds.
 PATTERN = rf"(?<!\w)(?:{'|'.join(f'(?:{p})' for p in KINDS.values())})"
 #: Texts without any of these hold no entity.
-GUARD = rf"[0-9@=:_]|(?<!\w)(?:xox|sk-|(?:{TITLES})\.? \p{{Lu}})"
+GUARD = rf"[0-9@=:_]|(?<!\w)(?:xox|sk-|(?:{TITLES})\.? \p{{L}})"
 #: Two characters that Unicode leaves to programs. The first is doubled by a third where a text has it, so the two together only stand at the ends of entities.
 ESCAPE, MARK, PLAIN = "\ufdd0", "\ufdd0\ufdd1", "\ufdd0\ufdd2"
 ROUNDS, ATTEMPTS = 8, 20
@@ -156,6 +162,13 @@ def kind_of(entity: Column, checked: bool) -> Column:
     return let(out, lambda kind: F.when((kind == "card") & ~card, "").when((kind == "iban") & ~iban, "").otherwise(kind))
 
 
+def name_parts(name: Column) -> Column:
+    """Of a name without its title: the given name, if it has one, and the surname with its particles."""
+    first = F.substring_index(name, " ", 1)
+    alone = ~name.contains(" ") | F.lower(first).isin(PARTICLES)
+    return F.when(alone, F.array(name)).otherwise(F.array(first, F.substring(name, F.length(first) + 2, F.length(name))))
+
+
 def title_of(name: Column) -> Column:
     return F.regexp_extract(name, r"^(\p{L}+\.?[ ])", 1)
 
@@ -166,17 +179,17 @@ def identities(kind: Column, entity: Column) -> Column:
     none = F.filter(F.array(one(kind, entity)), lambda _: F.lit(False))
 
     def names(title: Column) -> Column:
-        bare = F.regexp_replace(title, r"[. ]", "")
-        gender = F.when(bare.isin(MALE), "m").when(bare.isin(FEMALE), "f").otherwise("n")
+        bare = F.lower(F.regexp_replace(title, r"[. ]", ""))
+        gender = F.when(bare.isin([t.lower() for t in MALE]), "m").when(bare.isin([t.lower() for t in FEMALE]), "f").otherwise("n")
         named = F.lower(F.substring(entity, F.length(title) + 1, F.length(entity)))
         script = F.when(named.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-        return let(F.struct(named.alias("named"), script.alias("script"), gender.alias("gender")), parts)
+        return let(F.struct(name_parts(named).alias("words"), script.alias("script"), gender.alias("gender")), parts)
 
     def parts(x: Column) -> Column:
         # a Cyrillic surname goes by gender too, as its ending does
-        family = one(F.concat_ws(":", F.lit("family"), x["script"], F.when(x["script"] == "cyrillic", x["gender"]).otherwise("n")), F.substring_index(x["named"], " ", -1))
-        given = one(F.concat_ws(":", F.lit("given"), x["script"], x["gender"]), F.substring_index(x["named"], " ", 1))
-        return F.when(x["named"].contains(" "), F.array(given, family)).otherwise(F.array(family))
+        family = one(F.concat_ws(":", F.lit("family"), x["script"], F.when(x["script"] == "cyrillic", x["gender"]).otherwise("n")), F.element_at(x["words"], -1))
+        given = one(F.concat_ws(":", F.lit("given"), x["script"], x["gender"]), x["words"][0])
+        return F.when(F.size(x["words"]) > 1, F.array(given, family)).otherwise(F.array(family))
 
     return F.when(kind == "name", let(title_of(entity), names)).when(kind == "email", F.array(one(kind, F.lower(entity)))).when(kind == "", none).otherwise(F.array(one(kind, entity)))
 
@@ -185,7 +198,7 @@ def numeric(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
     """The replacement of a phone, a card, a social security number or an IBAN."""
     digits = digits_of(entity)
     # what is permuted: of a phone the digits after the country code, of a card all but the last, of an IBAN those after the check digits
-    code = F.when(kind == "phone", F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1)).otherwise("")
+    code = F.when(kind == "phone", F.concat(F.regexp_extract(entity, r"^\+(\d{1,3})[ .(-]", 1), F.regexp_extract(entity, "^0", 0))).otherwise("")
     shape = F.when(kind == "iban", F.substring(entity, F.lit(5), F.length(entity))).otherwise(entity)
     inner = F.when(kind == "card", F.regexp_replace(digits, ".$", "")).when(kind == "iban", digits_of(shape)).otherwise(F.substring(digits, F.length(code) + 1, F.length(digits)))
     country = F.when(kind == "iban", F.substring(entity, 1, 2)).otherwise("")
@@ -263,11 +276,12 @@ def tagged(entities: Column, checked: bool) -> Column:
 
 
 def colliding(table: DataFrame) -> DataFrame:
-    """Of the rows (kind, value, attempt, surrogate): those whose surrogate a row before them of their kind has, or is a value of their kind."""
-    plain = table.select("kind", F.lower("surrogate").alias("low"), "value", "attempt")
+    """Of the rows (kind, value, attempt, surrogate): those whose surrogate a row before them of their kind has, or is a value of their kind; a part of a name of any kind is one."""
+    sort = F.when(F.col("kind").contains(":"), "name").otherwise(F.col("kind")).alias("sort")
+    plain = table.select("kind", sort, F.lower("surrogate").alias("low"), "value", "attempt")
     firsts = plain.groupBy("kind", "low").agg(F.min("value").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "low", "first")
     shared = plain.join(firsts, ["kind", "low"]).where("value <> first").select("kind", "value", "attempt")
-    real = plain.join(table.select("kind", F.lower("value").alias("low")).distinct(), ["kind", "low"], "left_semi").select("kind", "value", "attempt")
+    real = plain.join(table.select(sort, F.lower("value").alias("low")).distinct(), ["sort", "low"], "left_semi").select("kind", "value", "attempt")
     return shared.unionByName(real).distinct()
 
 
@@ -322,19 +336,27 @@ def surrogates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key:
 
     def replaced(t: Column) -> Column:
         title = title_of(t["value"])
-        words = F.split(F.substring(t["value"], F.length(title) + 1, F.length(t["value"])), " ")
+        words = name_parts(F.substring(t["value"], F.length(title) + 1, F.length(t["value"])))
         new = F.transform(identities(t["kind"], t["value"]), own)
         named = F.concat(title, F.array_join(F.transform(F.arrays_zip(new.alias("n"), words.alias("w")), lambda x: cased(x["n"], x["w"])), " "))
         return F.when(t["kind"] == "", t["value"]).when(t["kind"] == "name", named).otherwise(new[0])
 
     rows = rows.withColumn("new", F.transform("found", replaced))
-    # names of the text, without their titles: whole ones first, then surnames
+    # Names of the text, without their titles: whole ones, surnames, given names. One pass with one pattern, so
+    # that what has been put in isn't read again; longer ones first, and of equal ones the first.
     bare = lambda e: F.substring(e, F.length(title_of(e)) + 1, F.length(e))
     pairs = F.filter(F.arrays_zip("found", "new"), lambda x: x["found"]["kind"] == "name")
-    whole = F.transform(pairs, lambda x: F.struct(bare(x["found"]["value"]).alias("old"), bare(x["new"]).alias("new")))
-    last = F.transform(whole, lambda x: F.struct(F.substring_index(x["old"], " ", -1).alias("old"), F.substring_index(x["new"], " ", -1).alias("new")))
-    rows = rows.withColumn("names", F.array_distinct(F.concat(whole, last)))
-    again = lambda p: F.aggregate("names", p, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<!\p{L})"), x["old"], F.lit(r"(?!\p{L})")), x["new"]))
+
+    def parts(x: Column) -> Column:
+        old, new = bare(x["found"]["value"]), bare(x["new"])
+        both = F.arrays_zip(name_parts(old).alias("old"), F.split(new, " ").alias("new"))
+        return F.concat(F.array(F.struct(old.alias("old"), new.alias("new"))), F.when(F.size(both) > 1, F.reverse(both)).otherwise(F.array().cast("array<struct<old:string,new:string>>")))
+
+    rows = rows.withColumn("names", F.flatten(F.transform(pairs, parts)))
+    ranked = F.transform(F.sort_array(F.array_distinct(F.transform("names", lambda x: F.struct((-F.length(x["old"])).alias("n"), x["old"].alias("old"))))), lambda x: x["old"])
+    rows = rows.withColumn("pattern", F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(ranked, "|"), F.lit(r")(?!\p{L})")))
+    put = lambda m: F.get(F.filter("names", lambda x: x["old"] == m), F.lit(0))["new"]
+    again = lambda p: F.array_join(F.zip_with(F.split(p, F.col("pattern"), -1), F.transform(F.regexp_extract_all(p, F.col("pattern"), F.lit(0)), put), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
     joined = F.array_join(F.transform("pieces", lambda p, i: F.when(i % 2 == 1, F.get("new", F.floor(i / 2).cast("int"))).when(F.size("names") > 0, again(p)).otherwise(p)), "")
     kinds = F.filter(F.transform("found", lambda t: t["kind"]), lambda k: k != "")
     return rows.select(
