@@ -105,9 +105,6 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return faults.where("severity = 'error'").count()
     elif args.verb == "align":
         pairs = alignment.file_pairs(alignment.timed_tokens(files.read_vert(spark, args.input)))
-        # without times the longer side is still cut to as many tokens as the shorter has
-        size = F.when(F.col("timed"), F.greatest(F.size("a"), F.size("b"))).otherwise(F.least(F.size("a"), F.size("b")))
-        pairs = pairs.withColumns({c: F.slice(c, F.lit(1), size) for c in ("a", "b", "ids_a", "ids_b")})
         rows = alignment.alignment_rows(pairs, ["base", "first", "second"], ids=("ids_a", "ids_b"))
         files.write_table(rows, f"{args.output}/tokens", by="base", order=["first", "second", "position"])
         files.write_table(alignment.error_rate(rows, ["base", "first", "second"]), f"{args.output}/rates", by="base", order=["first", "second"])

@@ -48,16 +48,16 @@ def translated(df: DataFrame, dictionary: DataFrame, table: str, columns: list[s
     """
     rows = dictionary.where((F.col("table") == table) & F.col("en").isNotNull())
     rows = rows.groupBy("column", "en").agg(F.max_by("it", F.col("line") if "line" in dictionary.columns else F.col("it")).alias("it"))
-    rows = rows.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("en", "it"))).alias("words"))
-    # one row a column of the table, so at most as many as it has columns
     for column in columns:
-        words = rows.where(F.col("column") == column).select(F.col("words").alias("__words"))
-        one = words.agg(F.first("__words").alias("__words"))
-        df = df.join(F.broadcast(one), F.lit(True), "left")
-        look = lambda v: F.coalesce(F.element_at(F.col("__words"), v), v)
+        # Every distinct value once, in its parts, by an equal join with the dictionary; and back to the rows by the value.
         sep = (separators or {}).get(column)
-        new = F.array_join(F.transform(F.split(F.col(f"`{column}`"), sep), look), sep) if sep else look(F.col(f"`{column}`"))
-        df = df.withColumn(column, new).drop("__words")
+        value = F.col(f"`{column}`").cast("string")
+        parts = F.split("__value", sep) if sep else F.array("__value")
+        words = rows.where(F.col("column") == column).select(F.col("en").alias("__part"), "it")
+        each = df.select(value.alias("__value")).where("__value is not null").distinct().select("__value", F.posexplode(parts).alias("__at", "__part"))
+        new = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__at", F.coalesce("it", "__part").alias("v")))), lambda x: x["v"]), sep or "")
+        known = each.join(words, "__part", "left").groupBy("__value").agg(new.alias("__new"))
+        df = df.join(known, value == F.col("__value"), "left").withColumn(column, F.col("__new")).drop("__value", "__new")
     return df
 
 

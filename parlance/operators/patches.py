@@ -99,11 +99,23 @@ def form_notes(rows: DataFrame) -> DataFrame:
     return rows.withColumn("derived", X.form_from_span(F.col("span"))).where("derived is not null and derived <> form")
 
 
-def recap(diff: DataFrame, order: str = "line", unit: str = "tu_id") -> DataFrame:
-    """Rows (unit, icon, kept, changed, dropped, added): a summary of consecutive units with changes; the worst icon of a unit's rows."""
+def recap(diff: DataFrame, order: str = "line", unit: str = "tu_id", file: str | None = None) -> DataFrame:
+    """Rows (unit, icon, kept, changed, dropped, added), and the file if one is named: a summary of the units with changes; the worst icon of a unit's rows.
+
+    With a file, of its runs of rows that change: a run ends where the next row that changes is of another unit.
+    """
     rank = F.max(F.when(F.col("change") == "dropped", 2).when(F.col("change") == "added", 1).when(F.col("change") == "changed", 1).otherwise(0))
     counts = [F.count_if(F.col("change") == c).alias(c) for c in ("kept", "changed", "dropped", "added")]
-    got = diff.groupBy(unit).agg(F.min(order).alias("first"), rank.alias("rank"), *counts).where("rank > 0")
+    keys = [unit]
+    if file:
+        by = Window.partitionBy(file).orderBy(order)
+        # a row that stays as it is counts to the run of the row before it, if that is of its unit, and opens none
+        moves = F.when(F.col("change") != "kept", F.col(unit).cast("string"))
+        before = F.last(moves, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+        opens = (moves.isNotNull() & ~before.eqNullSafe(moves)).cast("int")
+        diff = diff.withColumn("__opens", opens).withColumn("run", F.sum("__opens").over(by)).drop("__opens")
+        keys = [file, "run", unit]
+    got = diff.groupBy(*keys).agg(F.min(order).alias("first"), rank.alias("rank"), *counts).where("rank > 0")
     return got.withColumn("icon", F.when(F.col("rank") == 2, "❌").otherwise("⚠️")).drop("rank")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import fields as X
@@ -169,6 +169,24 @@ def recap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patches.recap(df, "l_linenumber", "l_orderkey").drop("first")
 
 
+@query("""
+WITH d AS (SELECT l_suppkey % 50 AS file, l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS line, l_orderkey % 3 AS unit,
+                  CASE WHEN l_partkey % 5 = 0 THEN 'dropped' WHEN l_partkey % 5 = 1 THEN 'added' WHEN l_partkey % 50 = 2 THEN 'changed' ELSE 'kept' END AS change FROM lineitem),
+     m AS (SELECT *, lag(unit) OVER (PARTITION BY file ORDER BY line) AS before FROM d WHERE change <> 'kept'),
+     o AS (SELECT *, count(*) FILTER (WHERE before IS NULL OR before <> unit) OVER (PARTITION BY file ORDER BY line) AS run FROM m),
+     r AS (SELECT d.*, coalesce(o.run, last_value(o.run IGNORE NULLS) OVER (PARTITION BY d.file ORDER BY d.line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS run FROM d LEFT JOIN o USING (file, line))
+SELECT file, unit, run, CASE WHEN bool_or(change = 'dropped') THEN '❌' ELSE '⚠️' END AS icon, count(*) FILTER (WHERE change = 'kept') AS kept, count(*) FILTER (WHERE change = 'changed') AS changed, count(*) FILTER (WHERE change = 'dropped') AS dropped, count(*) FILTER (WHERE change = 'added') AS added
+FROM r GROUP BY 1, 2, 3 HAVING bool_or(change <> 'kept')
+""")
+def recap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive changes of a unit, file by file: a unit that comes again later has a run of its own."""
+    p = F.col("l_partkey")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    change = F.when(p % 5 == 0, "dropped").when(p % 5 == 1, "added").when(p % 50 == 2, "changed").otherwise("kept")
+    df = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("file"), (F.col("l_orderkey") * 100 + place).alias("line"), (F.col("l_orderkey") % 3).alias("unit"), change.alias("change"))
+    return patches.recap(df, "line", "unit", "file").drop("first")
+
+
 def lemma_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as an edited lemma table with faults of every kind."""
     n, k = F.col("l_linenumber"), F.col("l_orderkey")

@@ -118,6 +118,7 @@ def file_urls(module: Column, code: Column, base: str, branch: str = "dev") -> t
 def write_file(df: DataFrame, path: str, order: list[str], sep: str = "\t") -> None:
     """One delimited file with a header, in order; null is `_`. For metadata, whose format is one file with a row for each person or conversation.
 
+    A file that was there is put aside first and deleted last, so one of the two is always there.
     The columns of `order` that are named line or begin with two underscores aren't written. The file
     is made beside its place and moved there, so that a table can be written over the one it was read from.
     """
@@ -129,8 +130,17 @@ def write_file(df: DataFrame, path: str, order: list[str], sep: str = "\t") -> N
     fs, at = place(spark, path)
     folder = place(spark, new)[1]
     part = fs.globStatus(place(spark, f"{new}/part-*")[1])[0].getPath()
-    fs.delete(at, False)
-    fs.rename(part, at)
+    # the old file stays beside the new one until that is in its place
+    old = place(spark, f"{path}.old-{uuid.uuid4().hex}")[1]
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"can't put {path} aside")
+    if not fs.rename(part, at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"can't write {path}")
+    if had:
+        fs.delete(old, False)
     fs.delete(folder, True)
 
 
