@@ -8,7 +8,8 @@ from itertools import combinations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import alignment, formats, metadata, pages, patches, patching, wip
+from parlance.functions import fields as X
+from parlance.operators import alignment, formats, metadata, pages, patches, patching, validation, wip
 from parlance.plans.process import process
 from parlance.sources import config, files, modules
 
@@ -123,6 +124,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         values = [F.coalesce(F.col(side)[c], F.lit("_")).alias(f"{side}_{c}") for side in ("old", "new") for c in pages.SHOWN]
         items = patching.recap_items(rows).select("file", "at", "token_id", "tu_id", "change", "notes", *values)
         files.write_texts(named(pages.recap_markdown(items, "file", "at"), "text", ".vert.tsv.recap.md"), f"{args.output}/recaps")
+    elif args.verb == "report":
+        units = files.read_units(spark, args.input, settings["ignored_tiers"], settings["extracted_tiers"], settings["translation_suffix"])
+        got = process(units.drop("line", "duration"), settings, ignored_pairs(spark, args.annotations, units))
+        module = X.module_of(F.col("code"), "other")
+        rows = validation.occurrences(got["units"], got["tokens"], module)
+        every = got["units"].select(F.col("transcript_id").alias("code")).distinct().withColumn("module", module)
+        log = validation.log_pages(every, validation.totals(rows)).cache()
+        files.write_texts(log, f"{args.output}/log", by="module")
+        files.write_texts(validation.log_overview(log).withColumn("module", F.lit("all")), f"{args.output}/overview", by="module")
+        found = validation.records(rows).cache()
+        files.write_texts(validation.error_pages(found), f"{args.output}/errors", by="module")
+        files.write_texts(found.withColumnRenamed("json", "text"), f"{args.output}/records", by="module", order=["code", "place"])
+        return found.count()
     elif args.verb == "conllu2wip":
         rows = wip.converted(files.read_conllu(spark, args.input).withColumnRenamed("transcript_id", "file")).withColumnRenamed("file", "transcript_id").cache()
         files.write_table(rows.select("transcript_id", *wip.FIELDS, "sort"), f"{args.output}/wip", order=["sort"], sep=",", drop=["sort"])
@@ -137,7 +151,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants", "make_patch", "conllu2wip"])
+    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants", "make_patch", "conllu2wip", "report"])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--config", help="a module's YAML settings")

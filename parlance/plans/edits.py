@@ -1,12 +1,14 @@
-"""Queries of edited tables over the driver's tables: whole patches."""
+"""Queries of edited tables and of the validation report over the driver's tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators import patching, wip
-from parlance.plans.registry import query, table
+from parlance.operators import patching, validation, wip
+from parlance.operators.normalize import ERRORS, NAMES, normalize
+from parlance.plans.registry import ORACLE_SQL, query, table, units
+from parlance.plans.rules import norm_full
 
 COLUMNS = ["token_id", "speaker", "tu_id", "span", "form", "type", "jefferson_feats", "align", "pace"]
 
@@ -167,3 +169,53 @@ def conllu_to_wip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = F.array_sort(F.collect_list(F.struct("idx", "piece")))
     texts = tokens.groupBy("file", "sent").agg(F.array_join(F.transform(pieces, lambda x: x["piece"]), " ").alias("jefferson_text"))
     return wip.converted(tokens.drop("piece").join(texts, ["file", "sent"])).drop("sort")
+
+
+#: What the rules did to units, unpivoted: a row for each conversation and rule, and one for each fault.
+OCCURRENCES_SQL = f"""
+WITH full_rows AS ({ORACLE_SQL[norm_full.__name__]}),
+     w AS (SELECT 'M' || transcript_id % 7 AS module, CAST(transcript_id AS VARCHAR) AS code, 'warning' AS kind, rule, CAST(sum(n) AS BIGINT) AS n, NULL AS tu_id, NULL AS speaker, NULL AS text
+           FROM (UNPIVOT (SELECT transcript_id, {', '.join(f'CAST(w_{n} AS BIGINT) AS "{n}"' for n in NAMES)} FROM full_rows) ON {', '.join(f'"{n}"' for n in NAMES)} INTO NAME rule VALUE n) GROUP BY ALL HAVING sum(n) > 0),
+     e AS (SELECT 'M' || transcript_id % 7 AS module, CAST(transcript_id AS VARCHAR) AS code, 'error' AS kind, rule, CAST(1 AS BIGINT) AS n, tu_id, speaker, text
+           FROM (UNPIVOT (SELECT transcript_id, tu_id, speaker, text, {', '.join(f'CAST(e_{c.name} AS BIGINT) AS "{c.name}"' for c in ERRORS)} FROM full_rows) ON {', '.join(f'"{c.name}"' for c in ERRORS)} INTO NAME rule VALUE n) WHERE n > 0),
+     o AS (SELECT * FROM w UNION ALL SELECT * FROM e)
+"""
+
+
+def said_of_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = normalize(units(spark, sf_dir).drop("start_ms", "end_ms")).withColumn("include", F.lit(True))
+    none = spark.createDataFrame([], "transcript_id string, tu_id long, speaker string, text string, span string, type string")
+    return validation.occurrences(df, none, F.concat(F.lit("M"), (F.col("code").cast("long") % 7).cast("string")))
+
+
+@query(OCCURRENCES_SQL + """
+SELECT CASE GROUPING(code) * 2 + GROUPING(rule) WHEN 3 THEN 'module' WHEN 2 THEN 'rule' WHEN 1 THEN 'conversation' ELSE 'conversation rule' END AS level, module, code, kind, rule, CAST(sum(n) AS BIGINT) AS n, count(DISTINCT code) AS conversations
+FROM o GROUP BY GROUPING SETS ((module), (module, kind, rule), (module, code), (module, code, kind, rule))
+""")
+def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings and errors of all units at four levels, in one pass."""
+    return validation.totals(said_of_units(spark, sf_dir))
+
+
+@query(OCCURRENCES_SQL + """
+     , c AS (SELECT module, code, string_agg(rule || ':' || n, ', ' ORDER BY rule) AS said FROM w GROUP BY ALL),
+     every_one AS (SELECT DISTINCT 'M' || conv_id % 7 AS module, CAST(conv_id AS VARCHAR) AS code FROM conversations)
+SELECT module, count(*) AS conversations, count(said) AS with_warnings,
+       '[[' || lower(module) || ']]' || chr(10) || '== ' || module || chr(10) || chr(10) || '[cols="1,4,1"]' || chr(10) || '|===' || chr(10) || '|Code |Warnings |Error tokens' || chr(10)
+       || coalesce(string_agg('|' || code || ' |' || said || ' |_', chr(10) ORDER BY code) || chr(10), '') || '|===' || chr(10) AS text
+FROM every_one LEFT JOIN c USING (module, code) GROUP BY module
+""")
+def validation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of every module."""
+    every = table(spark, sf_dir, "conversations").select(F.concat(F.lit("M"), (F.col("conv_id") % 7).cast("string")).alias("module"), F.col("conv_id").cast("string").alias("code"))
+    return validation.log_pages(every, validation.totals(said_of_units(spark, sf_dir)))
+
+
+@query(OCCURRENCES_SQL + """
+SELECT module, code, CAST(row_number() OVER (PARTITION BY module, code ORDER BY tu_id, rule) AS INTEGER) AS place,
+       replace('{"module":' || to_json(module) || ',"code":' || to_json(code) || ',"kind":"error","rule":' || to_json(rule) || ',"tuId":' || tu_id || ',"speaker":' || to_json(speaker) || ',"text":' || to_json(text) || ',"span":null,"detail":null,"tsvUrl":null,"eafUrl":null}', '</', '<\\/') AS json
+FROM e
+""")
+def validation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fault of every unit as a record."""
+    return validation.records(said_of_units(spark, sf_dir))
