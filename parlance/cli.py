@@ -95,7 +95,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.verb == "conll2conllu":
         files.write_texts(formats.conllu(vert_rows(spark, args.input), KEYS), args.output, order=["tu_id"])
     elif args.verb == "vert2tei":
-        files.write_texts(formats.tei(vert_rows(spark, args.input)), args.output)
+        about = {c: files.read_metadata(spark, f"{args.metadata}/{c}.tsv") if args.metadata else None for c in TABLES}
+        layers = dict(x.split("=", 1) for x in (args.layers or "").split(",") if x)
+        files.write_texts(formats.tei(vert_rows(spark, args.input), about["conversations"], participants=about["participants"], layers=layers), args.output)
     elif args.verb == "vert2chat":
         files.write_texts(formats.chat(vert_rows(spark, args.input)), args.output)
     elif args.verb == "csv2html":
@@ -158,6 +160,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--threshold", type=float, help="seconds below which an overlap is short")
     parser.add_argument("--media", default="", help="the recording that ELAN files name")
     parser.add_argument("--annotations", help="a YAML file whose `ignore` lists groups of units that don't overlap")
+    parser.add_argument("--metadata", help="the folder of conversations.tsv and participants.tsv that a TEI header is made from")
+    parser.add_argument("--layers", help="columns of spans and their names in TEI: column=name,column=name")
     parser.add_argument("--edited", help="the edited tables that a patch is made from")
     parser.add_argument("--translations", help="a table of table, column, en, it")
     return run(SparkSession.builder.appName("parlance").getOrCreate(), parser.parse_args(argv))

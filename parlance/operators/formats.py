@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import fields as X
+from parlance.operators.metadata import first_of, last_by_code
 from parlance.operators.normalize import ERRORS, NAMES
 from parlance.operators.units import KEYS
 
@@ -253,8 +254,81 @@ def shifts(rows: DataFrame, keys: list[str], order: str = "line") -> DataFrame:
     return df.withColumns(out).drop("__loud", "__tempo")
 
 
-def tei(rows: DataFrame, conversations: DataFrame | None = None, order: str = "line") -> DataFrame:
-    """Rows (transcript_id, text): TEI XML with timeline, blocks of utterances, anchors of overlaps and their links."""
+#: The fields of a conversation that its source is noted with.
+NOTED = ["type", "collection-point", "topic", "participants-relationship", "moderator"]
+
+
+def tag(name: str, text: Column, **attributes_: Column | str) -> Column:
+    """An element with its text, or null where the text is missing."""
+    head = [F.lit(f"<{name}")]
+    for key, value in attributes_.items():
+        head += [F.lit(f' {key}="'), X.xml(value if isinstance(value, Column) else F.lit(value)), F.lit('"')]
+    return F.when(~X.missing(text), F.concat(*head, F.lit(">"), X.xml(text), F.lit(f"</{name}>")))
+
+
+def empty_tag(name: str, key: str, value: Column) -> Column:
+    return F.when(~X.missing(value), F.concat(F.lit(f'<{name} {key}="'), X.xml(value), F.lit('"/>')))
+
+
+def tei_people(rows: DataFrame, conversations: DataFrame | None, participants: DataFrame | None, order: str = "line") -> DataFrame:
+    """Rows (transcript_id, people): the speakers of a transcript, first come first, with what is known of them; who moderates has an R as the third letter of the code."""
+    said = rows.where(~X.missing(F.col("speaker"))).groupBy("transcript_id", "speaker").agg(F.min(order).alias("first"))
+    of = lambda c, df: F.col(f"`p_{c}`") if df is not None and c in df.columns else F.lit(None).cast("string")
+    if participants is not None:
+        people = last_by_code(participants)
+        said = said.join(people.select(*[F.col(f"`{c}`").cast("string").alias(f"p_{c}") for c in people.columns]), F.col("speaker") == F.col("p_code"), "left")
+    moderated = F.lit(False)
+    if conversations is not None and {"moderator", "participants"} <= set(conversations.columns):
+        talks = first_of(conversations, ["code"], [F.col("line")] if "line" in conversations.columns else [F.to_json(F.struct("*"))])
+        said = said.join(talks.select(F.col("code").alias("transcript_id"), F.col("moderator").alias("__mod"), F.split("participants", ";").alias("__here")), "transcript_id", "left")
+        moderated = F.coalesce((F.lower("__mod") == "yes") & F.array_contains("__here", F.col("speaker")) & (F.substring("speaker", 3, 1) == "R"), F.lit(False))
+    known = F.concat_ws(
+        "", empty_tag("sex", "value", X.mapped(of("gender", participants), X.SEXES)), tag("age", of("age-range", participants)),
+        F.concat(F.lit("<birth>"), tag("region", of("birth-region", participants)), F.lit("</birth>")), tag("occupation", of("occupation", participants)), tag("education", of("study-level", participants)),
+    )
+    person = F.concat(F.lit('<person xml:id="'), X.xml(F.col("speaker")), F.lit('" role="'), F.when(moderated, "moderator").otherwise("participant"), F.lit('">'), tag("persName", F.col("speaker")), known, F.lit("</person>"))
+    return said.groupBy("transcript_id").agg(ordered(["first"], person, "\n").alias("people"))
+
+
+def tei_sources(conversations: DataFrame) -> DataFrame:
+    """Rows (transcript_id, dur, bibl, languages, setting): what the header says of a conversation, of equal codes the first."""
+    own = first_of(conversations, ["code"], [F.col("line")] if "line" in conversations.columns else [F.to_json(F.struct("*"))])
+    of = lambda c: F.col(f"`{c}`").cast("string") if c in own.columns else F.lit(None).cast("string")
+    date = empty_tag("date", "when", of("year"))
+    notes = [tag("note", of(c), type=c) for c in NOTED]
+    bibl = F.concat(F.lit("<bibl>"), F.concat_ws("", tag("title", of("code")), date, *notes), F.lit("</bibl>"))
+    language = lambda x: F.concat(F.lit('<language ident="'), X.xml(X.mapped(x, X.LANGUAGES)), F.lit('">'), X.xml(F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 20)))), F.lit("</language>"))
+    languages = F.when(~X.missing(of("languages")), F.concat(F.lit("<langUsage>"), F.array_join(F.transform(X.codes(of("languages")), language), ""), F.lit("</langUsage>")))
+    place = F.concat_ws("", tag("name", of("collection-point"), type="collection-point"), date)
+    setting = F.when(place != "", F.concat(F.lit("<settingDesc><setting>"), place, F.lit("</setting></settingDesc>")))
+    return own.select(F.col("code").alias("transcript_id"), F.when(~X.missing(of("duration")), X.iso_duration(of("duration"))).alias("dur"), bibl.alias("bibl"), languages.alias("languages"), setting.alias("setting"))
+
+
+def span_layers(rows: DataFrame, layers: dict[str, str], order: str = "line") -> DataFrame:
+    """Rows (transcript_id, layer, span, first_token, last_token, first): of every value of a layer's column, which may reach over units and cross others, the first and the last word that has it. `layers`: column to name."""
+    words = rows.where(~F.col("type").isin("shortpause", "nonverbalbehavior", "anonymized"))
+    every = F.array(*[F.struct(F.lit(name).alias("layer"), F.col(column).cast("string").alias("span")) for column, name in layers.items()])
+    each = words.select("transcript_id", order, "token_id", F.explode(every).alias("x")).select("transcript_id", order, "token_id", "x.*").where(~X.missing(F.col("span")))
+    return each.groupBy("transcript_id", "layer", "span").agg(F.min_by("token_id", order).alias("first_token"), F.max_by("token_id", order).alias("last_token"), F.min(order).alias("first"))
+
+
+def tei_spans(rows: DataFrame, layers: dict[str, str], order: str = "line") -> DataFrame:
+    """Rows (transcript_id, spans): the groups of the layers, each with its spans in order of their first word."""
+    span = F.concat(F.lit('<span xml:id="'), F.substring("layer", 1, 2), X.xml(F.col("span")), F.lit('" from="#w'), "first_token", F.lit('" to="#w'), "last_token", F.lit('"/>'))
+    groups = span_layers(rows, layers, order).groupBy("transcript_id", "layer").agg(ordered(["first"], span, "\n").alias("body"))
+    return groups.groupBy("transcript_id").agg(ordered(["layer"], F.concat(F.lit('<spanGrp type="'), "layer", F.lit('">\n'), "body", F.lit("\n</spanGrp>\n"))).alias("spans"))
+
+
+def unresolved(texts: DataFrame) -> DataFrame:
+    """Rows (transcript_id, ref): references of TEI documents to ids that they don't have."""
+    ids = texts.select("transcript_id", F.explode(F.regexp_extract_all("text", F.lit('xml:id="([^"]+)"'), F.lit(1))).alias("ref")).distinct()
+    said = F.flatten(F.transform(F.regexp_extract_all("text", F.lit('(?:who|start|end|from|to|targets)="(#[^"]+)"'), F.lit(1)), lambda x: F.split(x, " ")))
+    refs = texts.select("transcript_id", F.explode(said).alias("ref")).select("transcript_id", F.regexp_replace("ref", "^#", "").alias("ref")).distinct()
+    return refs.join(ids, ["transcript_id", "ref"], "left_anti")
+
+
+def tei(rows: DataFrame, conversations: DataFrame | None = None, order: str = "line", participants: DataFrame | None = None, layers: dict[str, str] | None = None, publisher: str = "") -> DataFrame:
+    """Rows (transcript_id, text): TEI XML with a header from metadata, timeline, blocks of utterances, anchors of overlaps and their links, and groups of spans."""
     keys = ["transcript_id", "tu_id"]
     df = shifts(in_runs(rows, keys, order), keys, order)
     jf = F.col("jefferson_feats")
@@ -288,20 +362,24 @@ def tei(rows: DataFrame, conversations: DataFrame | None = None, order: str = "l
     times = timeline(rows)
     blocks = blocks.join(times.select("transcript_id", F.col("at").alias("b"), F.col("name").alias("bn")), ["transcript_id", "b"], "left").join(times.select("transcript_id", F.col("at").alias("e"), F.col("name").alias("en")), ["transcript_id", "e"], "left")
     n = (F.row_number().over(Window.partitionBy("transcript_id").orderBy("first")) - 1).cast("string")
-    blocks = blocks.withColumn("n", n).withColumn("block", F.concat(F.lit('<annotationBlock who="#'), "speaker", F.lit('" xml:id="ab'), "n", F.lit('"'), opt("start", F.concat(F.lit("#"), "bn")), opt("end", F.concat(F.lit("#"), "en")), F.lit('><u xml:id="u'), "n", F.lit('">'), "u", F.lit("</u></annotationBlock>")))
-    body = blocks.groupBy("transcript_id").agg(ordered(["first"], F.col("block"), "\n").alias("blocks"), F.array_join(F.array_sort(F.collect_set(F.concat(F.lit('<person xml:id="'), "speaker", F.lit('" role="participant"><persName>'), "speaker", F.lit("</persName></person>")))), "\n").alias("people"))
+    blocks = blocks.withColumn("n", n).withColumn("block", F.concat(F.lit('<annotationBlock who="#'), X.xml(F.col("speaker")), F.lit('" xml:id="ab'), "n", F.lit('"'), opt("start", F.concat(F.lit("#"), "bn")), opt("end", F.concat(F.lit("#"), "en")), F.lit('><u xml:id="u'), "n", F.lit('">'), "u", F.lit("</u></annotationBlock>")))
+    body = blocks.groupBy("transcript_id").agg(ordered(["first"], F.col("block"), "\n").alias("blocks")).join(tei_people(rows, conversations, participants, order), "transcript_id", "left")
     line = times.groupBy("transcript_id").agg(ordered(["at"], F.concat(F.lit('<when xml:id="'), "name", F.lit('" absolute="'), F.format_string("PT%.3fS", "at"), F.lit('"/>')), "\n").alias("times"))
     ends = lambda name: F.concat(F.lit('<link targets="'), F.array_join(F.transform("units", lambda u: F.concat(F.lit(f"#{name}_"), F.col("clique"), F.lit("_"), u.cast("string"))), " "), F.lit('"/>'))
     links = clique_units(rows, order).groupBy("transcript_id").agg(F.concat(F.lit('<linkGrp type="overlaps">\n'), ordered(["clique"], F.concat(ends("OVS"), F.lit("\n"), ends("OVE")), "\n"), F.lit("\n</linkGrp>\n")).alias("links"))
     whole = body.join(line, "transcript_id", "left").join(links, "transcript_id", "left")
-    duration = F.lit("")
+    blank = F.lit("")
+    duration, bibl, languages, setting, spans = blank, blank, blank, blank, blank
     if conversations is not None:
-        whole = whole.join(conversations.select(F.col("code").alias("transcript_id"), X.iso_duration(F.col("duration")).alias("dur")), "transcript_id", "left")
-        duration = opt("dur", F.col("dur"))
+        whole = whole.join(tei_sources(conversations), "transcript_id", "left")
+        duration, bibl, languages, setting = opt("dur", F.col("dur")), *[F.coalesce(c, blank) for c in ("bibl", "languages", "setting")]
+    if layers:
+        whole = whole.join(tei_spans(rows, layers, order), "transcript_id", "left")
+        spans = F.coalesce("spans", blank)
     text = F.concat(
-        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0">\n<teiHeader><fileDesc><titleStmt><title>'), "transcript_id", F.lit('</title></titleStmt><sourceDesc><recordingStmt><recording type="audio"'), duration, F.lit('><media mimeType="audio/wav" url="'), "transcript_id",
-        F.lit('.wav"/></recording></recordingStmt></sourceDesc></fileDesc><profileDesc><particDesc><listPerson>\n'), "people", F.lit('\n</listPerson></particDesc></profileDesc></teiHeader>\n<text><body><div type="interaction" xml:id="'), "transcript_id",
-        F.lit('">\n<timeline unit="s" xml:id="TL">\n'), F.coalesce("times", F.lit("")), F.lit("\n</timeline>\n"), "blocks", F.lit("\n"), F.coalesce("links", F.lit("")), F.lit("</div></body></text>\n</TEI>"),
+        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0">\n<teiHeader><fileDesc><titleStmt><title>'), "transcript_id", F.lit("</title></titleStmt>"), F.lit(f"<publicationStmt><p>{publisher}</p></publicationStmt>" if publisher else ""), F.lit('<sourceDesc><recordingStmt><recording type="audio"'), duration, F.lit('><media mimeType="audio/wav" url="'), "transcript_id",
+        F.lit('.wav"/></recording></recordingStmt>'), bibl, F.lit("</sourceDesc></fileDesc><profileDesc>"), languages, F.lit("<particDesc><listPerson>\n"), F.coalesce("people", blank), F.lit("\n</listPerson></particDesc>"), setting, F.lit('</profileDesc></teiHeader>\n<text><body><div type="interaction" xml:id="'), "transcript_id",
+        F.lit('">\n<timeline unit="s" xml:id="TL">\n'), F.coalesce("times", blank), F.lit("\n</timeline>\n"), "blocks", F.lit("\n"), spans, F.coalesce("links", blank), F.lit("</div></body></text>\n</TEI>"),
     )
     return whole.select("transcript_id", text.alias("text"))
 

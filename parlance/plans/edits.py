@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parlance.operators import patching, validation, wip
+from parlance.operators import formats, patching, validation, wip
 from parlance.operators.normalize import ERRORS, NAMES, normalize
 from parlance.plans.registry import ORACLE_SQL, query, table, units
 from parlance.plans.rules import norm_full
@@ -219,3 +219,20 @@ FROM e
 def validation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fault of every unit as a record."""
     return validation.records(said_of_units(spark, sf_dir))
+
+
+@query("""
+WITH t AS (SELECT l_suppkey % 40 AS transcript_id, l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS line, CASE l_linenumber % 6 WHEN 0 THEN 'shortpause' WHEN 1 THEN 'nonverbalbehavior' ELSE 'linguistic' END AS type,
+                  CASE WHEN l_partkey % 4 = 0 THEN '_' ELSE CAST(l_orderkey // 50 AS VARCHAR) END AS sent_id, CASE WHEN l_partkey % 3 = 0 THEN '' ELSE CAST(l_partkey % 11 AS VARCHAR) END AS iu_id FROM lineitem),
+     e AS (SELECT transcript_id, line, 'sentences' AS layer, sent_id AS span FROM t WHERE type = 'linguistic' UNION ALL SELECT transcript_id, line, 'intonation-units', iu_id FROM t WHERE type = 'linguistic')
+SELECT transcript_id, layer, span, CAST(min(line) AS VARCHAR) AS first_token, CAST(max(line) AS VARCHAR) AS last_token, min(line) AS first FROM e WHERE span NOT IN ('', '_') GROUP BY 1, 2, 3
+""")
+def span_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layers of spans that cross each other and the units."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    k, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber") % 6
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 40).alias("transcript_id"), (k * 100 + place).alias("line"), F.when(n == 0, "shortpause").when(n == 1, "nonverbalbehavior").otherwise("linguistic").alias("type"),
+        F.when(p % 4 == 0, "_").otherwise(F.floor(k / 50).cast("string")).alias("sent_id"), F.when(p % 3 == 0, "").otherwise((p % 11).cast("string")).alias("iu_id"),
+    )
+    return formats.span_layers(rows.withColumn("token_id", F.col("line").cast("string")), {"sent_id": "sentences", "iu_id": "intonation-units"})
