@@ -43,17 +43,26 @@ def read_units(spark: SparkSession, path: str, ignore: list[str] = (), extract:
     return route(df, ignore, extract, suffix)
 
 
+#: What is read of an ELAN document.
+EAF = """
+TIME_ORDER struct<TIME_SLOT array<struct<_TIME_SLOT_ID string, _TIME_VALUE string>>>,
+TIER array<struct<_TIER_ID string, ANNOTATION array<struct<
+    ALIGNABLE_ANNOTATION struct<_ANNOTATION_ID string, _TIME_SLOT_REF1 string, _TIME_SLOT_REF2 string, ANNOTATION_VALUE string>,
+    REF_ANNOTATION struct<_ANNOTATION_ID string, _ANNOTATION_REF string, ANNOTATION_VALUE string>>>>>
+"""
+
+
 def read_eaf(spark: SparkSession, path: str) -> DataFrame:
-    """ELAN files: rows (transcript_id, tu_id, old_id, speaker, start, end, duration, text, parent_tu_id), ids from 0 by start, then order of tiers and annotations. A blank start counts as 0."""
-    raw = spark.read.text(path, wholetext=True).withColumn("transcript_id", transcript_id())
-    all_of = lambda c, p, n=0: F.regexp_extract_all(c, F.lit(p), F.lit(n))
-    attr = lambda c, a: F.regexp_extract(c, rf'\b{a}="([^"]*)"', 1)
-    slots = raw.select("transcript_id", F.explode(all_of(F.col("value"), r"<TIME_SLOT\b[^>]*>")).alias("x")).select("transcript_id", attr(F.col("x"), "TIME_SLOT_ID").alias("slot"), F.nullif(attr(F.col("x"), "TIME_VALUE"), F.lit("")).cast("long").alias("ms"))
-    tiers = raw.select("transcript_id", F.posexplode(all_of(F.col("value"), r"(?s)<TIER\b.*?(?:</TIER>|/>)")).alias("tier", "x"))
-    notes = tiers.select("transcript_id", "tier", attr(F.regexp_extract("x", r"^<TIER[^>]*>", 0), "TIER_ID").alias("speaker"), F.posexplode(all_of(F.col("x"), r"(?s)<(?:ALIGNABLE|REF)_ANNOTATION\b.*?</(?:ALIGNABLE|REF)_ANNOTATION>")).alias("n", "x"))
-    unescape = lambda c: F.replace(F.replace(F.replace(F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&apos;"), F.lit("'")), F.lit("&amp;"), F.lit("&"))
-    value = unescape(F.regexp_extract("x", r"(?s)<ANNOTATION_VALUE>(.*?)</ANNOTATION_VALUE>", 1))
-    rows = notes.select("transcript_id", "tier", "n", "speaker", attr(F.col("x"), "ANNOTATION_ID").alias("id"), attr(F.col("x"), "TIME_SLOT_REF1").alias("a"), attr(F.col("x"), "TIME_SLOT_REF2").alias("b"), F.nullif(attr(F.col("x"), "ANNOTATION_REF"), F.lit("")).alias("ref"), value.alias("raw"))
+    """ELAN files: rows (transcript_id, tu_id, old_id, speaker, start, end, duration, text, parent_tu_id), ids from 0 by start, then order of tiers and annotations. A blank start counts as 0; a file that isn't XML is an error. A file is one row until it is parsed."""
+    options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+    text = F.regexp_replace("value", "^\ufeff", "")
+    raw = spark.read.text(path, wholetext=True).select(transcript_id().alias("transcript_id"), F.from_xml(text, EAF, options).alias("x"))
+    slots = raw.select("transcript_id", F.explode("x.TIME_ORDER.TIME_SLOT").alias("s")).select("transcript_id", F.col("s._TIME_SLOT_ID").alias("slot"), F.nullif(F.trim("s._TIME_VALUE"), F.lit("")).cast("long").alias("ms"))
+    tiers = raw.select("transcript_id", F.posexplode("x.TIER").alias("tier", "t"))
+    notes = tiers.select("transcript_id", "tier", F.col("t._TIER_ID").alias("speaker"), F.posexplode("t.ANNOTATION").alias("n", "o"))
+    own, other = "o.ALIGNABLE_ANNOTATION", "o.REF_ANNOTATION"
+    either = lambda c: F.coalesce(f"{own}.{c}", f"{other}.{c}")
+    rows = notes.select("transcript_id", "tier", "n", "speaker", either("_ANNOTATION_ID").alias("id"), F.col(f"{own}._TIME_SLOT_REF1").alias("a"), F.col(f"{own}._TIME_SLOT_REF2").alias("b"), F.nullif(F.col(f"{other}._ANNOTATION_REF"), F.lit("")).alias("ref"), F.coalesce(either("ANNOTATION_VALUE"), F.lit("")).alias("raw"))
     for side, name in (("a", "start"), ("b", "end")):
         rows = rows.join(slots.select("transcript_id", F.col("slot").alias(side), (F.col("ms") / 1000).alias(name)), ["transcript_id", side], "left").drop(side)
     # an annotation of a child tier has the times of the one it refers to
