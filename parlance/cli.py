@@ -12,6 +12,7 @@ from parlance.functions import fields as X
 from parlance.operators import alignment, formats, metadata, pages, patches, patching, validation, wip
 from parlance.plans.process import process
 from parlance.sources import config, files, modules
+from parlance.streaming.sync import sync
 
 KEYS = ["transcript_id", "tu_id"]
 
@@ -126,6 +127,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         values = [F.coalesce(F.col(side)[c], F.lit("_")).alias(f"{side}_{c}") for side in ("old", "new") for c in pages.SHOWN]
         items = patching.recap_items(rows).select("file", "at", "token_id", "tu_id", "change", "notes", *values)
         files.write_texts(named(pages.recap_markdown(items, "file", "at"), "text", ".vert.tsv.recap.md"), f"{args.output}/recaps")
+    elif args.verb == "sync":
+        found = sync(spark, args.input, args.output, settings)
+        print(f"{len(found.changed)} processed, {len(found.vanished)} taken away, {found.opened} opened")
     elif args.verb == "report":
         units = files.read_units(spark, args.input, settings["ignored_tiers"], settings["extracted_tiers"], settings["translation_suffix"])
         got = process(units.drop("line", "duration"), settings, ignored_pairs(spark, args.annotations, units))
@@ -153,7 +157,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants", "make_patch", "conllu2wip", "report"])
+    parser.add_argument("verb", choices=["process", "eaf2csv", "csv2eaf", "vert2eaf", "conll2conllu", "vert2tei", "vert2chat", "csv2html", "validate", "align", "linear", "merge_metadata", "translate_metadata", "check_participants", "unknown_participants", "make_patch", "conllu2wip", "report", "sync"])
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--config", help="a module's YAML settings")
