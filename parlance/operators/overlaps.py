@@ -15,21 +15,29 @@ from parlance.sources.work import written
 T = "transcript_id"
 
 
+def slot_width(start: Column, end: Column, key: str = T) -> Column:
+    """A width of time slots that a transcript's own units give: four times their mean length. Its units then lie in at most a quarter more slots than there are units, and a slot holds few of them."""
+    return F.greatest(4 * F.avg(F.greatest(end - start, F.lit(0))).over(Window.partitionBy(key)), F.lit(1e-3))
+
+
+def slots(start: Column, end: Column, width: Column) -> Column:
+    """The slots that an interval lies in; the one of its start at least."""
+    first = F.floor(start / width)
+    return F.sequence(first, F.greatest(F.floor(end / width), first))
+
+
 def overlap_join(units: DataFrame, width: float | None = None, key: str = T) -> DataFrame:
     """All pairs of units of a transcript that overlap for longer than nothing.
 
-    With `width`, units are also dealt by the time slots of that width they lie in, so that a very
-    long transcript is many small joins; a pair is found in the slot where the later of the two starts.
+    Units are dealt by the time slots they lie in, so that a very long transcript is many small
+    joins; a pair is found in the slot where the later of the two starts. Without a `width` of
+    slots, every transcript has its own.
     """
-    left = units.select(key, F.col("tu_id").alias("u"), F.col("start").alias("us"), F.col("end").alias("ue"))
-    right = units.select(key, F.col("tu_id").alias("v"), F.col("start").alias("vs"), F.col("end").alias("ve"))
-    on = [key]
-    if width:
-        slots = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.greatest(F.floor(F.col(e) / width), F.floor(F.col(s) / width))))
-        left, right, on = left.withColumn("slot", slots("us", "ue")), right.withColumn("slot", slots("vs", "ve")), [key, "slot"]
-    pairs = left.join(right, on).where("u < v and ue > vs and ve > us")
-    if width:
-        pairs = pairs.where(F.col("slot") == F.floor(F.greatest("us", "vs") / width))
+    own = units.select(key, "tu_id", "start", "end").withColumn("__w", F.lit(float(width)) if width else slot_width(F.col("start"), F.col("end"), key))
+    own = own.withColumn("slot", F.explode(slots(F.col("start"), F.col("end"), F.col("__w"))))
+    left = own.select(key, "slot", "__w", F.col("tu_id").alias("u"), F.col("start").alias("us"), F.col("end").alias("ue"))
+    right = own.select(key, "slot", F.col("tu_id").alias("v"), F.col("start").alias("vs"), F.col("end").alias("ve"))
+    pairs = left.join(right, [key, "slot"]).where("u < v and ue > vs and ve > us").where(F.col("slot") == F.floor(F.greatest("us", "vs") / F.col("__w")))
     return pairs.select(key, "u", "v", F.greatest("us", "vs").alias("start"), F.least("ue", "ve").alias("end")).withColumn("duration", F.col("end") - F.col("start"))
 
 
@@ -83,8 +91,19 @@ def maximal_cliques(nodes: dict[int, set[int]]) -> list[list[int]]:
     return sorted(found, key=lambda c: (len(c), c))
 
 
+def with_islands(edges: DataFrame, key: str = T) -> DataFrame:
+    """Adds `island`: the stretch of time without a break that an edge's overlap lies in.
+
+    Units of a clique overlap all at once, so no clique has edges of two islands, nor could one be
+    made larger by an edge of another.
+    """
+    by = Window.partitionBy(key).orderBy("start", "end")
+    past = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    return edges.withColumn("__breaks", F.coalesce(F.col("start") >= past, F.lit(False)).cast("int")).withColumn("island", F.sum("__breaks").over(by)).drop("__breaks")
+
+
 def cliques(edges: DataFrame, key: str = T) -> DataFrame:
-    """Rows (key, event, members): the maximal cliques of each transcript's graph. A transcript is one group, as it is one file."""
+    """Rows (key, event, members): the maximal cliques of each transcript's graph, numbered by size and members. A group is an island of a transcript; without start and end of edges, a transcript."""
     kind = edges.schema[key].dataType.simpleString()
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -92,21 +111,28 @@ def cliques(edges: DataFrame, key: str = T) -> DataFrame:
         for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True):
             nodes.setdefault(u, set()).add(v)
             nodes.setdefault(v, set()).add(u)
-        got = maximal_cliques(nodes)
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(got), "event": range(len(got)), "members": got})
+        return pd.DataFrame([(pdf[key].iloc[0], c) for c in maximal_cliques(nodes)], columns=[key, "members"])
 
-    return edges.select(key, F.col("u").cast("long"), F.col("v").cast("long")).groupBy(key).applyInPandas(work, f"{key} {kind}, event int, members array<bigint>")
+    own = with_islands(edges, key) if {"start", "end"} <= set(edges.columns) else edges.withColumn("island", F.lit(0))
+    # where an island is one edge, that is its clique
+    sized = own.withColumn("__n", F.count("*").over(Window.partitionBy(key, "island")))
+    alone = sized.where("__n = 1").select(key, F.array(F.least("u", "v").cast("long"), F.greatest("u", "v").cast("long")).alias("members"))
+    rest = sized.where("__n > 1").select(key, "island", F.col("u").cast("long"), F.col("v").cast("long")).groupBy(key, "island").applyInPandas(work, f"{key} {kind}, members array<bigint>")
+    event = F.row_number().over(Window.partitionBy(key).orderBy(F.size("members"), "members")) - 1
+    return alone.unionByName(rest).select(key, event.alias("event"), "members")
 
 
 def interval_cliques(units: DataFrame, key: str = T) -> DataFrame:
     """Rows (key, at, members): maximal cliques where no single edge was taken out, by a sweep.
 
-    They are the units that are active at a start which an end follows before the next start.
+    They are the units that are active at a start which an end follows before the next start. Starts
+    meet units in the time slot of the start.
     """
-    own = units.where("end > start").select(key, "tu_id", "start", "end")
-    starts = own.select(key, F.col("start").alias("at")).distinct()
-    starts = starts.withColumn("until", F.lead("at").over(Window.partitionBy(key).orderBy("at")))
-    active = starts.join(own, key).where("start <= at and end > at")
+    own = units.where("end > start").select(key, "tu_id", "start", "end").withColumn("__w", slot_width(F.col("start"), F.col("end"), key))
+    starts = own.select(key, F.col("start").alias("at"), "__w").distinct()
+    starts = starts.withColumn("until", F.lead("at").over(Window.partitionBy(key).orderBy("at"))).withColumn("slot", F.floor(F.col("at") / F.col("__w"))).drop("__w")
+    each = own.withColumn("slot", F.explode(slots(F.col("start"), F.col("end"), F.col("__w")))).drop("__w")
+    active = starts.join(each, [key, "slot"]).where("start <= at and end > at")
     got = active.groupBy(key, "at", "until").agg(F.array_sort(F.collect_set("tu_id")).alias("members"), F.min("end").alias("first_end"))
     return got.where("size(members) > 1 and (until is null or first_end <= until)").select(key, "at", "members")
 
