@@ -104,7 +104,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.verb == "csv2html":
         files.write_texts(pages.html_pages(files.read_units(spark, args.input)), args.output)
     elif args.verb == "validate":
-        faults = patches.checked(files.read_vert(spark, args.input), "transcript_id").cache()
+        if not files.there(spark, args.input):
+            raise SystemExit(f"{args.input}: the file can't be read")
+        rows = files.read_vert(spark, args.input)
+        # by name, as Spark's sources pass over files without a byte
+        fs, at = modules.place(spark, args.input)
+        listed = spark.createDataFrame([(f.getPath().getName(),) for f in fs.globStatus(at)], "name string").select(files.transcript_id(F.col("name")).alias("transcript_id")).distinct()
+        bare = listed.join(rows.select("transcript_id").distinct(), "transcript_id", "left_anti")
+        faults = bare.select("transcript_id", F.lit("").alias("token_id"), F.lit("error").alias("severity"), F.lit("the file is empty or has no rows").alias("check"))
+        if "token_id" in rows.columns:
+            faults = patches.checked(rows, "transcript_id").unionByName(faults)
+        faults = faults.cache()
         files.write_table(faults, args.output, order=["token_id", "check"])
         return faults.where("severity = 'error'").count()
     elif args.verb == "align":

@@ -131,3 +131,13 @@ def test_conllu_to_wip(spark, tmp_path):
     lines = open(glob.glob(f"{tmp_path}/out/wip/*BOA1/part*")[0]).read().splitlines()
     assert lines[0] == ",".join(wip.FIELDS) and len(lines) == 12 and lines[1].startswith("7-0,S1,7,7,1,[Cia::o].,ciao")
     assert spark.read.csv(f"{tmp_path}/out/notes", sep="\t", header=True).where(F.col("note") == "parent made up").count() == 1
+
+
+def test_validate_names_files_without_rows(spark, tmp_path):
+    write(tmp_path / "in/a.vert.tsv", "token_id\tspan\tform\tlemma\tupos\n0-0\tx\tx\tx\tV\n")
+    write(tmp_path / "in/b.vert.tsv", "token_id\tspan\tform\tlemma\tupos\n")
+    write(tmp_path / "in/c.vert.tsv", "")
+    args = type("A", (), {"verb": "validate", "input": f"{tmp_path}/in/*.tsv", "output": f"{tmp_path}/out", "config": None, "threshold": None})
+    assert cli.run(spark, args) == 3
+    read = lambda name: "".join(open(p).read() for p in glob.glob(f"{tmp_path}/out/transcript_id={name}/part*"))
+    assert "unknown upos" in read("a") and "no rows" not in read("a") and "no rows" in read("b") and "no rows" in read("c")
