@@ -136,7 +136,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         files.write_texts(named(made, "patch", ".vert.tsv.patch"), f"{args.output}/patches")
         values = [F.coalesce(F.col(side)[c], F.lit("_")).alias(f"{side}_{c}") for side in ("old", "new") for c in pages.SHOWN]
         items = patching.recap_items(rows).select("file", "at", "token_id", "tu_id", "change", "notes", *values)
-        files.write_texts(named(pages.recap_markdown(items, "file", "at"), "text", ".vert.tsv.recap.md"), f"{args.output}/recaps")
+        files.write_texts(named(pages.recap_markdown(items, "file", "at", fields=True), "text", ".vert.tsv.recap.md"), f"{args.output}/recaps")
     elif args.verb == "sync":
         found = sync(spark, args.input, args.output, settings)
         print(f"{len(found.changed)} processed, {len(found.vanished)} taken away, {found.opened} opened")

@@ -62,8 +62,8 @@ def cell(value: Column) -> Column:
     return F.when(X.missing(value), F.lit("")).otherwise(F.concat(F.lit("`"), F.replace(value, F.lit("|"), F.lit("\\|")), F.lit("`")))
 
 
-def recap_markdown(items: DataFrame, file: str = "file", order: str = "line", stamp: str = "") -> DataFrame:
-    """Rows (file, text): what an edit changed, dropped and added, consecutive rows of a unit in one table.
+def recap_markdown(items: DataFrame, file: str = "file", order: str = "line", stamp: str = "", fields: bool = False) -> DataFrame:
+    """Rows (file, text): what an edit changed, dropped and added, consecutive rows of a unit in one table; with `fields`, a row alone has a table of its fields.
 
     Items have tu_id, token_id, change, notes (an array) and old_ and new_ values of SHOWN. Features
     and times are shown where a row of the group changes them; the worst note makes the group's icon.
@@ -77,8 +77,13 @@ def recap_markdown(items: DataFrame, file: str = "file", order: str = "line", st
     cells = F.array(*[F.when(changed & (old(c) != new(c)), F.concat(F.lit("`"), F.replace(old(c), F.lit("|"), F.lit("\\|")), F.lit("` → `"), F.replace(new(c), F.lit("|"), F.lit("\\|")), F.lit("`"))).otherwise(cell(only(c))) for c in SHOWN])
     shows = lambda c: F.bool_or(F.when(changed, old(c) != new(c)).otherwise(F.lit(c != "align") & ~X.missing(only(c))))
     notes = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(order, F.coalesce("notes", F.array().cast("array<string>")).alias("n")))), lambda x: x["n"]))
-    groups = df.withColumns({"__cells": cells, "__icon": X.mapped(F.col("change"), ICONS)}).groupBy(file, "__group").agg(
-        F.min(order).alias("first"), F.first("tu_id").alias("tu_id"), F.min_by("token_id", order).alias("a"), F.max_by("token_id", order).alias("b"), shows("jefferson_feats").alias("feats"), shows("align").alias("times"), notes.alias("notes"),
+    quoted = lambda x: F.concat(F.lit("`"), F.replace(x, F.lit("|"), F.lit("\\|")), F.lit("`"))
+    field = lambda c: F.when(changed, F.when(old(c) != new(c), F.concat(F.lit(f"| {c} | "), quoted(old(c)), F.lit(" | "), quoted(new(c)), F.lit(" |")))).otherwise(F.when(F.lit(c != "align") & ~X.missing(only(c)), F.concat(F.lit(f"| {c} | "), quoted(only(c)), F.lit(" |"))))
+    # The heads of these tables.
+    head_of = F.when(changed, "| campo | prima | dopo |\n|-------|-------|------|").when(F.col("change") == "dropped", "| campo | valore eliminato |\n|-------|-----------------|").otherwise("| campo | valore aggiunto |\n|-------|----------------|")
+    alone = F.concat_ws("\n", head_of, F.filter(F.array(*map(field, SHOWN)), lambda x: x.isNotNull()))
+    groups = df.withColumns({"__cells": cells, "__alone": alone, "__icon": X.mapped(F.col("change"), ICONS)}).groupBy(file, "__group").agg(
+        F.count("*").alias("size"), F.min_by("__alone", order).alias("alone"), F.min(order).alias("first"), F.first("tu_id").alias("tu_id"), F.min_by("token_id", order).alias("a"), F.max_by("token_id", order).alias("b"), shows("jefferson_feats").alias("feats"), shows("align").alias("times"), notes.alias("notes"),
         *[F.count_if(F.col("change") == c).alias(c) for c in ICONS], F.sort_array(F.collect_list(F.struct(order, "token_id", F.col("__icon").alias("icon"), F.col("__cells").alias("cells")))).alias("rows"),
     )
     said = lambda sign: F.exists("notes", lambda n: n.startswith(sign))
@@ -93,7 +98,9 @@ def recap_markdown(items: DataFrame, file: str = "file", order: str = "line", st
         bar(F.concat(F.array(F.lit("token_id"), F.lit("tipo")), head)), F.concat(F.lit("|"), F.repeat(F.lit("---|"), F.size(head) + 2)),
         F.transform("rows", lambda r: bar(F.concat(F.array(F.concat(F.lit("`"), r["token_id"], F.lit("`")), r["icon"]), pick(r["cells"])))), F.lit(""), F.transform("notes", lambda n: F.concat(F.lit("> "), n)),
     )
-    pages = groups.withColumn("text", text).groupBy(file).agg(ordered(["first"], F.col("text"), "\n\n").alias("body"), *[F.sum(c).alias(c) for c in ICONS])
+    doubt = F.when(said("❌") | said("⚠️"), "⚠️").otherwise("✅")
+    single = F.concat_ws("\n", F.concat(F.lit("## "), F.get("rows", F.lit(0))["icon"], F.lit(" "), doubt, F.lit(" · TU "), F.coalesce(F.col("tu_id").cast("string"), F.lit("?")), F.lit(" · `"), "a", F.lit("`")), F.lit(""), "alone", F.transform("notes", lambda n: F.concat(F.lit("> "), n)))
+    pages = groups.withColumn("text", F.when(F.lit(fields) & (F.col("size") == 1), single).otherwise(text)).groupBy(file).agg(ordered(["first"], F.col("text"), "\n\n").alias("body"), *[F.sum(c).alias(c) for c in ICONS])
     top = F.concat(F.lit("# Patch recap — "), F.col(file).cast("string"), F.lit(f"\n{stamp}\n\n| tipo | conteggio |\n|------|----------|\n| modifiche | "), F.col("changed").cast("string"), F.lit(" |\n| eliminazioni | "), F.col("dropped").cast("string"), F.lit(" |\n| aggiunte | "), F.col("added").cast("string"), F.lit(" |\n\n---\n\n"))
     return pages.select(file, F.concat(top, "body").alias("text"))
 

@@ -39,6 +39,12 @@ def test_recap(spark):
     assert "| `0-0` | ✏️ | `a\\|b` → `c` | `a` |  |" in text and "| `0-1` | 🗑️ | `x` | `x` | `K=v` |" in text and "> ⚠️ look" in text
     assert "## ✅ TU 1 · `1-0` · 1 agg." in text and "| `1-0` | ➕ | `y` | `y` |" in text and "0-2" not in text
     assert pages.recap_markdown(spark.createDataFrame(rows[2:3], SCHEMA)).count() == 0
+    text = pages.recap_markdown(spark.createDataFrame(rows, SCHEMA), fields=True).first().text
+    assert "## ➕ ✅ · TU 1 · `1-0`\n\n| campo | valore aggiunto |\n|-------|----------------|\n| span | `y` |\n| form | `y` |" in text and "| `0-0` | ✏️ | `a\\|b` → `c` | `a` |  |" in text
+    rows = [("f", 0, 0, "0-0", "changed", "a|b", "c", "a", "a", "_", "_", "Begin=1", "_", ["⚠️ look"]), ("f", 1, 1, "1-0", "dropped", "x", None, "x", None, "_", None, "End=1", None, [])]
+    text = pages.recap_markdown(spark.createDataFrame(rows, SCHEMA), fields=True).first().text
+    assert "## ✏️ ⚠️ · TU 0 · `0-0`\n\n| campo | prima | dopo |\n|-------|-------|------|\n| span | `a\\|b` | `c` |\n| align | `Begin=1` | `_` |\n> ⚠️ look" in text
+    assert text.endswith("## 🗑️ ✅ · TU 1 · `1-0`\n\n| campo | valore eliminato |\n|-------|-----------------|\n| span | `x` |\n| form | `x` |")
 
 
 def test_patches(spark):
