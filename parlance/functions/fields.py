@@ -149,6 +149,11 @@ def clock(ms: Column) -> Column:
     return F.when(h > 0, F.format_string("%d:%02d:%02d", h, m, r)).otherwise(F.format_string("%d:%02d", m, r))
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """A number with so many decimals, rounded by its exact binary value, ties to even, as C's printf does; format_string rounds the shortest decimal and ties up."""
+    return F.call_function("format_number", x, F.lit("0." + "0" * digits))
+
+
 def iso_duration(hms: Column) -> Column:
     """HH:MM:SS as an ISO 8601 duration; anything else stays."""
     p = F.split(F.trim(hms), ":")

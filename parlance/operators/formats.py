@@ -364,7 +364,7 @@ def tei(rows: DataFrame, conversations: DataFrame | None = None, order: str = "l
     n = (F.row_number().over(Window.partitionBy("transcript_id").orderBy("first")) - 1).cast("string")
     blocks = blocks.withColumn("n", n).withColumn("block", F.concat(F.lit('<annotationBlock who="#'), X.xml(F.col("speaker")), F.lit('" xml:id="ab'), "n", F.lit('"'), opt("start", F.concat(F.lit("#"), "bn")), opt("end", F.concat(F.lit("#"), "en")), F.lit('><u xml:id="u'), "n", F.lit('">'), "u", F.lit("</u></annotationBlock>")))
     body = blocks.groupBy("transcript_id").agg(ordered(["first"], F.col("block"), "\n").alias("blocks")).join(tei_people(rows, conversations, participants, order), "transcript_id", "left")
-    line = times.groupBy("transcript_id").agg(ordered(["at"], F.concat(F.lit('<when xml:id="'), "name", F.lit('" absolute="'), F.format_string("PT%.3fS", "at"), F.lit('"/>')), "\n").alias("times"))
+    line = times.groupBy("transcript_id").agg(ordered(["at"], F.concat(F.lit('<when xml:id="'), "name", F.lit('" absolute="'), F.lit("PT"), X.fixed(F.col("at"), 3), F.lit('S"/>')), "\n").alias("times"))
     ends = lambda name: F.concat(F.lit('<link targets="'), F.array_join(F.transform("units", lambda u: F.concat(F.lit(f"#{name}_"), F.col("clique"), F.lit("_"), u.cast("string"))), " "), F.lit('"/>'))
     links = clique_units(rows, order).groupBy("transcript_id").agg(F.concat(F.lit('<linkGrp type="overlaps">\n'), ordered(["clique"], F.concat(ends("OVS"), F.lit("\n"), ends("OVE")), "\n"), F.lit("\n</linkGrp>\n")).alias("links"))
     whole = body.join(line, "transcript_id", "left").join(links, "transcript_id", "left")
@@ -428,7 +428,7 @@ def eaf(units: DataFrame, media: str = "", order: str = "tu_id", translations: D
 def turns_timeline(units: DataFrame) -> DataFrame:
     """Adds left and width: a unit's place on its transcript's time line as shares of the latest end, six decimals; colour: the speaker's number by first appearance, modulo 10; shown: whether the speaker changes."""
     whole = F.max("end").over(Window.partitionBy("transcript_id"))
-    share = lambda c: F.format_string("%.6f", F.when(whole > 0, c / whole).otherwise(0.0))
+    share = lambda c: X.fixed(F.when(whole > 0, c / whole).otherwise(0.0), 6)
     first = units.groupBy("transcript_id", "speaker").agg(F.min("tu_id").alias("first"))
     colours = first.withColumn("colour", (F.row_number().over(Window.partitionBy("transcript_id").orderBy("first")) - 1) % 10).drop("first")
     by = Window.partitionBy("transcript_id").orderBy("tu_id")
