@@ -1,7 +1,7 @@
 """Tokens of transcription units: splitting, classification, features, and spans mapped onto them.
 
-Tokens are exploded rows; what looks at the neighbours in a unit is a window over the unit, so one
-shuffle by unit serves all of it.
+Tokens are exploded rows. Offsets and what looks at the neighbours in a unit are made in the array
+that is exploded, so that tokens need no shuffle: the text of a unit isn't moved with each of them.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.functions.matches import spans
+from parlance.functions.matches import let, spans
 from parlance.operators.units import KEYS
 
 #: Fixed value: what a word looks like, with marks of prosody.
@@ -32,21 +32,44 @@ def elided(piece: Column) -> Column:
     return F.when(both, F.array(left, right)).otherwise(F.array(piece))
 
 
+#: Fixed value: how many sums are made one by one before they are put together.
+BLOCK = 64
+
+
+def sums(xs: Column, start: Column) -> Column:
+    """`start`, and what it becomes with every number added in turn."""
+    return F.aggregate(xs, F.array(start), lambda out, x: F.concat(out, F.array(F.element_at(out, -1) + x)))
+
+
+def running(xs: Column) -> Column:
+    """For each number the sum of those before it. In blocks, as an array that grows one by one is copied each time."""
+    of = lambda xs, start: F.slice(sums(xs, start), F.lit(1), F.size(xs))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int")), lambda k: F.slice(xs, k * BLOCK + 1, F.lit(BLOCK)))
+    totals = lambda bs: of(F.transform(bs, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x)), F.lit(0))
+    return let(blocks, lambda bs: F.flatten(F.zip_with(bs, totals(bs), of)))
+
+
+def cells(text: Column) -> Column:
+    """Array of the tokens of a text: struct(span, s, n_tokens, link, space_after, following), the last the span of the next one."""
+    def parts(x: Column) -> Column:
+        return let(elided(x["piece"]), lambda e: F.transform(e, lambda p, i: F.struct(p.alias("span"), (i == F.size(e) - 1).alias("last"), F.when(i == F.size(e) - 1, x["mark"]).alias("mark"))))
+    width = lambda x: F.length(x["span"]) + F.when(x["mark"].isNotNull(), 1).otherwise(0)
+    def placed(xs: Column) -> Column:
+        return let(running(F.transform(xs, width)), lambda at: F.transform(xs, lambda x, i: F.struct(
+            x["span"].alias("span"), F.get(at, i).alias("s"), F.size(xs).alias("n_tokens"), (F.coalesce(x["mark"], F.lit("")) == "=").alias("link"), x["last"].alias("space_after"), F.get(xs, i + 1)["span"].alias("following"),
+        )))
+    return let(F.flatten(F.transform(pieces(text), parts)), placed)
+
+
 def split_tokens(units: DataFrame, keys: list[str] = KEYS, keep: list[str] = UNIT_COLUMNS) -> DataFrame:
-    """One row per token: keys, kept columns, idx, span, s, e, link, space_after, n_tokens. Offsets count from 0."""
-    rows = units.select(*keys, *keep, F.posexplode(pieces(F.col("text"))).alias("at", "x"))
-    rows = rows.select(*keys, *keep, "at", F.col("x.mark").alias("mark"), F.posexplode(elided(F.col("x.piece"))).alias("part", "span"), F.size(elided(F.col("x.piece"))).alias("parts"))
-    by = Window.partitionBy(*keys).orderBy("at", "part")
-    last = F.col("part") == F.col("parts") - 1
-    length = F.length("span") + F.when(last & F.col("mark").isNotNull(), 1).otherwise(0)
-    rows = rows.withColumns({
-        "idx": F.row_number().over(by) - 1,
-        "s": F.coalesce(F.sum(length).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"),
-        "n_tokens": F.count("*").over(Window.partitionBy(*keys)).cast("int"),
-        "link": last & (F.coalesce(F.col("mark"), F.lit("")) == "="),
-        "space_after": last,
-    })
-    return rows.withColumn("e", F.col("s") + F.length("span")).drop("at", "mark", "part", "parts")
+    """One row per token: keys, kept columns, idx, span, s, e, link, space_after, n_tokens, following (the next span). Offsets count from 0."""
+    rows = units.select(*keys, *keep, F.posexplode(cells(F.col("text"))).alias("idx", "__x"))
+    return rows.select(*keys, *keep, "idx", *[F.col(f"__x.{c}").alias(c) for c in ("span", "s", "n_tokens", "link", "space_after", "following")]).withColumn("e", F.col("s") + F.length("span"))
+
+
+def short_pause(span: Column) -> Column:
+    """Whether a token of this text is a short pause, as `classified` has it."""
+    return (span == "(.)") | ((F.regexp_replace(span, MARKS, "") == "{P}") & ~(span.startswith("((") & span.endswith("))")))
 
 
 def classified(tokens: DataFrame, markers: tuple[str, ...] = ()) -> DataFrame:
@@ -112,15 +135,20 @@ def tokenize(units: DataFrame, keys: list[str] = KEYS, keep: list[str] = UNIT_CO
         "type": F.when(foreign, "linguistic").otherwise(F.col("type")),
         "language": F.when(foreign | F.col("token_variation").isin("doubtful", "token"), "NO_ISO_CODE"),
     })
-    following = F.lead("type").over(Window.partitionBy(*keys).orderBy("idx"))
-    return df.withColumns({"pause_after": F.coalesce(following == "shortpause", F.lit(False)), "first": F.col("idx") == 0, "last": F.col("idx") == F.col("n_tokens") - 1})
+    pause_after = ~foreign & F.coalesce(short_pause(F.col("following")), F.lit(False))
+    return df.withColumns({"pause_after": pause_after, "first": F.col("idx") == 0, "last": F.col("idx") == F.col("n_tokens") - 1}).drop("following")
 
 
 def unit_variation(tokens: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows (keys, variation): all if every token is in another language, else unspecified if the unit says so, else yes if any is."""
     foreign = F.col("language").isNotNull()
-    got = tokens.groupBy(*keys).agg(F.bool_and(foreign).alias("every"), F.bool_or(foreign).alias("some"), F.first("variation").alias("own"))
-    return got.select(*keys, F.when(F.col("every"), "all").when(F.col("own") == "unspecified", "unspecified").when(F.col("some"), "yes").otherwise(F.col("own")).alias("variation"))
+    got = tokens.groupBy(*keys, F.col("variation").alias("own")).agg(F.bool_and(foreign).alias("every"), F.bool_or(foreign).alias("some"))
+    return got.select(*keys, final_variation().alias("variation"))
+
+
+def final_variation() -> Column:
+    """From whether every token, and any, is in another language, and what the unit says."""
+    return F.when(F.col("every"), "all").when(F.col("own") == "unspecified", "unspecified").when(F.col("some"), "yes").otherwise(F.col("own"))
 
 
 def form_place(span: Column, upto: Column) -> Column:
@@ -135,16 +163,32 @@ def labelled(spans: str, kind: str) -> Column:
     return F.transform(spans, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("span_id"), x["s"].alias("xs"), x["e"].alias("xe")))
 
 
+def every_span() -> Column:
+    """Array of struct(kind, span_id, xs, xe) of all spans of a unit."""
+    return F.concat(*[labelled(c, k) for c, k in LISTS.items()])
+
+
 def unit_spans(units: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows (keys, kind, span_id, xs, xe, offset) of all spans of the units; offset is the unit's number of guesses."""
-    every = F.concat(*[labelled(c, k) for c, k in LISTS.items()])
-    rows = units.select(*keys, F.size("guess_spans").alias("offset"), F.explode(every).alias("x"))
+    rows = units.select(*keys, F.size("guess_spans").alias("offset"), F.explode(every_span()).alias("x"))
     return rows.select(*keys, "offset", "x.kind", "x.span_id", "x.xs", "x.xe")
 
 
 def touched(tokens: DataFrame, units: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows (keys, idx, form, kind, span_id, cs, ce, offset): which characters of which token's form each span of a unit covers."""
-    hit = tokens.select(*keys, "idx", "span", "form", "s", "e").join(unit_spans(units, keys), keys).where("xs < e and xe > s")
+    return covered(tokens.select(*keys, "idx", "span", "form", "s", "e").join(unit_spans(units, keys), keys).where("xs < e and xe > s"), keys)
+
+
+def touched_own(units: DataFrame, keys: list[str] = KEYS, markers: tuple[str, ...] = ()) -> DataFrame:
+    """What `touched` gives for the tokens of the units themselves, which are split here, without a join. Units should be written: what they are computed from is computed again for the test that they have spans."""
+    own = units.withColumns({"__spans": every_span(), "offset": F.size("guess_spans")}).where("size(__spans) > 0")
+    rows = tokenize(own, keys, [*UNIT_COLUMNS, "__spans", "offset"], markers)
+    hit = rows.select(*keys, "idx", "span", "form", "s", "e", "offset", F.explode(F.filter("__spans", lambda x: (x["xs"] < F.col("e")) & (x["xe"] > F.col("s")))).alias("x"))
+    return covered(hit.select(*keys, "idx", "span", "form", "s", "e", "offset", "x.*"), keys)
+
+
+def covered(hit: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Tokens beside the spans they meet, as rows of `touched`."""
     cs = form_place(F.col("span"), F.greatest(F.col("xs") - F.col("s"), F.lit(0)))
     ce = form_place(F.col("span"), F.least(F.col("xe") - F.col("s"), F.length("span")))
     return hit.select(*keys, "idx", "form", "kind", "span_id", cs.alias("cs"), ce.alias("ce"), "offset").where("ce > cs")
@@ -160,20 +204,44 @@ def with_reductions(spans: DataFrame, whitelist: list[str], keys: list[str] = KE
     return df.withColumns({"span_id": F.when(other, F.col("span_id") + F.col("offset")).otherwise(F.col("span_id")), "kind": F.when(other, "guesses").otherwise(F.col("kind"))}).drop("phrase", "offset", "form")
 
 
-def with_spans(tokens: DataFrame, units: DataFrame, whitelist: list[str] = (), matches: DataFrame | None = None, keys: list[str] = KEYS) -> DataFrame:
-    """Adds slow, fast, guesses, overlaps (texts such as 0-3(0), or null), reduced; low volume overrides the volume.
+KINDS = ["slow", "fast", "low", "guesses", "reduced", "overlaps"]
 
-    `matches`: rows (keys, span_id, event) of overlap spans and the event, or `?`, that each stands for;
-    without them overlaps stay null.
-    """
-    spans = with_reductions(touched(tokens, units, keys), list(whitelist), keys).withColumn("label", F.col("span_id").cast("string"))
+
+def span_texts(hits: DataFrame, whitelist: list[str] = (), matches: DataFrame | None = None, keys: list[str] = KEYS) -> DataFrame:
+    """Rows (keys, idx, KINDS): the texts of the spans on a token, such as 0-3(0), empty where it has none; from rows of `touched`."""
+    spans = with_reductions(hits, list(whitelist), keys).withColumn("label", F.col("span_id").cast("string"))
     if matches is not None:
         named = matches.select(*keys, "span_id", F.col("event").cast("string").alias("event"), F.lit("overlaps").alias("kind"))
         spans = spans.join(named, [*keys, "kind", "span_id"], "left").withColumn("label", F.when(F.col("kind") == "overlaps", F.col("event")).otherwise(F.col("label"))).drop("event")
     spans = spans.where("kind <> 'overlaps' or label is not null") if matches is not None else spans.where("kind <> 'overlaps'")
     item = F.concat_ws("", F.col("cs").cast("string"), F.lit("-"), F.col("ce").cast("string"), F.lit("("), F.col("label"), F.lit(")"))
-    kinds = ["slow", "fast", "low", "guesses", "reduced", "overlaps"]
-    texts = [F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct(F.col("span_id").alias("o"), item.alias("t"))))), lambda x: x["t"]), ",").alias(k) for k in kinds]
-    out = tokens.join(spans.groupBy(*keys, "idx").agg(*texts), [*keys, "idx"], "left")
-    out = out.withColumns({k: F.when(F.col(k) != "", F.col(k)) for k in kinds})
+    texts = [F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct(F.col("span_id").alias("o"), item.alias("t"))))), lambda x: x["t"]), ",").alias(k) for k in KINDS]
+    return spans.groupBy(*keys, "idx").agg(*texts)
+
+
+def with_texts(tokens: DataFrame, text: dict[str, Column]) -> DataFrame:
+    """Tokens with slow, fast, guesses, overlaps (null where empty), reduced; low volume overrides the volume."""
+    out = tokens.withColumns({k: F.when(c != "", c) for k, c in text.items()})
     return out.withColumns({"reduced": F.col("reduced").isNotNull(), "volume": F.when(F.col("low").isNotNull(), "low").otherwise(F.col("volume"))}).drop("low")
+
+
+def with_spans(tokens: DataFrame, units: DataFrame, whitelist: list[str] = (), matches: DataFrame | None = None, keys: list[str] = KEYS) -> DataFrame:
+    """Adds slow, fast, guesses, overlaps (texts such as 0-3(0), or null), reduced; low volume overrides the volume.
+
+    `matches`: rows (keys, span_id, event) of overlap spans and the event, or `?`, that each stands for;
+    without them overlaps stay null.
+    """
+    out = tokens.join(span_texts(touched(tokens, units, keys), whitelist, matches, keys), [*keys, "idx"], "left")
+    return with_texts(out, {k: F.col(k) for k in KINDS})
+
+
+def unit_marks(units: DataFrame, whitelist: list[str] = (), matches: DataFrame | None = None, keys: list[str] = KEYS, markers: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (keys, marks): of the units with spans, the texts of every token that has any, an array of struct(idx, KINDS)."""
+    texts = span_texts(touched_own(units, keys, markers), whitelist, matches, keys)
+    return texts.groupBy(*keys).agg(F.collect_list(F.struct("idx", *KINDS)).alias("marks"))
+
+
+def with_marks(tokens: DataFrame) -> DataFrame:
+    """What `with_spans` adds, from `marks` that tokens have of their unit."""
+    own = tokens.withColumn("__mark", F.get(F.filter("marks", lambda m: m["idx"] == F.col("idx")), F.lit(0)))
+    return with_texts(own, {k: F.col(f"__mark.{k}") for k in KINDS}).drop("__mark", "marks")

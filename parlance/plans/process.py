@@ -14,23 +14,29 @@ from parlance.sources.work import written
 def process(raw: DataFrame, config: dict | None = None, ignore: DataFrame | None = None, width: float | None = None) -> dict[str, DataFrame]:
     """Units, tokens, vert, summary, linear and translations of utterances (transcript_id, tu_id, speaker, start, end, text).
 
-    `ignore`: pairs (transcript_id, u, v) of overlaps to leave out. Prepared units and split tokens feed
-    every result, so they are written to the work folder when this is called; the results are lazy.
+    `ignore`: pairs (transcript_id, u, v) of overlaps to leave out. Prepared units feed every result, so
+    they are written to the work folder when this is called; the results are lazy. Times, variation and
+    the texts of spans are joined to units, which are split into tokens last: tokens are never moved.
     """
     config = load() if config is None else config
     routed = units.route(raw, config["ignored_tiers"], config["extracted_tiers"], config["translation_suffix"]) if "target" not in raw.columns else raw
     ready = written(units.prepare(routed.where("target = 'unit'").drop("target"), config["normalization"]).withColumn("duration", F.col("end") - F.col("start")), "units")
-    split = written(tokens.tokenize(ready, markers=tuple(config["variation_markers"])), "tokens")
-    events = split.groupBy(*KEYS).agg(F.bool_and(F.col("type") == "nonverbalbehavior").alias("all_nvb"), F.bool_or(F.col("type") == "nonverbalbehavior").alias("any_nvb"))
-    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(events, KEYS)
+    markers = tuple(config["variation_markers"])
+    nvb, foreign = F.col("type") == "nonverbalbehavior", F.col("language").isNotNull()
+    each = tokens.tokenize(ready, markers=markers).groupBy(*KEYS, F.col("variation").alias("own")).agg(F.bool_and(nvb).alias("all_nvb"), F.bool_or(nvb).alias("any_nvb"), F.bool_and(foreign).alias("every"), F.bool_or(foreign).alias("some"))
+    told = written(each.select(*KEYS, "all_nvb", "any_nvb", tokens.final_variation().alias("__v")), "told")
+    timed = ready.where("include").select(*KEYS, "start", "end", F.size("overlap_spans").alias("n_spans")).join(told.drop("__v"), KEYS)
     found = overlaps.resolve(written(timed, "timed"), config["duration_threshold"], config["nvb_participates"], ignore, width)
+    final = told.select(*KEYS, "__v")
+    said = ready.join(final, KEYS, "left").withColumn("variation", F.coalesce("__v", "variation")).drop("__v")
     # a nudged boundary is what the token table shows
     times = found["units"].select(*KEYS, F.col("start").alias("__s"), F.col("end").alias("__e"))
-    split = split.join(times, KEYS, "left").withColumns({"start": F.coalesce("__s", "start"), "end": F.coalesce("__e", "end")}).drop("__s", "__e")
-    full = tokens.with_spans(split, ready, config["reduction_words"], found["matches"])
-    final = tokens.unit_variation(split)
-    said = ready.join(final.withColumnRenamed("variation", "__v"), KEYS, "left").withColumn("variation", F.coalesce("__v", "variation")).drop("__v")
+    marks = tokens.unit_marks(ready, config["reduction_words"], found["matches"], markers=markers)
+    whole = ready.where("include").select(*KEYS, *tokens.UNIT_COLUMNS).join(times, KEYS, "left").join(final, KEYS, "left").join(marks, KEYS, "left")
+    whole = whole.withColumns({"start": F.coalesce("__s", "start"), "end": F.coalesce("__e", "end")})
+    own = tokens.with_marks(tokens.tokenize(whole, keep=[*tokens.UNIT_COLUMNS, "__v", "marks"], markers=markers))
+    full, shown = own.drop("__v"), own.withColumn("variation", F.col("__v")).drop("__v")
     return {
-        "units": said, "tokens": full, "vert": formats.vert(full, final), "overlaps": found["members"], "verdicts": found["verdicts"],
+        "units": said, "tokens": full, "vert": formats.vert(shown), "overlaps": found["members"], "verdicts": found["verdicts"],
         "summary": formats.json_summary(said, full, found["members"]), "linear": formats.linear_units(said, full), "translations": routed.where("target = 'translation' and trim(coalesce(text, '')) <> ''").drop("target"),
     }
