@@ -121,7 +121,8 @@ def json_summary(units: DataFrame, tokens: DataFrame, overlaps: DataFrame | None
 def linear_units(units: DataFrame, tokens: DataFrame) -> DataFrame:
     """One row per included unit with its counts of warnings, errors and tokens, as the linear table has them."""
     error = F.col("type") == "error"
-    per = tokens.groupBy(*KEYS).agg(
+    # only what is put together is moved, before it is gathered: rows of many units that are gathered where they are made would be sorted there
+    per = tokens.select(*KEYS, "idx", "form", "type").repartition(*KEYS).groupBy(*KEYS).agg(
         ordered(["idx"], F.col("form"), " ").alias("orthographic"), F.count_if(error).alias("errors"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(error, F.struct("idx", "form")))), lambda x: x["form"]), " ").alias("wrong"),
         *[F.count_if(F.col("type") == t).alias(f"T:{t}") for t in ("shortpause", "nonverbalbehavior", "linguistic")],
     )
