@@ -23,8 +23,8 @@ def ordered(order: list[str], text: Column, sep: str = "") -> Column:
     return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, text.alias("__text")))), lambda x: x["__text"]), sep)
 
 
-def vert(tokens: DataFrame, variation: DataFrame | None = None) -> DataFrame:
-    """The token table, all text, `_` where there is nothing. Tokens come from tokens.with_spans."""
+def vert(tokens: DataFrame, variation: DataFrame | None = None, keep: list[str] = ()) -> DataFrame:
+    """The token table, all text, `_` where there is nothing. Tokens come from tokens.with_spans; columns in `keep` stay as they are."""
     df = tokens
     if variation is not None:
         df = df.drop("variation").join(variation, KEYS)
@@ -34,7 +34,7 @@ def vert(tokens: DataFrame, variation: DataFrame | None = None) -> DataFrame:
         "transcript_id", F.concat(number("tu_id"), F.lit("-"), number("idx")).alias("token_id"), "speaker", number("tu_id").alias("tu_id"), number("tu_id").alias("unit"), number("idx").alias("id"),
         "span", "form", *[none.alias(c) for c in ("lemma", "upos", "xpos", "feats", "deprel")], "type", none.alias("meta_label"), "variation", X.jefferson_feats().alias("jefferson_feats"),
         X.align_text(F.when(F.col("first"), F.col("start")), F.when(F.col("last"), F.col("end"))).alias("align"), X.prolongation_text(F.col("prolongations")).alias("prolongations"),
-        X.pace_text(F.col("slow"), F.col("fast")).alias("pace"), X.or_missing(F.col("guesses")).alias("guesses"), X.or_missing(F.col("overlaps")).alias("overlaps"),
+        X.pace_text(F.col("slow"), F.col("fast")).alias("pace"), X.or_missing(F.col("guesses")).alias("guesses"), X.or_missing(F.col("overlaps")).alias("overlaps"), *keep,
     )
 
 

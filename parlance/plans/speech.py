@@ -10,7 +10,7 @@ from parlance.functions.matches import spans
 from parlance.operators import formats, overlaps, tokens
 from parlance.operators.units import total_length as length_of
 from parlance.plans.process import process
-from parlance.plans.registry import query, timed
+from parlance.plans.registry import query, table, timed
 
 K = ["transcript_id", "tu_id"]
 
@@ -55,10 +55,21 @@ def toks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenize(spoken(spark, sf_dir))
 
 
+#: Fixed value: characters of text whose tokens one task sorts.
+CHARACTERS = 1_000_000
+
+
+def dealt(units: DataFrame, characters: int) -> DataFrame:
+    """Units dealt by their keys to as many tasks as their text asks for. What is made of their tokens by unit needs no other shuffle, and no task more memory when there are more units: tokens are many times the bytes by which the planner puts partitions together."""
+    return units.repartition(max(units.sparkSession.sparkContext.defaultParallelism, -(-characters // CHARACTERS)), *K)
+
+
 def verts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A token table of tokens without spans; line orders a unit's rows."""
-    df = toks(spark, sf_dir).withColumns({c: F.lit(None).cast("string") for c in ("slow", "fast", "guesses", "overlaps")} | {"reduced": F.lit(False)})
-    return formats.vert(df).withColumns({"line": F.col("id").cast("int"), "tu_id": F.col("tu_id").cast("long")})
+    characters = table(spark, sf_dir, "conversations").agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    df = tokens.tokenize(dealt(spoken(spark, sf_dir), characters)).withColumns({c: F.lit(None).cast("string") for c in ("slow", "fast", "guesses", "overlaps")} | {"reduced": F.lit(False)})
+    # the unit's own column stays, by which its rows are dealt
+    return formats.vert(df.withColumn("__unit", F.col("tu_id")), keep=["__unit"]).withColumns({"line": F.col("id").cast("int"), "tu_id": F.col("__unit")}).drop("__unit")
 
 
 def long(df: DataFrame, *names: str) -> DataFrame:
