@@ -362,9 +362,9 @@ def tei(rows: DataFrame, conversations: DataFrame | None = None, order: str = "l
     blocks = df.groupBy(*keys).agg(F.min(order).alias("first"), F.min_by("speaker", order).alias("speaker"), last("Begin").alias("b"), last("End").alias("e"), F.concat(ordered([order], F.col("item")), closing).alias("u"))
     times = timeline(rows)
     blocks = blocks.join(times.select("transcript_id", F.col("at").alias("b"), F.col("name").alias("bn")), ["transcript_id", "b"], "left").join(times.select("transcript_id", F.col("at").alias("e"), F.col("name").alias("en")), ["transcript_id", "e"], "left")
-    n = (F.row_number().over(Window.partitionBy("transcript_id").orderBy("first")) - 1).cast("string")
+    n = (F.row_number().over(Window.partitionBy("transcript_id").orderBy("first", "tu_id")) - 1).cast("string")
     blocks = blocks.withColumn("n", n).withColumn("block", F.concat(F.lit('<annotationBlock who="#'), X.xml(F.col("speaker")), F.lit('" xml:id="ab'), "n", F.lit('"'), opt("start", F.concat(F.lit("#"), "bn")), opt("end", F.concat(F.lit("#"), "en")), F.lit('><u xml:id="u'), "n", F.lit('">'), "u", F.lit("</u></annotationBlock>")))
-    body = blocks.groupBy("transcript_id").agg(ordered(["first"], F.col("block"), "\n").alias("blocks")).join(tei_people(rows, conversations, participants, order), "transcript_id", "left")
+    body = blocks.groupBy("transcript_id").agg(ordered(["first", "tu_id"], F.col("block"), "\n").alias("blocks")).join(tei_people(rows, conversations, participants, order), "transcript_id", "left")
     line = times.groupBy("transcript_id").agg(ordered(["at"], F.concat(F.lit('<when xml:id="'), "name", F.lit('" absolute="'), F.lit("PT"), X.fixed(F.col("at"), 3), F.lit('S"/>')), "\n").alias("times"))
     ends = lambda name: F.concat(F.lit('<link targets="'), F.array_join(F.transform("units", lambda u: F.concat(F.lit(f"#{name}_"), F.col("clique"), F.lit("_"), u.cast("string"))), " "), F.lit('"/>'))
     links = clique_units(rows, order).groupBy("transcript_id").agg(F.concat(F.lit('<linkGrp type="overlaps">\n'), ordered(["clique"], F.concat(ends("OVS"), F.lit("\n"), ends("OVE")), "\n"), F.lit("\n</linkGrp>\n")).alias("links"))
