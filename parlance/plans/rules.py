@@ -10,6 +10,9 @@ from parlance.operators.normalize import ACUTE, APOSTROPHES, CORRECTIONS, EITHER
 from parlance.operators.units import prepare, route
 from parlance.plans.registry import ORACLE_SQL, UNITS_SQL, query, table, timed, units
 
+#: Characters of documents that one task rewrites.
+CHARACTERS = 2_000_000
+
 TRIM = ("^\\s+|\\s+$", "")
 
 
@@ -240,7 +243,10 @@ def norm_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT transcript_id AS doc_id, length(text) AS length, {', '.join('w_' + n for n in NAMES)} FROM ({chain_sql('SELECT doc_id AS transcript_id, 0 AS tu_id, text FROM documents')})")
 def norm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain over long texts; the size of the new text and all counts."""
-    df = normalize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    characters = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    # a file of few row groups would be few tasks, each of minutes
+    df = normalize(docs.repartition(max(spark.sparkContext.defaultParallelism, -(-characters // CHARACTERS)), "doc_id"))
     return df.select("doc_id", F.length("text").cast("long").alias("length"), *[f"w_{n}" for n in NAMES])
 
 
