@@ -5,8 +5,9 @@ Token rows are (file, sent, idx, sent_id, jefferson_text, speaker_id, id, form,
 on from the last one known; parts of a word without a row of its own get a parent. The words of the
 transcript are then dealt to the tokens of a sentence in order: a word that no token has is passed
 over where the next one fits, parts of words have none, pauses that a token says are put in. The
-ids are windows over sentences, what a sentence knows of itself (its ranges, its ids) is joined to
-its tokens as small arrays, and the dealing is one fold for each sentence.
+ids, and what a sentence knows of itself (its ranges, its ids), are windows over sentences, and the
+dealing is one fold for each sentence, so that tokens are shuffled once, by their sentence. The
+fold only finds the words; what a row says is put together where it stands by itself.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import fields as X
+from parlance.functions.matches import let
 from parlance.operators.patches import natural
 
 FIELDS = ["token_id", "speaker", "tu_id", "unit", "id", "span", "form", "lemma", "upos", "jefferson_feats"]
@@ -28,7 +30,7 @@ SENTENCE = ["file", "sent"]
 
 def approximate(word: Column) -> Column:
     """A word of a transcript as a form would have it: without marks of overlap, pace, volume, intonation, length and a link at its end; any number of x is one."""
-    bare = F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(word, r"[\[\]()<>°]", ""), "[.,?]+$", ""), ":+", ""), "=+$", ""))
+    bare = F.lower(F.regexp_replace(F.translate(F.regexp_replace(F.translate(word, "[]()<>°", ""), "[.,?]+$", ""), ":", ""), "=+$", ""))
     return F.when(bare.rlike("^x+$"), "x").otherwise(bare)
 
 
@@ -45,6 +47,8 @@ def split_id(kid: Column, part: int) -> Column:
 def identified(tokens: DataFrame) -> DataFrame:
     """Tokens with `kid`: their own, that of a range's first part, that of a part with a letter, or the last number known and how many are missing since. Adds `n`, the number of a token that isn't a range, and `note`."""
     by = Window.partitionBy(*SENTENCE).orderBy("idx")
+    # a sentence's text goes on with its first token only
+    tokens = tokens.withColumn("jefferson_text", F.when(F.row_number().over(by) == 1, F.col("jefferson_text")))
     df = tokens.withColumns({"kid": X.feat(F.col("misc"), "KID"), "n": F.when(F.col("id").rlike(r"^\d+$"), F.col("id").cast("int")), "is_range": F.col("id").rlike(NUMBERED)})
     # A range's parts follow it, so a stretch begins at every row that has no plain number.
     df = df.withColumn("stretch", F.sum(F.col("n").isNull().cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
@@ -74,38 +78,40 @@ def identified(tokens: DataFrame) -> DataFrame:
 def with_parents(tokens: DataFrame) -> DataFrame:
     """Rows in the order of emission, `seq` an array of (idx, 0 or 1): tokens with `is_sub`, and before the first of the parts that have neither a range nor a parent, a parent (`made`)."""
     base = F.when(F.col("kid").rlike(LETTERED), F.regexp_replace("kid", "[a-z]$", ""))
-    every = tokens.groupBy(*SENTENCE).agg(
-        F.collect_set(F.when(F.col("is_range"), F.struct(F.split("id", "-")[0].cast("int").alias("a"), F.split("id", "-")[1].cast("int").alias("b")))).alias("ranges"),
-        F.collect_set(F.when(F.col("kid").rlike(NUMBERED), F.col("kid"))).alias("numbered"),
-    )
-    df = tokens.withColumn("base", base).join(every, SENTENCE)
+    whole = Window.partitionBy(*SENTENCE)
+    df = tokens.withColumns({
+        "base": base,
+        "ranges": F.collect_set(F.when(F.col("is_range"), F.struct(F.split("id", "-")[0].cast("int").alias("a"), F.split("id", "-")[1].cast("int").alias("b")))).over(whole),
+        "numbered": F.collect_set(F.when(F.col("kid").rlike(NUMBERED), F.col("kid"))).over(whole),
+    })
     covered = F.coalesce(F.exists("ranges", lambda r: (r["a"] <= F.col("n")) & (F.col("n") <= r["b"])), F.lit(False))
     df = df.withColumn("covered", covered).withColumn("orphan", F.coalesce(F.col("base").isNotNull() & ~F.col("covered") & ~F.array_contains("numbered", F.col("base")), F.lit(False)))
     group = Window.partitionBy(*SENTENCE, "base")
     df = df.withColumns({
         "in_group": F.col("base").isNotNull() & F.max("orphan").over(group), "low": F.min(F.when(F.col("orphan"), F.col("n"))).over(group), "high": F.max(F.when(F.col("orphan"), F.col("n"))).over(group),
         "many": F.count(F.when(F.col("orphan"), F.col("n"))).over(group), "nth": F.row_number().over(group.orderBy("idx")),
-    }).withColumns({"is_sub": F.col("covered") | F.col("in_group"), "made": F.lit(False)})
+    }).withColumns({"is_sub": F.col("covered") | F.col("in_group")})
     name = F.when(F.col("many") > 1, F.concat_ws("-", "low", "high")).otherwise(F.coalesce(F.col("low").cast("string"), F.lit("?")))
     blank = F.lit(X.MISSING)
-    parents = df.where("in_group and nth = 1").withColumns({"id": name, "kid": F.col("base"), "form": blank, "lemma": blank, "upos": blank, "misc": blank, "is_sub": F.lit(False), "made": F.lit(True), "is_range": F.lit(True), "note": F.lit("parent made up")})
-    keep = [*SENTENCE, "sent_id", "jefferson_text", "speaker_id", "idx", "id", "kid", "form", "lemma", "upos", "misc", "is_sub", "made", "is_range", "note"]
-    return df.select(*keep).unionByName(parents.select(*keep))
-
-
-ROW = "struct<token_id:string,unit:string,id:string,kind:string,span:string,form:string,lemma:string,upos:string,note:string>"
+    own = ["id", "kid", "form", "lemma", "upos", "misc", "is_sub", "is_range", "note"]
+    token = F.struct(*own, F.lit(False).alias("made"))
+    parent = {"id": name, "kid": F.col("base"), "form": blank, "lemma": blank, "upos": blank, "misc": blank, "is_sub": F.lit(False), "is_range": F.lit(True), "note": F.lit("parent made up")}
+    parent = F.struct(*[parent[c].alias(c) for c in own], F.lit(True).alias("made"))
+    each = F.explode(F.when(F.col("in_group") & (F.col("nth") == 1), F.array(parent, token)).otherwise(F.array(token)))
+    return df.select(*SENTENCE, "sent_id", "jefferson_text", "speaker_id", "idx", each.alias("x")).select(*SENTENCE, "sent_id", "jefferson_text", "speaker_id", "idx", "x.*")
 
 
 def dealt(rows: DataFrame) -> DataFrame:
     """Rows (file, sent, speaker_id, row, place): the words of a sentence dealt to its tokens, and pauses that tokens say."""
     misc = lambda k: X.feat(F.col("misc"), k)
     pause = F.col("form").isin("(.)", "{P}") | F.coalesce(misc("Type").isin("shortpause", "longpause"), F.lit(False))
-    tag = F.col("form").rlike(ANY_TAG)
+    df = rows.withColumns({"pause": pause, "tag": F.col("form").rlike(ANY_TAG), "pauses": F.coalesce(misc("PauseAfter") == "Yes", F.lit(False)) & ~F.col("is_sub")})
+    event, is_word = F.col("tag") & ~F.col("pause"), ~F.col("is_sub") & ~F.col("made") & ~F.col("pause") & ~F.col("tag")
     token = F.struct(
-        "idx", F.when(F.col("made"), 0).otherwise(1).alias("after"), "id", "kid", "form", "lemma", "upos", "is_sub", "made", "is_range", "note", pause.alias("pause"), tag.alias("tag"), (tag & ~pause).alias("event"),
-        F.coalesce(misc("PauseAfter") == "Yes", F.lit(False)).alias("pauses"),
+        "idx", F.when(F.col("made"), 0).otherwise(1).alias("after"), "id", "kid", "form", "lemma", "upos", "is_sub", "made", "is_range", "note", "pause", "tag", event.alias("event"), "pauses",
+        is_word.alias("is_word"), F.lower("form").alias("near"), (F.col("pauses") & ~F.col("pause")).alias("says"),
     )
-    sentences = rows.groupBy(*SENTENCE).agg(F.first("speaker_id").alias("speaker_id"), F.first("jefferson_text").alias("text"), F.array_sort(F.collect_list(token)).alias("tokens"))
+    sentences = df.groupBy(*SENTENCE).agg(F.first("speaker_id").alias("speaker_id"), F.first("jefferson_text", ignorenulls=True).alias("text"), F.array_sort(F.collect_list(token)).alias("tokens"))
     words = F.transform(transcript_words(F.col("text")), lambda w: F.struct(w.alias("w"), approximate(w).alias("near"), w.rlike(TAG).alias("tag"), w.rlike(SAID_PAUSE).alias("pause")))
     sentences = sentences.withColumn("words", words)
     # the first word at or after each place that is no tag
@@ -113,38 +119,49 @@ def dealt(rows: DataFrame) -> DataFrame:
     sentences = sentences.withColumn("plain", plain)
     sentences = sentences.withColumn("onward", F.transform("words", lambda w, i: F.coalesce(F.array_min(F.filter("plain", lambda p: p >= i)), F.size("words"))))
     word = lambda at: F.get("words", at)
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("paused"), F.array().cast(f"array<{ROW}>").alias("out"))
+    kind = dict(sentences.select(F.get("tokens", F.lit(0)).alias("t")).dtypes)["t"]
+    item = f"struct<t:{kind},span:string,passed:string,silent:boolean>"
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("paused"), F.array().cast(f"array<{item}>").alias("out"))
 
     def step(s: Column, t: Column) -> Column:
         repeated = t["pause"] & ~t["is_sub"] & s["paused"]
         at = F.when(t["is_sub"] | t["tag"], s["at"]).otherwise(F.coalesce(F.get("onward", s["at"]), s["at"]))
 
-        def placed(at: Column) -> Column:
-            skips = ~t["is_sub"] & ~t["made"] & ~t["pause"] & ~t["event"] & (at + 1 < F.size("words"))
-            skips = F.coalesce(skips & (word(at)["near"] != F.lower(t["form"])) & (word(at + 1)["near"] == F.lower(t["form"])), F.lit(False))
-            here = at + skips.cast("int")
-            span = F.when(t["is_sub"], X.MISSING).otherwise(F.coalesce(word(here)["w"], F.lit(X.MISSING)))
-            then = here + (~t["is_sub"]).cast("int")
-            unit = F.when(t["kid"].contains("-"), F.split(t["kid"], "-")[0]).otherwise("")
-            kind = F.when(t["is_range"], "whole").when(t["is_sub"], "part").when(t["pause"], "pause").when(t["event"], "event").otherwise("word")
-            fixed = F.when(kind == "pause", "[PAUSE]").when(kind == "event", "[NVB]")
-            form = F.when(t["made"], span).otherwise(F.coalesce(fixed, t["form"]))
-            lemma, upos = F.when(kind == "whole", X.MISSING).otherwise(F.coalesce(fixed, t["lemma"])), F.when(kind == "whole", X.MISSING).when(fixed.isNotNull(), "X").otherwise(t["upos"])
-            note = F.concat_ws("; ", t["note"], F.when(skips, F.concat(F.lit("word passed over: "), word(at)["w"])))
-            row = F.struct(t["kid"].alias("token_id"), unit.alias("unit"), t["id"].alias("id"), kind.alias("kind"), span.alias("span"), form.alias("form"), lemma.alias("lemma"), upos.alias("upos"), note.alias("note")).cast(ROW)
-            says = ~t["is_sub"] & ~t["pause"] & t["pauses"]
-            written = says & F.coalesce(word(then)["pause"], F.lit(False))
-            numbered = t["kid"].rlike(NUMBERED)
-            next_id = F.when(numbered, F.concat(split_id(t["kid"], 1), F.lit("-"), (split_id(t["kid"], 2).cast("long") + 1).cast("string"))).otherwise(F.concat(unit, F.lit("-?")))
-            own = lambda v, n: v.alias(n)
-            silence = F.struct(own(next_id, "token_id"), own(unit, "unit"), own(F.lit(X.MISSING), "id"), own(F.lit("pause"), "kind"), own(F.when(written, word(then)["w"]).otherwise("(.)"), "span"), own(F.lit("[PAUSE]"), "form"), own(F.lit("[PAUSE]"), "lemma"), own(F.lit("X"), "upos"), own(F.lit(""), "note")).cast(ROW)
-            more = F.when(says, F.array(row, silence)).otherwise(F.array(row))
-            return F.struct((then + written.cast("int")).cast("int").alias("at"), (~t["is_sub"] & t["pauses"]).alias("paused"), F.concat(s["out"], more).alias("out"))
+        def skipped(at: Column) -> Column:
+            skips = F.coalesce(t["is_word"] & (at + 1 < F.size("words")) & (word(at)["near"] != t["near"]) & (word(at + 1)["near"] == t["near"]), F.lit(False))
+            return let(F.struct(at.alias("at"), skips.alias("skips"), (at + skips.cast("int")).alias("here")), placed)
 
-        passed = F.struct(s["at"].alias("at"), F.lit(False).alias("paused"), s["out"].alias("out"))
-        return F.when(repeated, passed).otherwise(placed(at))
+        def placed(x: Column) -> Column:
+            span = F.when(t["is_sub"], X.MISSING).otherwise(F.coalesce(word(x["here"])["w"], F.lit(X.MISSING)))
+            then = x["here"] + (~t["is_sub"]).cast("int")
+            row = F.struct(t.alias("t"), span.alias("span"), F.when(x["skips"], word(x["at"])["w"]).alias("passed"), F.lit(False).alias("silent")).cast(item)
+
+            def said(written: Column) -> Column:
+                silence = F.struct(t.alias("t"), F.when(written, word(then)["w"]).otherwise("(.)").alias("span"), F.lit(None).cast("string").alias("passed"), F.lit(True).alias("silent")).cast(item)
+                return F.struct((then + written.cast("int")).cast("int").alias("at"), t["pauses"].alias("paused"), F.concat(s["out"], F.array(row, silence)).alias("out"))
 
-    return sentences.select(*SENTENCE, "speaker_id", F.posexplode(F.aggregate("tokens", start, step, lambda s: s["out"])).alias("place", "row"))
+            silent = F.struct(then.cast("int").alias("at"), t["pauses"].alias("paused"), F.concat(s["out"], F.array(row)).alias("out"))
+            return F.when(t["says"], let(F.coalesce(word(then)["pause"], F.lit(False)), said)).otherwise(silent)
+
+        passed = F.struct(s["at"].alias("at"), F.lit(False).alias("paused"), s["out"].alias("out"))
+        return F.when(repeated, passed).otherwise(let(at, skipped))
+
+    each = sentences.select(*SENTENCE, "speaker_id", F.posexplode(F.aggregate("tokens", start, step, lambda s: s["out"])).alias("place", "x"))
+    return each.select(*SENTENCE, "speaker_id", "place", shown(F.col("x.t"), F.col("x.span"), F.col("x.passed"), F.col("x.silent")).alias("row"))
+
+
+def shown(t: Column, span: Column, passed: Column, silent: Column) -> Column:
+    """What the row of a token says with this span, or that of the pause after it."""
+    unit = F.when(t["kid"].contains("-"), F.split(t["kid"], "-")[0]).otherwise("")
+    kind = F.when(silent, "pause").when(t["is_range"], "whole").when(t["is_sub"], "part").when(t["pause"], "pause").when(t["event"], "event").otherwise("word")
+    fixed = F.when(kind == "pause", "[PAUSE]").when(kind == "event", "[NVB]")
+    next_id = F.when(t["kid"].rlike(NUMBERED), F.concat(split_id(t["kid"], 1), F.lit("-"), (split_id(t["kid"], 2).cast("long") + 1).cast("string"))).otherwise(F.concat(unit, F.lit("-?")))
+    return F.struct(
+        F.when(silent, next_id).otherwise(t["kid"]).alias("token_id"), unit.alias("unit"), F.when(silent, X.MISSING).otherwise(t["id"]).alias("id"), kind.alias("kind"), span.alias("span"),
+        F.when(t["made"] & ~silent, span).otherwise(F.coalesce(fixed, t["form"])).alias("form"), F.when(kind == "whole", X.MISSING).otherwise(F.coalesce(fixed, t["lemma"])).alias("lemma"),
+        F.when(kind == "whole", X.MISSING).when(fixed.isNotNull(), "X").otherwise(t["upos"]).alias("upos"),
+        F.when(silent, "").otherwise(F.concat_ws("; ", t["note"], F.when(passed.isNotNull(), F.concat(F.lit("word passed over: "), passed)))).alias("note"),
+    )
 
 
 def converted(tokens: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import formats, patching, validation, wip
 from parlance.operators.normalize import ERRORS, NAMES, normalize
-from parlance.plans.registry import ORACLE_SQL, query, table, units
+from parlance.plans.registry import ORACLE_SQL, by_size, lines, query, table, units
 from parlance.plans.rules import norm_full
 
 COLUMNS = ["token_id", "speaker", "tu_id", "span", "form", "type", "jefferson_feats", "align", "pace"]
@@ -164,11 +164,10 @@ SELECT file, CASE WHEN regexp_matches(kid, '^[0-9]+-[0-9]+$') THEN unit || '-' |
 @query(WIP_SQL)
 def conllu_to_wip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole conversion of CoNLL-U sentences, with words left out, words too many, and clitics."""
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
+    lines(spark, sf_dir).createOrReplaceTempView("lineitem")
     tokens = spark.sql(CONLLU_SQL)
-    pieces = F.array_sort(F.collect_list(F.struct("idx", "piece")))
-    texts = tokens.groupBy("file", "sent").agg(F.array_join(F.transform(pieces, lambda x: x["piece"]), " ").alias("jefferson_text"))
-    return wip.converted(tokens.drop("piece").join(texts, ["file", "sent"])).drop("sort")
+    pieces = F.collect_list("piece").over(Window.partitionBy("file", "sent").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return wip.converted(tokens.withColumn("jefferson_text", F.array_join(pieces, " ")).drop("piece")).drop("sort")
 
 
 #: What the rules did to units, unpivoted: a row for each conversation and rule, and one for each fault.

@@ -46,6 +46,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a table that one task takes, where much is made of each.
+ROWS = 200_000
+
+
+def by_size(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys to as many tasks as there are rows for, so that a task needs no more memory when there are more. What is made of them by these keys needs no other shuffle; left to the planner, tasks are put together by bytes that are far fewer than what is made of them."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS)), *keys)
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, those of an order in one task."""
+    return by_size(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "conversations").createOrReplaceTempView("conversations")
     return spark.sql(UNITS_SQL)
