@@ -50,9 +50,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ROWS = 200_000
 
 
+def tasks(rows: DataFrame) -> int:
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS))
+
+
 def by_size(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt by keys to as many tasks as there are rows for, so that a task needs no more memory when there are more. What is made of them by these keys needs no other shuffle; left to the planner, tasks are put together by bytes that are far fewer than what is made of them."""
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS)), *keys)
+    return rows.repartition(tasks(rows), *keys)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import fields as X
 from parlance.operators import alignment, metadata, patches, reports
-from parlance.plans.registry import query, table
+from parlance.plans.registry import query, table, tasks
 
 
 def people(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -183,8 +183,11 @@ def recap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("l_partkey")
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
     change = F.when(p % 5 == 0, "dropped").when(p % 5 == 1, "added").when(p % 50 == 2, "changed").otherwise("kept")
-    df = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("file"), (F.col("l_orderkey") * 100 + place).alias("line"), (F.col("l_orderkey") % 3).alias("unit"), change.alias("change"))
-    return patches.recap(df, "line", "unit", "file").drop("first")
+    raw = table(spark, sf_dir, "lineitem")
+    n = tasks(raw)
+    low, high = raw.agg(F.coalesce(F.min("l_orderkey"), F.lit(0)), F.coalesce(F.max("l_orderkey"), F.lit(0))).first()
+    df = raw.repartition(n, "l_orderkey").select((F.col("l_suppkey") % 50).alias("file"), (F.col("l_orderkey") * 100 + place).alias("line"), (F.col("l_orderkey") % 3).alias("unit"), change.alias("change"))
+    return patches.recap(df, "line", "unit", "file", n, (100 * low, 100 * (high + 1))).drop("first")
 
 
 def lemma_table(spark: SparkSession, sf_dir: str) -> DataFrame:
