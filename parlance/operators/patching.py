@@ -88,10 +88,16 @@ def noted(*notes: tuple[Column, Column]) -> Column:
     return F.filter(F.array(*[F.when(test, text) for test, text in notes]), lambda x: x.isNotNull())
 
 
-def compared(source: DataFrame, edited: DataFrame) -> DataFrame:
+def by_file(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows dealt by file to so many tasks, if a number is given: left to the planner, they are put together by compressed bytes, which are few beside what windows hold."""
+    return rows.repartition(tasks, "file") if tasks else rows
+
+
+def compared(source: DataFrame, edited: DataFrame, tasks: int | None = None) -> DataFrame:
     """Source rows with what was edited (null where dropped), times moved from dropped rows to those that stay, and notes on how."""
     cell = lambda c: F.col("cells")[c]
     rows = source.withColumn("token_id", cell("token_id")).join(edited, ["file", "token_id"], "left")
+    rows = by_file(rows, tasks)
     blank = (F.trim(F.coalesce(cell("span"), F.lit(""))) == "") | (F.trim(F.coalesce(cell("form"), F.lit(""))) == "")
     rows = rows.withColumn("cells", F.when(blank, F.raise_error(F.lit("a row needs span and form"))).otherwise(F.col("cells")))
     stays = F.col("e").isNotNull()
@@ -155,12 +161,13 @@ def kept_rows(rows: DataFrame) -> DataFrame:
 ADDED = "struct<e_at:bigint,token_id:string,tu_id:string,speaker:string,begin:string,end:string,takes_end:boolean,takes_begin:boolean,from:string>"
 
 
-def added_rows(kept: DataFrame, new: DataFrame) -> DataFrame:
+def added_rows(kept: DataFrame, new: DataFrame, tasks: int | None = None) -> DataFrame:
     """Runs of added rows between two that stay: (file, run, added, end_gone, begin_gone), `run` the place of the row before (0 if none)."""
     known = lambda x: F.when(~X.missing(x), x)
     stay = F.struct("token_id", "tu_id", "speaker", F.col("new_begin").alias("begin"), F.col("new_end").alias("end"))
     both = kept.select("file", "e_at", stay.alias("stay"), F.lit(None).cast("struct<token_id:string,tu_id:string,speaker:string>").alias("new"))
     both = both.unionByName(new.select("file", "e_at", F.struct("token_id", known(F.col("e.tu_id")).alias("tu_id"), known(F.col("e.speaker")).alias("speaker")).alias("new")), allowMissingColumns=True)
+    both = by_file(both, tasks)
     by = Window.partitionBy("file").orderBy("e_at")
     both = both.withColumn("run", F.sum(F.col("stay").isNotNull().cast("int")).over(by))
     ahead = F.first("stay", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
@@ -184,17 +191,17 @@ def added_rows(kept: DataFrame, new: DataFrame) -> DataFrame:
     return runs.withColumns(gone).select("file", "run", "added", F.col("n.token_id").alias("to"), *gone)
 
 
-def patched(source: DataFrame, heads: DataFrame, edited: DataFrame) -> DataFrame:
+def patched(source: DataFrame, heads: DataFrame, edited: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rows (file, change, token_id, tu_id, old, new, notes, line, e_at, k): what was kept, changed, dropped and added; old and new are maps of values, null where there are none.
 
     `line` is the place in the source and `e_at` that in the edited table; `k` counts the rows before
-    that stay, the row itself included, in the one (source) or the other (added rows).
+    that stay, the row itself included, in the one (source) or the other (added rows). `tasks`: how many tasks the rows of files are dealt to.
     """
     edits = edited_rows(edited).join(heads.select("file"), "file", "left_semi")
-    rows = compared(source.join(edits.select("file").distinct(), "file", "left_semi"), edits)
+    rows = compared(source.join(edits.select("file").distinct(), "file", "left_semi"), edits, tasks)
     kept = kept_rows(rows)
     new = edits.join(source.select("file", F.col("cells")["token_id"].alias("token_id")), ["file", "token_id"], "left_anti")
-    runs = added_rows(kept, new)
+    runs = added_rows(kept, new, tasks)
     behind = runs.where("end_gone").select("file", F.col("run").alias("place"), "end_gone")
     ahead = runs.where("begin_gone").select("file", (F.col("run") + 1).alias("place"), "begin_gone")
     kept = kept.join(behind, ["file", "place"], "left").join(ahead, ["file", "place"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import formats, patching, validation, wip
 from parlance.operators.normalize import ERRORS, NAMES, normalize
-from parlance.plans.registry import ORACLE_SQL, by_size, lines, query, table, units
+from parlance.plans.registry import ORACLE_SQL, lines, query, table, tasks, units
 from parlance.plans.rules import norm_full
 
 COLUMNS = ["token_id", "speaker", "tu_id", "span", "form", "type", "jefferson_feats", "align", "pace"]
@@ -96,7 +96,7 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 @query(PATCH_SQL)
 def patch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token of both sides: what becomes of it, and the notes of the recap."""
-    df = patching.patched(*sides(spark, sf_dir))
+    df = patching.patched(*sides(spark, sf_dir), tasks=tasks(table(spark, sf_dir, "orders")))
     return df.select("file", "token_id", "change", *[F.col("new")[c].alias(c) for c in ("tu_id", "speaker", "span", "form", "jefferson_feats", "align")], F.array_join("notes", " / ").alias("notes"))
 
 
