@@ -81,9 +81,14 @@ def unit_times(rows: DataFrame, keys: list[str], order: str = "line", first_begi
 TYPES = {"ling": "linguistic", "unk": "unknown", "anonym": "anonymized", "nvb": "nonverbalbehavior", "pause": "shortpause", "err": "error"}
 
 
+def type_counts() -> list[Column]:
+    """Aggregates of tokens: how many, and how many of each type."""
+    return [F.count("*").alias("tokens"), *[F.count_if(F.col("type") == t).alias(f"tokens_{k}") for k, t in TYPES.items()]]
+
+
 def speaker_summary(units: DataFrame, tokens: DataFrame) -> DataFrame:
     """Per transcript and speaker: included units, time, tokens by type, units with other languages. Units have duration and the final variation."""
-    counts = tokens.groupBy(*KEYS).agg(F.count("*").alias("tokens"), *[F.count_if(F.col("type") == t).alias(f"tokens_{k}") for k, t in TYPES.items()])
+    counts = tokens.groupBy(*KEYS).agg(*type_counts())
     got = units.where("include").join(counts, KEYS, "left").fillna(0, ["tokens", *[f"tokens_{k}" for k in TYPES]])
     return got.groupBy("transcript_id", "speaker").agg(F.count("*").alias("TUs"), F.sum("duration").alias("time"), F.sum("tokens").alias("tokens"), *[F.sum(f"tokens_{k}").alias(f"tokens_{k}") for k in TYPES], F.count_if(F.col("variation") != "none").alias("code_switching"))
 
@@ -96,26 +101,47 @@ def rule_counts(units: DataFrame) -> DataFrame:
     return each.groupBy("transcript_id", "x.kind", "x.rule").agg(F.sum("x.n").alias("n"))
 
 
-def json_summary(units: DataFrame, tokens: DataFrame, overlaps: DataFrame | None = None) -> DataFrame:
-    """Rows (transcript_id, json): the summary of a transcript. `overlaps`: rows (transcript_id, event)."""
-    people = speaker_summary(units, tokens)
-    said = F.struct("TUs", "time", "tokens", *[F.col(f"tokens_{k}").alias(f"tokens-{k}") for k in TYPES], F.col("code_switching").alias("code-switching"))
-    speakers = people.groupBy("transcript_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("speaker", said.alias("of"))))).alias("speakers"))
-    rules = rule_counts(units)
-    by_kind = lambda k: F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("rule", "n"))))).alias(k)
-    counted = rules.groupBy("transcript_id").agg(by_kind("WARNINGS"), by_kind("ERRORS"))
+def json_summary(units: DataFrame, counts: DataFrame, tokens: DataFrame, overlaps: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """Rows (transcript_id, json): the summary of a transcript.
+
+    `counts`: rows (transcript_id, speaker, variation, tokens, and tokens_ with each of TYPES), as many for a speaker as
+    included units; `variation` is the final one. `overlaps`: rows (transcript_id, event). All parts are dealt by
+    transcript at once, to `tasks` if given, and put together without joins: what a task holds are its transcripts.
+    """
+    sums = ["tokens", *[f"tokens_{k}" for k in TYPES], "code_switching"]
+    rules, T = [f"w_{n}" for n in NAMES] + [f"e_{c.name}" for c in ERRORS], "transcript_id"
     faults = F.filter(F.array(*[F.when(F.col(f"e_{c.name}"), F.lit(c.name)) for c in ERRORS]), lambda x: x.isNotNull())
-    details = units.where("include").select("*", F.explode(faults).alias("rule")).groupBy("transcript_id").agg(F.sort_array(F.collect_list(F.struct("tu_id", "rule", "speaker", "text"))).alias("ERROR_DETAILS"))
-    wrong = tokens.where("type = 'error'").groupBy("transcript_id").agg(F.sort_array(F.collect_list(F.struct("tu_id", "idx", "speaker", "span", "form", F.col("text").alias("context")))).alias("ERROR_TOKENS"))
-    out = units.groupBy("transcript_id").agg(F.count_if("include").alias("TUs"), F.count_if(~F.col("include")).alias("removed_TUs"))
-    if overlaps is not None:
-        out = out.join(overlaps.groupBy("transcript_id").agg(F.countDistinct("event").alias("overlaps")), "transcript_id", "left")
-    else:
-        out = out.withColumn("overlaps", F.lit(0).cast("long"))
-    for part in (speakers, counted, details, wrong):
-        out = out.join(part, "transcript_id", "left")
-    out = out.fillna(0, ["overlaps"])
-    return out.select("transcript_id", F.to_json(F.struct(F.col("transcript_id").alias("transcript"), "speakers", "TUs", "removed_TUs", "overlaps", "WARNINGS", "ERRORS", "ERROR_DETAILS", "ERROR_TOKENS")).alias("json"))
+    details = F.transform(faults, lambda x: F.struct("tu_id", x.alias("rule"), "speaker", "text"))
+    kind = units.schema["duration"].dataType
+    rows = units.select(T, "speaker", "include", *rules, F.when(F.col("include"), F.struct("tu_id", "duration")).alias("__time"), F.when(F.col("include") & (F.size(faults) > 0), details).alias("__details"))
+    wrong = F.struct("tu_id", "idx", "speaker", "span", "form", F.col("text").alias("context"))
+    parts = [counts.select(T, "speaker", *sums[:-1], (F.col("variation") != "none").cast("int").alias("code_switching")), tokens.where("type = 'error'").select(T, "speaker", wrong.alias("__wrong"))]
+    # an event is of no speaker
+    parts += [overlaps.select(T, "event")] if overlaps is not None else []
+    for part in parts:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    rows = rows.repartition(tasks, T) if tasks else rows.repartition(T)
+    counted = [F.sum(F.when(F.col("include"), F.col(f"w_{n}"))).alias(f"w_{n}") for n in NAMES] + [F.count_if(F.col("include") & F.col(f"e_{c.name}")).alias(f"e_{c.name}") for c in ERRORS]
+    events = F.size(F.collect_set("event")) if overlaps is not None else F.lit(0)
+    # in order of units, so that a sum of fractions doesn't depend on how rows were dealt
+    times = F.filter(F.transform(F.sort_array(F.collect_list("__time")), lambda x: x["duration"]), lambda x: x.isNotNull())
+    people = rows.groupBy(T, "speaker").agg(
+        F.count_if("include").alias("TUs"), F.count_if(~F.col("include")).alias("removed_TUs"), times.alias("__times"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], *counted,
+        F.flatten(F.collect_list("__details")).alias("__details"), F.collect_list("__wrong").alias("__wrong"), events.alias("overlaps"),
+    )
+    time = F.when(F.size("__times") > 0, F.aggregate("__times", F.lit(0).cast(kind), lambda n, x: (n + x).cast(kind)))
+    said = F.struct("TUs", time.alias("time"), "tokens", *[F.col(f"tokens_{k}").alias(f"tokens-{k}") for k in TYPES], F.col("code_switching").alias("code-switching"))
+    filled = lambda xs: F.when(F.size(xs) > 0, xs)
+    out = people.groupBy(T).agg(
+        filled(F.sort_array(F.collect_list(F.when(F.col("TUs") > 0, F.struct("speaker", said.alias("of")))))).alias("speakers"), *[F.sum(c).alias(c) for c in ("TUs", "removed_TUs", "overlaps", *rules)],
+        filled(F.sort_array(F.flatten(F.collect_list("__details")))).alias("ERROR_DETAILS"), filled(F.sort_array(F.flatten(F.collect_list("__wrong")))).alias("ERROR_TOKENS"),
+    )
+    broken = F.lit(False)
+    for c in rules:
+        broken = broken | (F.coalesce(F.col(c), F.lit(0)) > 0)
+    found = lambda mark: F.when(broken, F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(c[2:]).alias("rule"), F.col(c).alias("n")) for c in sorted(rules) if c.startswith(mark)]), lambda x: x["n"] > 0)))
+    out = out.where("TUs + removed_TUs > 0").withColumns({"speakers": F.map_from_entries("speakers"), "WARNINGS": found("w_"), "ERRORS": found("e_")})
+    return out.select(T, F.to_json(F.struct(F.col(T).alias("transcript"), "speakers", "TUs", "removed_TUs", "overlaps", "WARNINGS", "ERRORS", "ERROR_DETAILS", "ERROR_TOKENS")).alias("json"))
 
 
 def linear_units(units: DataFrame, tokens: DataFrame) -> DataFrame:
